@@ -111,7 +111,9 @@ def proxy_series(atlas: DataFrame, source_map: DataFrame, source_days: DataFrame
     coast = F.when((F.abs(F.col(atlas_lon)) < 1.0) | F.col(atlas_region).isin(*coast_regions)
                    if coast_regions else (F.abs(F.col(atlas_lon)) < 1.0),
                    F.lit(-0.8)).otherwise(F.lit(0.0))
-    phase = (F.crc32(F.col(atlas_id).cast("string")) % 628) / F.lit(100.0)
+    # stable phase per place: first 32 bits of md5(name) mod 628, over 100
+    phase = (F.conv(F.substring(F.md5(F.col(atlas_id).cast("string")), 1, 8), 16, 10).cast("long")
+             % 628) / F.lit(100.0)
     temp = (F.col(temp_col) + (F.lit(ref_lat) - F.col(atlas_lat)) * 0.42 + coast
             + (F.col(source_lat) - F.col(atlas_lat)) * 0.12
             + F.sin(F.col("day_number") * 0.92 + phase) * 0.9)

@@ -6,7 +6,9 @@ tables), in the raw-table shapes the staging layer expects:
 
 * locations      nation JOIN region; coordinates from a fixed rule on the key
 * weather days   orders JOIN customer, per (customer nation, order day):
-                 max/min/avg/sum of o_totalprice and the order count
+                 max/min/avg/sum of o_totalprice and the order count;
+                 "precipitation" is the square root of the day total, so that
+                 rounded sums of it never sit exactly on a rounding tie
 * AQ readings    events JOIN customer: one reading per event, located in the
                  customer's nation; measures derived from ``value``
 * forecast       'view' events per (nation, day), issued in weekly snapshots
@@ -32,7 +34,7 @@ BENCH_RULES = DayRules(
     wind_col="wind_speed_10m_max", windy_above=450000.0,   # day total above 450k
     max_col="temperature_2m_max", hot_above=385000.0,      # largest order above 385k
     min_col="temperature_2m_min", freezing_below=60000.0,  # smallest order below 60k
-    heavy_col="precipitation_sum", heavy_at_least=400000.0,
+    heavy_col="precipitation_sum", heavy_at_least=632.0,      # sqrt of the day total
     mean_col="temperature_2m_mean", comfort_low=180000.0, comfort_high=360000.0,
 )
 LOCATIONS_EXTRACTED_AT = "2024-02-01 00:00:00"
@@ -80,12 +82,13 @@ def _daily_raw(grouped: DataFrame, names: DataFrame, source: str) -> DataFrame:
         "rain_sum", "snowfall_sum", "wind_speed_10m_max")
 
 
-def _day_measures(v: str) -> list:
+def _day_measures(v: str, precip_sqrt: bool = False) -> list:
+    precip = F.sqrt(F.sum(v)) if precip_sqrt else F.sum(v)
     return [
         F.max(v).alias("temperature_2m_max"),
         F.min(v).alias("temperature_2m_min"),
         F.avg(v).alias("temperature_2m_mean"),
-        F.sum(v).alias("precipitation_sum"),
+        precip.alias("precipitation_sum"),
         F.count(F.lit(1)).cast("double").alias("rain_sum"),
         F.lit(0.0).alias("snowfall_sum"),
         F.sum(v).alias("wind_speed_10m_max"),
@@ -101,7 +104,7 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = o.join(c, o.o_custkey == c.c_custkey, "inner")
     grouped = joined.groupBy(F.col("c_nationkey").alias("location_id"),
                              F.to_date("o_orderdate").alias("date")).agg(
-        F.max("o_orderdate").alias("extracted_at"), *_day_measures("o_totalprice"))
+        F.max("o_orderdate").alias("extracted_at"), *_day_measures("o_totalprice", precip_sqrt=True))
     return _daily_raw(grouped, _names(spark, sf_dir), "orders")
 
 
