@@ -13,6 +13,7 @@ holds every candidate, so every point is resolved exactly.
 from __future__ import annotations
 
 import itertools
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,21 @@ DEFAULT_LEVELS = (2.0 / 4 ** 5, 2.0 / 4 ** 4, 2.0 / 4 ** 3, 2.0 / 4 ** 2, 2.0 /
 _OFFSETS = list(itertools.product((-1, 0, 1), repeat=3))
 
 
+def start_levels(levels, n_candidates: int):
+    """Skip grids much finer than the candidates' typical spacing.
+
+    n points spread over the unit sphere (area 4 pi) are about
+    sqrt(4 pi / n) apart; grids with cells under half of that would mostly
+    find empty neighbourhoods and only add passes. Exactness does not depend
+    on the choice (the last grid always resolves every point).
+    """
+    if n_candidates <= 0:
+        return levels[-1:]
+    spacing = math.sqrt(4 * math.pi / n_candidates)
+    kept = [c for c in levels if c >= spacing / 2]
+    return tuple(kept) if kept else levels[-1:]
+
+
 def _cells(x: Column, y: Column, z: Column, c: float) -> list[Column]:
     return [F.floor(v / F.lit(c)).cast("long") for v in (x, y, z)]
 
@@ -45,6 +61,7 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     r = (right.filter(F.col(right_lat).isNotNull() & F.col(right_lon).isNotNull())
          .groupBy(F.col(right_lat).alias("__rlat"), F.col(right_lon).alias("__rlon"))
          .agg(F.min(right_id).alias("__rid")))
+    levels = start_levels(levels, r.count())
     rx, ry, rz = unit_vector("__rlat", "__rlon")
     r = r.withColumns({"__rx": rx, "__ry": ry, "__rz": rz})
 

@@ -6,9 +6,7 @@ tables), in the raw-table shapes the staging layer expects:
 
 * locations      nation JOIN region; coordinates from a fixed rule on the key
 * weather days   orders JOIN customer, per (customer nation, order day):
-                 max/min/avg/sum of o_totalprice and the order count;
-                 "precipitation" is the square root of the day total, so that
-                 rounded sums of it never sit exactly on a rounding tie
+                 max/min/avg/sum of o_totalprice and the order count
 * AQ readings    events JOIN customer: one reading per event, located in the
                  customer's nation; measures derived from ``value``
 * forecast       'view' events per (nation, day), issued in weekly snapshots
@@ -16,10 +14,18 @@ tables), in the raw-table shapes the staging layer expects:
 
 ``BENCH_RULES`` sets thresholds that make every day type and streak label
 occur at every scale factor.
+
+Amounts are scaled by an irrational factor (pi / 3000 for order prices,
+pi / 3 for event values) before they are aggregated. Prices and values have
+two decimals, so their averages and sums would often sit exactly on the ties
+of the marts' ``round(x, 1)``, where last-bit differences of floating
+summation order decide the result; scaled amounts are never short decimals.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,19 +35,37 @@ from dayframe.operators.joins import bounded_broadcast
 from dayframe.plans import marts as M
 from dayframe.sources.readers import aqi_bands
 
+PRICE_SCALE = math.pi / 3000
+VALUE_SCALE = math.pi / 3
+
 BENCH_RULES = DayRules(
-    rain_col="rain_sum", rainy_above=1.0,                  # more than one order that day
-    wind_col="wind_speed_10m_max", windy_above=450000.0,   # day total above 450k
-    max_col="temperature_2m_max", hot_above=385000.0,      # largest order above 385k
-    min_col="temperature_2m_min", freezing_below=60000.0,  # smallest order below 60k
-    heavy_col="precipitation_sum", heavy_at_least=632.0,      # sqrt of the day total
-    mean_col="temperature_2m_mean", comfort_low=180000.0, comfort_high=360000.0,
+    rain_col="rain_sum", rainy_above=1.0,                                # more than one order
+    wind_col="wind_speed_10m_max", windy_above=450000 * PRICE_SCALE,     # day total > 450k
+    max_col="temperature_2m_max", hot_above=385000 * PRICE_SCALE,        # largest order > 385k
+    min_col="temperature_2m_min", freezing_below=60000 * PRICE_SCALE,    # smallest order < 60k
+    heavy_col="precipitation_sum", heavy_at_least=400000 * PRICE_SCALE,  # day total >= 400k
+    mean_col="temperature_2m_mean", comfort_low=180000 * PRICE_SCALE,
+    comfort_high=360000 * PRICE_SCALE,
 )
 LOCATIONS_EXTRACTED_AT = "2024-02-01 00:00:00"
 
 
+_CACHE: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
+    """Reuse plan objects (not data) per session and folder: DataFrames are
+    immutable lazy plans, so sharing them only saves file listing and
+    analysis; every action still reads the files."""
+    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _CACHE:
+        _CACHE[key] = build()
+    return _CACHE[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return _memo(f"table:{name}", spark, sf_dir,
+                 lambda: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def nation_coords(key: str = "n_nationkey", lat_factor: int = 37, lon_factor: int = 73):
@@ -68,9 +92,10 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bounded_broadcast(table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("city_name"),
-        F.col("n_regionkey").cast("string").alias("country_code")))
+    return _memo("names", spark, sf_dir, lambda: bounded_broadcast(
+        table(spark, sf_dir, "nation").select(
+            F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("city_name"),
+            F.col("n_regionkey").cast("string").alias("country_code"))))
 
 
 def _daily_raw(grouped: DataFrame, names: DataFrame, source: str) -> DataFrame:
@@ -82,8 +107,8 @@ def _daily_raw(grouped: DataFrame, names: DataFrame, source: str) -> DataFrame:
         "rain_sum", "snowfall_sum", "wind_speed_10m_max")
 
 
-def _day_measures(v: str, precip_sqrt: bool = False) -> list:
-    precip = F.sqrt(F.sum(v)) if precip_sqrt else F.sum(v)
+def _day_measures(v: str) -> list:
+    precip = F.sum(v)
     return [
         F.max(v).alias("temperature_2m_max"),
         F.min(v).alias("temperature_2m_min"),
@@ -99,17 +124,19 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per (customer nation, order day). Both inputs are facts at
     scale, so the join is left to the planner (shuffle join, or broadcast
     when AQE sees a small side)."""
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice", "o_orderdate")
+    o = table(spark, sf_dir, "orders").select(
+        "o_custkey", (F.col("o_totalprice") * F.lit(PRICE_SCALE)).alias("amount"), "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     joined = o.join(c, o.o_custkey == c.c_custkey, "inner")
     grouped = joined.groupBy(F.col("c_nationkey").alias("location_id"),
                              F.to_date("o_orderdate").alias("date")).agg(
-        F.max("o_orderdate").alias("extracted_at"), *_day_measures("o_totalprice", precip_sqrt=True))
+        F.max("o_orderdate").alias("extracted_at"), *_day_measures("amount"))
     return _daily_raw(grouped, _names(spark, sf_dir), "orders")
 
 
 def _events_located(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value")
+    e = table(spark, sf_dir, "events").select(
+        "ts", "user_id", "event_type", (F.col("value") * F.lit(VALUE_SCALE)).alias("value"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return e.join(c, e.user_id == c.c_custkey, "inner").withColumnRenamed("c_nationkey", "location_id")
 
@@ -154,6 +181,10 @@ def raw_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return _memo("staged", spark, sf_dir, lambda: _staged(spark, sf_dir))
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {
         "locations": staging.stage_locations(raw_locations(spark, sf_dir)),
         "weather": staging.stage_weather_daily(raw_weather(spark, sf_dir)),
@@ -164,6 +195,10 @@ def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def marts(spark: SparkSession, sf_dir: str) -> M.Marts:
+    return _memo("marts", spark, sf_dir, lambda: _marts(spark, sf_dir))
+
+
+def _marts(spark: SparkSession, sf_dir: str) -> M.Marts:
     s = staged(spark, sf_dir)
     return M.build_all(s["locations"], s["weather"], s["air_hourly"], aqi_bands(spark),
                        s["forecast"], s["actual"], rules=BENCH_RULES)

@@ -7,7 +7,7 @@ whole graph from staged inputs; callers persist what they need with
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,20 +112,74 @@ def forecast_city_day(forecast_stg: DataFrame, actual_stg: DataFrame) -> DataFra
     return forecast.forecast_fact(forecast.align(forecast_stg, actual_stg))
 
 
-@dataclass
 class Marts:
-    dim_location: DataFrame
-    int_city_day_weather: DataFrame
-    fct_city_weather_day: DataFrame
-    int_air_quality_daily: DataFrame
-    fct_air_quality_city_day: DataFrame
-    int_weather_extreme_streaks: DataFrame
-    mart_extreme_events: DataFrame
-    mart_temperature_anomaly: DataFrame
-    mart_city_season_summary: DataFrame
-    mart_city_month_summary: DataFrame
-    mart_city_weather_summary: DataFrame
-    fct_forecast_city_day: DataFrame | None = None
+    """The model graph over staged inputs. Each model is built on first
+    access (lazy DataFrame, nothing is computed), so a query that needs one
+    mart does not pay for planning the others."""
+
+    def __init__(self, locations: DataFrame, weather: DataFrame, air_hourly: DataFrame,
+                 band_table: DataFrame, forecast_stg: DataFrame | None = None,
+                 actual_stg: DataFrame | None = None, rules: DayRules = WEATHER,
+                 anomaly_k: float = 2.0):
+        self.locations, self.weather, self.air_hourly = locations, weather, air_hourly
+        self.band_table, self.forecast_stg, self.actual_stg = band_table, forecast_stg, actual_stg
+        self.rules, self.anomaly_k = rules, anomaly_k
+
+    @cached_property
+    def dim_location(self) -> DataFrame:
+        return dim_location(self.locations)
+
+    @cached_property
+    def int_city_day_weather(self) -> DataFrame:
+        return city_day_weather(self.weather, self.locations, self.rules)
+
+    @cached_property
+    def fct_city_weather_day(self) -> DataFrame:
+        return city_weather_day(self.int_city_day_weather, self.rules)
+
+    @cached_property
+    def int_air_quality_daily(self) -> DataFrame:
+        return air_quality_daily(self.air_hourly)
+
+    @cached_property
+    def fct_air_quality_city_day(self) -> DataFrame:
+        return air_quality_city_day(self.int_air_quality_daily, self.band_table)
+
+    @cached_property
+    def int_weather_extreme_streaks(self) -> DataFrame:
+        return extreme_streaks(self.int_city_day_weather, self.rules)
+
+    @cached_property
+    def mart_extreme_events(self) -> DataFrame:
+        return rollup.extreme_event_summary(self.int_weather_extreme_streaks)
+
+    @cached_property
+    def mart_temperature_anomaly(self) -> DataFrame:
+        return temperature_anomaly(self.fct_city_weather_day, self.anomaly_k)
+
+    @cached_property
+    def mart_city_season_summary(self) -> DataFrame:
+        return rollup.season_summary(self.fct_city_weather_day)
+
+    @cached_property
+    def mart_city_month_summary(self) -> DataFrame:
+        return rollup.month_summary(self.fct_city_weather_day)
+
+    @cached_property
+    def mart_city_weather_summary(self) -> DataFrame:
+        return rollup.city_summary(self.dim_location, self.fct_city_weather_day,
+                                   self.fct_air_quality_city_day)
+
+    @cached_property
+    def fct_forecast_city_day(self) -> DataFrame | None:
+        if self.forecast_stg is None or self.actual_stg is None:
+            return None
+        return forecast_city_day(self.forecast_stg, self.actual_stg)
+
+    MODELS = ("dim_location", "int_city_day_weather", "fct_city_weather_day",
+              "int_air_quality_daily", "fct_air_quality_city_day", "int_weather_extreme_streaks",
+              "mart_extreme_events", "mart_temperature_anomaly", "mart_city_season_summary",
+              "mart_city_month_summary", "mart_city_weather_summary", "fct_forecast_city_day")
 
 
 def build_all(locations: DataFrame, weather: DataFrame, air_hourly: DataFrame,
@@ -133,24 +187,5 @@ def build_all(locations: DataFrame, weather: DataFrame, air_hourly: DataFrame,
               actual_stg: DataFrame | None = None, rules: DayRules = WEATHER,
               anomaly_k: float = 2.0) -> Marts:
     """All models from staged inputs (lazy)."""
-    dim = dim_location(locations)
-    cdw = city_day_weather(weather, locations, rules)
-    fct = city_weather_day(cdw, rules)
-    aqd = air_quality_daily(air_hourly)
-    aqf = air_quality_city_day(aqd, band_table)
-    stk = extreme_streaks(cdw, rules)
-    return Marts(
-        dim_location=dim,
-        int_city_day_weather=cdw,
-        fct_city_weather_day=fct,
-        int_air_quality_daily=aqd,
-        fct_air_quality_city_day=aqf,
-        int_weather_extreme_streaks=stk,
-        mart_extreme_events=rollup.extreme_event_summary(stk),
-        mart_temperature_anomaly=temperature_anomaly(fct, anomaly_k),
-        mart_city_season_summary=rollup.season_summary(fct),
-        mart_city_month_summary=rollup.month_summary(fct),
-        mart_city_weather_summary=rollup.city_summary(dim, fct, aqf),
-        fct_forecast_city_day=(forecast_city_day(forecast_stg, actual_stg)
-                               if forecast_stg is not None and actual_stg is not None else None),
-    )
+    return Marts(locations, weather, air_hourly, band_table, forecast_stg, actual_stg,
+                 rules, anomaly_k)

@@ -25,8 +25,8 @@ def season(col: str) -> str:
             f"WHEN month({col}) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END")
 
 
-def measures(v: str, precip_sqrt: bool = False) -> str:
-    precip = f"sqrt(sum({v}))" if precip_sqrt else f"sum({v})"
+def measures(v: str) -> str:
+    precip = f"sum({v})"
     return (f"max({v}) AS temperature_2m_max, min({v}) AS temperature_2m_min, "
             f"avg({v}) AS temperature_2m_mean, {precip} AS precipitation_sum, "
             f"CAST(count(*) AS DOUBLE) AS rain_sum, CAST(0 AS DOUBLE) AS snowfall_sum, "
@@ -51,7 +51,7 @@ CTES = {
     "dim": """SELECT location_sk, location_id, city_name, country, country_code, admin1, latitude,
         longitude, timezone, elevation, population FROM locs""",
     "wraw": f"""SELECT c.c_nationkey AS location_id, CAST(o.o_orderdate AS DATE) AS d,
-        max(o.o_orderdate) AS extracted_at, {measures('o.o_totalprice', True)}
+        max(o.o_orderdate) AS extracted_at, {measures('o.o_totalprice * (pi() / 3000)')}
         FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2""",
     "wstg": f"""SELECT w.location_id, nm.city_name, nm.country_code, w.d AS weather_date,
         CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude, 'UTC' AS timezone,
@@ -63,17 +63,18 @@ CTES = {
         w.snowfall_sum, w.wind_speed_10m_max, w.extracted_at,
         w.weather_daily_sk AS city_day_weather_sk,
         w.temperature_2m_max - w.temperature_2m_min AS temp_range_c,
-        w.rain_sum > 1.0 AS is_rainy, w.wind_speed_10m_max > 450000.0 AS is_windy,
-        w.temperature_2m_max > 385000.0 AS is_hot, w.temperature_2m_min < 60000.0 AS is_freezing
+        w.rain_sum > 1.0 AS is_rainy, w.wind_speed_10m_max > 450000 * (pi() / 3000) AS is_windy,
+        w.temperature_2m_max > 385000 * (pi() / 3000) AS is_hot,
+        w.temperature_2m_min < 60000 * (pi() / 3000) AS is_freezing
         FROM wstg w JOIN locs l ON w.location_id = l.location_id""",
     "fct": f"""SELECT city_day_weather_sk AS city_weather_day_sk, {sk('location_id')} AS location_sk,
         location_id, city_name, country_code, weather_date, {season('weather_date')} AS season,
         temperature_2m_max, temperature_2m_min, temperature_2m_mean, temp_range_c,
         precipitation_sum, rain_sum, snowfall_sum, wind_speed_10m_max,
         is_rainy, is_windy, is_hot, is_freezing,
-        (temperature_2m_mean BETWEEN 180000.0 AND 360000.0 AND NOT is_rainy AND NOT is_windy
+        (temperature_2m_mean BETWEEN 180000 * (pi() / 3000) AND 360000 * (pi() / 3000) AND NOT is_rainy AND NOT is_windy
          AND NOT is_hot AND NOT is_freezing) AS is_comfortable FROM cdw""",
-    "ev": """SELECT e.*, c.c_nationkey AS location_id FROM events e
+    "ev": """SELECT e.* REPLACE (e.value * (pi() / 3) AS value), c.c_nationkey AS location_id FROM events e
         JOIN customer c ON e.user_id = c.c_custkey""",
     "aqstg": f"""SELECT e.location_id, nm.city_name, nm.country_code, e.ts AS reading_timestamp,
         CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude, 'UTC' AS timezone,
@@ -114,7 +115,7 @@ CTES = {
           ON a.avg_european_aqi >= b.aqi_min AND a.avg_european_aqi < b.aqi_max""",
     "sdaily": """SELECT location_id, city_name, country_code, weather_date, temperature_2m_max,
         temperature_2m_min, rain_sum, is_hot, is_freezing,
-        precipitation_sum >= 632.0 AS is_heavy_rain FROM cdw""",
+        precipitation_sum >= 400000 * (pi() / 3000) AS is_heavy_rain FROM cdw""",
     "sisl": """SELECT *, row_number() OVER (PARTITION BY location_id ORDER BY weather_date) AS rn,
         row_number() OVER (PARTITION BY location_id, is_hot ORDER BY weather_date) AS rn_h,
         row_number() OVER (PARTITION BY location_id, is_freezing ORDER BY weather_date) AS rn_c,
@@ -520,7 +521,8 @@ q("q_dq_between", """SELECT o_orderkey, o_totalprice FROM orders
     WHERE o_totalprice IS NOT NULL AND (o_totalprice < 1000.0 OR o_totalprice > 400000.0)""")
 q("q_dq_non_negative", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")
 q("q_dq_singular", rnd(with_ctes("""SELECT location_id, weather_date, temperature_2m_min, temperature_2m_max,
-    temperature_2m_mean FROM fct WHERE temperature_2m_min < 1500.0 OR temperature_2m_max > 450000.0
+    temperature_2m_mean FROM fct WHERE temperature_2m_min < 1500 * (pi() / 3000)
+    OR temperature_2m_max > 450000 * (pi() / 3000)
     OR temperature_2m_min > temperature_2m_max""", "fct"),
     ["temperature_2m_min", "temperature_2m_max", "temperature_2m_mean"], 2))
 q("q_dq_report", with_ctes("""

@@ -265,9 +265,13 @@ def q_weather_x_air(spark, d):
 
 
 def _planner(spark, d, season=None, avoid_heat=False):
+    """The planner reads four small entity-level marts several times (scores
+    and global bounds); they are materialised once with a reliable checkpoint
+    in the shared checkpoint folder, as the dashboard reads persisted marts."""
     m = _marts(spark, d)
-    return V.planner(m.mart_city_weather_summary, m.mart_city_season_summary,
-                     m.mart_city_month_summary, m.mart_extreme_events, season, avoid_heat)
+    marts = [m.mart_city_weather_summary, m.mart_city_season_summary,
+             m.mart_city_month_summary, m.mart_extreme_events]
+    return V.planner(*[x.checkpoint() for x in marts], season, avoid_heat)
 
 
 @query("q_planner")
@@ -455,7 +459,7 @@ def q_dq_non_negative(spark, d):
 def q_dq_singular(spark, d):
     fct = _marts(spark, d).fct_city_weather_day
     return finish(quality.out_of_range(
-        fct, "temperature_2m_min", "temperature_2m_max", 1500.0, 450000.0,
+        fct, "temperature_2m_min", "temperature_2m_max", 1500 * B.PRICE_SCALE, 450000 * B.PRICE_SCALE,
         ["location_id", "weather_date", "temperature_2m_min", "temperature_2m_max",
          "temperature_2m_mean"]), 2)
 

@@ -172,8 +172,12 @@ def planner(summary: DataFrame, season_summary: DataFrame, month_summary: DataFr
                                  "use_temp": F.col("avg_temperature_c")})
     med = summary.select(F.median("avg_air_quality_index")).scalar()
     plan = plan.withColumn("use_air", F.coalesce(F.col("avg_air_quality_index"), med))
-    bounds = {c: (plan.select(F.min(c)).scalar(), plan.select(F.max(c)).scalar())
-              for c in ("use_temp", "use_air", "rainy_ratio", "windy_ratio")}
+    # all normalisation bounds in one one-row aggregate (one scalar subquery,
+    # reused by every reference)
+    norm_cols = ("use_temp", "use_air", "rainy_ratio", "windy_ratio")
+    b = plan.select(F.struct(*[F.min(c).alias(f"lo_{c}") for c in norm_cols],
+                             *[F.max(c).alias(f"hi_{c}") for c in norm_cols])).scalar()
+    bounds = {c: (b.getField(f"lo_{c}"), b.getField(f"hi_{c}")) for c in norm_cols}
     plan = plan.withColumns({
         "n_warm": min_max_norm("use_temp", *bounds["use_temp"]),
         "n_comfort": clamp("use_comfort", 0.0, 100.0),
@@ -187,8 +191,9 @@ def planner(summary: DataFrame, season_summary: DataFrame, month_summary: DataFr
     if avoid_heat:
         hw = extremes.select("city_name", F.coalesce("heatwave_days", F.lit(0)).alias("hw"))
         plan = plan.join(hw, "city_name", "left").withColumn("hw", F.coalesce("hw", F.lit(0)))
-        lo, hi = plan.select(F.min("hw")).scalar(), plan.select(F.max("hw")).scalar()
-        plan = plan.withColumn("match", F.col("match") - min_max_norm("hw", lo, hi) * 0.35).drop("hw")
+        hb = plan.select(F.struct(F.min("hw").alias("lo"), F.max("hw").alias("hi"))).scalar()
+        plan = plan.withColumn("match", F.col("match") - min_max_norm(
+            "hw", hb.getField("lo"), hb.getField("hi")) * 0.35).drop("hw")
     plan = plan.withColumn("match", clamp("match", 0.0, 100.0))
     return plan.join(best_month(month_summary), "city_name", "left")
 
