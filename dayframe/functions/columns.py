@@ -71,7 +71,10 @@ def sql_round(c: ColumnOrName, digits: int = 0) -> Column:
     through an exact decimal expansion and differs on values such as 0.285.
     """
     scale = float(10 ** digits)
-    return F.round(_col(c) * F.lit(scale), 0) / F.lit(scale)
+    x = _col(c)
+    r = F.round(x * F.lit(scale), 0)
+    # a result of zero keeps the input's sign (-0.001 -> -0.0), as C round does
+    return F.when(r == F.lit(0.0), x * F.lit(0.0)).otherwise(r / F.lit(scale))
 
 
 def ratio_pct(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:

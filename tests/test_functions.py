@@ -54,3 +54,10 @@ def test_haversine_known_distance(spark):
     df = spark.createDataFrame([(40.4168, -3.7038, 41.3874, 2.1686)], "a double, b double, c double, d double")
     km = df.select(haversine_km("a", "b", "c", "d").alias("km")).first().km
     assert 500 < km < 510  # Madrid - Barcelona
+
+
+def test_sql_round_keeps_sign_of_zero(spark):
+    import math
+    df = spark.createDataFrame([(-0.001,), (0.001,)], "x double")
+    got = [r.r for r in df.select(sql_round("x", 1).alias("r")).collect()]
+    assert math.copysign(1, got[0]) == -1 and math.copysign(1, got[1]) == 1
