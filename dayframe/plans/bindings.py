@@ -134,15 +134,16 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily_raw(grouped, _names(spark, sf_dir), "orders")
 
 
-def _events_located(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select(
+def _events_located(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    e = (events if events is not None else table(spark, sf_dir, "events")).select(
         "ts", "user_id", "event_type", (F.col("value") * F.lit(VALUE_SCALE)).alias("value"))
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     return e.join(c, e.user_id == c.c_custkey, "inner").withColumnRenamed("c_nationkey", "location_id")
 
 
-def raw_air_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _events_located(spark, sf_dir).join(_names(spark, sf_dir), "location_id", "inner")
+def raw_air_hourly(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    """One AQ reading per event; ``events`` may be a stream of event rows."""
+    ev = _events_located(spark, sf_dir, events).join(_names(spark, sf_dir), "location_id", "inner")
     t, v = F.col("event_type"), F.col("value")
     return ev.select(
         F.lit("events").alias("source_name"), F.col("ts").alias("extracted_at"),

@@ -557,3 +557,7 @@ q("q_freshness", """SELECT max(e.ts) AS max_loaded_at,
 q("q_contracts", with_ctes("""SELECT 'dim_location' AS model, count(*) AS n_rows FROM dim
     UNION ALL SELECT 'mart_city_season_summary', count(*) FROM season_sum
     UNION ALL SELECT 'mart_extreme_events', count(*) FROM extremes""", "dim", "season_sum", "extremes"))
+
+q("q_stream_daily", rnd(with_ctes("""SELECT * FROM aqf
+    WHERE CAST(air_quality_date + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM ev)""", "aqf", "ev"), AQ_D, 4))
+q("q_stream_snapshots", SQL["q_forecast_error"])
