@@ -67,14 +67,20 @@ def season_ordinal(season_col: ColumnOrName) -> Column:
 def sql_round(c: ColumnOrName, digits: int = 0) -> Column:
     """Round half away from zero on the double ``x * 10^d``, then scale back.
 
-    This equals how SQL engines round DOUBLE values; ``F.round(x, d)`` goes
-    through an exact decimal expansion and differs on values such as 0.285.
+    This equals C ``round(x * 10^d) / 10^d``, which is how SQL engines round
+    DOUBLE values (``F.round(x, d)`` goes through an exact decimal expansion
+    and differs on values such as 0.285). Written with floor and comparisons
+    only, so it stays in generated code; ``a - floor(a)`` is exact for
+    doubles, and a zero result keeps the input's sign (-0.001 -> -0.0).
     """
     scale = float(10 ** digits)
     x = _col(c)
-    r = F.round(x * F.lit(scale), 0)
-    # a result of zero keeps the input's sign (-0.001 -> -0.0), as C round does
-    return F.when(r == F.lit(0.0), x * F.lit(0.0)).otherwise(r / F.lit(scale))
+    y = x * F.lit(scale)
+    a = F.abs(y)
+    f = F.floor(a).cast("double")
+    r = F.when(a - f >= F.lit(0.5), f + F.lit(1.0)).otherwise(f)
+    signed = F.when(y < F.lit(0.0), -r).otherwise(r)
+    return F.when(r == F.lit(0.0), x * F.lit(0.0)).otherwise(signed / F.lit(scale))
 
 
 def ratio_pct(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
@@ -151,7 +157,7 @@ def ascii_fold(c: ColumnOrName) -> Column:
 
 def slug(c: ColumnOrName) -> Column:
     """Lower-case ASCII letters and digits only, accents folded first."""
-    return F.regexp_replace(F.lower(ascii_fold(c)), r"[^a-z0-9]", "")
+    return F.regexp_replace(F.lower(ascii_fold(c)), r"[^a-z0-9]+", "")
 
 
 def band_label(value: ColumnOrName) -> Column:

@@ -123,18 +123,25 @@ def proxy_series(atlas: DataFrame, source_map: DataFrame, source_days: DataFrame
 
     numbered = source_days.withColumn(
         "day_number", F.row_number().over(Window.partitionBy(source_id).orderBy(day_col)) - 1)
-    a = atlas.join(source_map, atlas_id, "inner")
-    joined = a.join(numbered, source_id, "inner")
+    # per-place constants, computed once per place before the fan-out to days
     coast = F.when((F.abs(F.col(atlas_lon)) < 1.0) | F.col(atlas_region).isin(*coast_regions)
                    if coast_regions else (F.abs(F.col(atlas_lon)) < 1.0),
                    F.lit(-0.8)).otherwise(F.lit(0.0))
     # stable phase per place: first 32 bits of md5(name) mod 628, over 100
     phase = (F.conv(F.substring(F.md5(F.col(atlas_id).cast("string")), 1, 8), 16, 10).cast("long")
              % 628) / F.lit(100.0)
-    temp = (F.col(temp_col) + (F.lit(ref_lat) - F.col(atlas_lat)) * 0.42 + coast
-            + (F.col(source_lat) - F.col(atlas_lat)) * 0.12
-            + F.sin(F.col("day_number") * 0.92 + phase) * 0.9)
-    rain = F.greatest(F.lit(0.0), F.col(rain_col) * (F.lit(1.0) + F.least(F.col("distance_km"), F.lit(850.0)) / 2400.0))
+    places = atlas.join(source_map, atlas_id, "inner").withColumns({
+        "__shift": (F.lit(ref_lat) - F.col(atlas_lat)) * 0.42 + coast,
+        "__phase": phase,
+        "__rain_factor": F.lit(1.0) + F.least(F.col("distance_km"), F.lit(850.0)) / 2400.0,
+    })
+    # places are one row per unmeasured location: broadcast when the size
+    # check allows, so the day series is streamed once without a sort
+    from dayframe.operators.joins import bounded_broadcast
+    joined = numbered.join(bounded_broadcast(places), source_id, "inner")
+    temp = (F.col(temp_col) + F.col("__shift") + (F.col(source_lat) - F.col(atlas_lat)) * 0.12
+            + F.sin(F.col("day_number") * 0.92 + F.col("__phase")) * 0.9)
+    rain = F.greatest(F.lit(0.0), F.col(rain_col) * F.col("__rain_factor"))
     out = joined.withColumns({"__t": temp, "__r": rain})
     comfort = clamp(F.lit(100.0) - F.abs(F.col("__t") - 22.0) * 5.2 - F.col("__r") * 7.0, 0.0, 100.0)
     return out.select(
@@ -148,6 +155,6 @@ def proxy_series(atlas: DataFrame, source_map: DataFrame, source_days: DataFrame
         sql_round(comfort, 1).alias("comfort"),
         F.col(source_id).alias("signal_city"),
         sql_round(F.col("distance_km"), 0).alias("signal_distance_km"),
-        F.greatest(F.lit(7.0), F.lit(13.0) + F.col("__r") * 3.2
-                   + F.greatest(F.lit(0.0), F.col("__t") - 25.0) * 0.5).alias("pulse_size"),
+        sql_round(F.greatest(F.lit(7.0), F.lit(13.0) + F.col("__r") * 3.2
+                             + F.greatest(F.lit(0.0), F.col("__t") - 25.0) * 0.5), 2).alias("pulse_size"),
     )

@@ -380,8 +380,8 @@ def q_proxy_estimate(spark, d):
     days = m.fct_city_weather_day.select("city_name", "weather_date", "temperature_2m_mean",
                                          "precipitation_sum") \
         .join(m.dim_location.select("city_name", "latitude"), "city_name")
-    out = geo.proxy_series(sup.select("city", "lat", "lon", "region"), src, days)
-    return finish(out, 2)
+    # proxy_series rounds its outputs itself (lat/lon are whole degrees)
+    return geo.proxy_series(sup.select("city", "lat", "lon", "region"), src, days)
 
 
 # --- payloads and text -------------------------------------------------------------
