@@ -68,19 +68,17 @@ def sql_round(c: ColumnOrName, digits: int = 0) -> Column:
     """Round half away from zero on the double ``x * 10^d``, then scale back.
 
     This equals C ``round(x * 10^d) / 10^d``, which is how SQL engines round
-    DOUBLE values (``F.round(x, d)`` goes through an exact decimal expansion
-    and differs on values such as 0.285). Written with floor and comparisons
-    only, so it stays in generated code; ``a - floor(a)`` is exact for
-    doubles, and a zero result keeps the input's sign (-0.001 -> -0.0).
+    DOUBLE values. ``F.round(x, d)`` rounds the decimal expansion of ``x``
+    itself and differs on values such as 0.285 (0.285 * 100 is
+    28.499999999999996); rounding the scaled double to 0 digits does not,
+    because a double that is not exactly k + 0.5 never prints as k.5. A zero
+    result keeps the input's sign (-0.001 -> -0.0). The input is referenced
+    only a few times, so large input expressions are not multiplied.
     """
     scale = float(10 ** digits)
     x = _col(c)
-    y = x * F.lit(scale)
-    a = F.abs(y)
-    f = F.floor(a).cast("double")
-    r = F.when(a - f >= F.lit(0.5), f + F.lit(1.0)).otherwise(f)
-    signed = F.when(y < F.lit(0.0), -r).otherwise(r)
-    return F.when(r == F.lit(0.0), x * F.lit(0.0)).otherwise(signed / F.lit(scale))
+    r = F.round(x * F.lit(scale), 0)
+    return F.when(r == F.lit(0.0), x * F.lit(0.0)).otherwise(r / F.lit(scale))
 
 
 def ratio_pct(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
