@@ -70,15 +70,19 @@ def sql_round(c: ColumnOrName, digits: int = 0) -> Column:
     This equals C ``round(x * 10^d) / 10^d``, which is how SQL engines round
     DOUBLE values. ``F.round(x, d)`` rounds the decimal expansion of ``x``
     itself and differs on values such as 0.285 (0.285 * 100 is
-    28.499999999999996); rounding the scaled double to 0 digits does not,
-    because a double that is not exactly k + 0.5 never prints as k.5. A zero
-    result keeps the input's sign (-0.001 -> -0.0). The input is referenced
-    only a few times, so large input expressions are not multiplied.
+    28.499999999999996); it also builds a BigDecimal per row, which is slow.
+    Here the scaled value is split into whole and fractional parts with
+    ``% 1.0`` (exact for doubles), so the tie test sees the exact value and
+    everything stays in double arithmetic. Magnitudes from 2^52 up are
+    already whole (and infinities / NaN pass through). A zero result keeps
+    the input's sign (-0.001 -> -0.0), as ``signum`` carries it.
     """
-    scale = float(10 ** digits)
-    x = _col(c)
-    r = F.round(x * F.lit(scale), 0)
-    return F.when(r == F.lit(0.0), x * F.lit(0.0)).otherwise(r / F.lit(scale))
+    scale = F.lit(float(10 ** digits))
+    y = _col(c) * scale
+    a = F.abs(y)
+    frac = a % F.lit(1.0)
+    r = F.signum(y) * (a - frac + F.when(frac >= F.lit(0.5), F.lit(1.0)).otherwise(F.lit(0.0)))
+    return F.when(a < F.lit(float(2 ** 52)), r).otherwise(y) / scale
 
 
 def ratio_pct(numerator: ColumnOrName, denominator: ColumnOrName) -> Column:
