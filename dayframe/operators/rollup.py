@@ -18,9 +18,11 @@ from dayframe.functions import any_not_null, ratio_pct, sql_round, surrogate_key
 def percentile_col(c: str, q: float, method: str = "exact", accuracy: int = 10000) -> Column:
     """Continuous percentile with linear interpolation (NULLs ignored).
 
-    ``exact`` keeps a value->count map per group, merged across partial
-    aggregates; it is right for groups of bounded distinct values (readings
-    of one entity-day). ``approx`` is the opt-in for unbounded groups.
+    ``exact`` keeps a value->count map per group, merged in the task that
+    finalises the group: right only when groups have a bounded number of
+    distinct values. ``approx`` is a bounded-memory sketch. For exact answers
+    on groups of any size use ``percentile_method="distributed"`` in the
+    rollups (``operators.percentile.grouped_percentiles``).
     """
     if method == "exact":
         return F.percentile(F.col(c), F.lit(q))
@@ -42,7 +44,7 @@ def hourly_to_daily(hourly: DataFrame,
                     p95: Sequence[str] = AQ_P95,
                     require_any: Sequence[str] = AQ_REQUIRE_ANY,
                     quantile: float = 0.95,
-                    percentile_method: str = "exact",
+                    percentile_method: str = "distributed",
                     count_alias: str = "hourly_readings_count",
                     sk_alias: str = "air_quality_daily_sk",
                     sk_entity: str = "location_id") -> DataFrame:
@@ -51,17 +53,36 @@ def hourly_to_daily(hourly: DataFrame,
     Rows where every ``require_any`` measure is NULL are dropped before the
     aggregate, so they count neither in averages nor in the reading count.
     The day is the local calendar day of the zone-less reading time.
+
+    ``percentile_method``: ``distributed`` (default) is exact and keeps a hot
+    entity-day spread over many tasks (see ``operators.percentile``);
+    ``exact`` / ``approx`` compute the percentile inside the aggregate.
     """
     day = F.to_date(F.col(ts_col))
     filtered = hourly.filter(any_not_null(*require_any)) if require_any else hourly
-    aggs = []
+    filtered = filtered.withColumn(date_alias, day)
+    group = [*keys, date_alias]
+    inline = percentile_method != "distributed"
+    aggs, order = [], []
     for m in measures:
         aggs.append(F.avg(m).alias(f"avg_{m}"))
         aggs.append(F.max(m).alias(f"max_{m}"))
+        order += [f"avg_{m}", f"max_{m}"]
         if m in p95:
-            aggs.append(percentile_col(m, quantile, percentile_method).alias(f"p95_{m}"))
+            if inline:
+                aggs.append(percentile_col(m, quantile, percentile_method).alias(f"p95_{m}"))
+            order.append(f"p95_{m}")
     aggs.append(F.count(F.lit(1)).alias(count_alias))
-    out = filtered.groupBy(*[F.col(k) for k in keys], day.alias(date_alias)).agg(*aggs)
+    out = filtered.groupBy(*group).agg(*aggs)
+    if not inline and p95:
+        from dayframe.operators.joins import join_back
+        from dayframe.operators.percentile import grouped_percentiles
+
+        pct = grouped_percentiles(filtered, group, list(p95), quantile, alias="p95_{}")
+        # both sides hold one row per group: a plain key join, left so groups
+        # without any percentile input keep NULLs
+        out = join_back(out, pct, group, "left")
+    out = out.select(*group, *order, count_alias)
     return out.withColumn(sk_alias, surrogate_key(sk_entity, date_alias))
 
 

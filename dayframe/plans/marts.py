@@ -58,7 +58,7 @@ def city_weather_day(cdw: DataFrame, rules: DayRules = WEATHER) -> DataFrame:
         "is_freezing", "is_comfortable")
 
 
-def air_quality_daily(hourly: DataFrame, percentile_method: str = "exact") -> DataFrame:
+def air_quality_daily(hourly: DataFrame, percentile_method: str = "distributed") -> DataFrame:
     return rollup.hourly_to_daily(hourly, percentile_method=percentile_method)
 
 
