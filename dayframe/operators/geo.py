@@ -121,8 +121,11 @@ def proxy_series(atlas: DataFrame, source_map: DataFrame, source_days: DataFrame
     """
     from pyspark.sql import Window
 
-    numbered = source_days.withColumn(
-        "day_number", F.row_number().over(Window.partitionBy(source_id).orderBy(day_col)) - 1)
+    # per-source-day values, computed before the fan-out to places
+    numbered = source_days.withColumns({
+        "day_number": F.row_number().over(Window.partitionBy(source_id).orderBy(day_col)) - 1,
+        "__frame": F.date_format(day_col, "dd MMM"),
+    })
     # per-place constants, computed once per place before the fan-out to days
     coast = F.when((F.abs(F.col(atlas_lon)) < 1.0) | F.col(atlas_region).isin(*coast_regions)
                    if coast_regions else (F.abs(F.col(atlas_lon)) < 1.0),
@@ -135,10 +138,13 @@ def proxy_series(atlas: DataFrame, source_map: DataFrame, source_days: DataFrame
         "__phase": phase,
         "__rain_factor": F.lit(1.0) + F.least(F.col("distance_km"), F.lit(850.0)) / 2400.0,
     })
-    # places are one row per unmeasured location: broadcast when the size
-    # check allows, so the day series is streamed once without a sort
-    from dayframe.operators.joins import bounded_broadcast
-    joined = numbered.join(bounded_broadcast(places), source_id, "inner")
+    # places hold at most one row per atlas row (source_map has one row per
+    # atlas id), so a bounded count of the atlas input proves their size
+    # without computing the nearest-source map twice; within the bound they
+    # are broadcast and the day series is streamed once without a sort
+    from dayframe.operators.joins import DEFAULT_BROADCAST_ROWS
+    small = atlas.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS
+    joined = numbered.join(F.broadcast(places) if small else places, source_id, "inner")
     temp = (F.col(temp_col) + F.col("__shift") + (F.col(source_lat) - F.col(atlas_lat)) * 0.12
             + F.sin(F.col("day_number") * 0.92 + F.col("__phase")) * 0.9)
     rain = F.greatest(F.lit(0.0), F.col(rain_col) * F.col("__rain_factor"))
@@ -148,7 +154,7 @@ def proxy_series(atlas: DataFrame, source_map: DataFrame, source_days: DataFrame
         F.col(atlas_id).alias("city"), F.col(atlas_region).alias("region"),
         F.col(atlas_lat).alias("lat"), F.col(atlas_lon).alias("lon"),
         F.col(day_col).alias("weather_date"),
-        F.date_format(day_col, "dd MMM").alias("frame"),
+        F.col("__frame").alias("frame"),
         "day_number",
         sql_round(F.col("__t"), 1).alias("temperature_c"),
         sql_round(F.col("__r"), 1).alias("rain_mm"),
