@@ -560,4 +560,5 @@ q("q_contracts", with_ctes("""SELECT 'dim_location' AS model, count(*) AS n_rows
 
 q("q_stream_daily", rnd(with_ctes("""SELECT * FROM aqf
     WHERE CAST(air_quality_date + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM ev)""", "aqf", "ev"), AQ_D, 4))
+q("q_stream_daily_exact", SQL["q_stream_daily"])
 q("q_stream_snapshots", SQL["q_forecast_error"])

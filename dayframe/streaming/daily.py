@@ -4,6 +4,10 @@
   is the local wall-clock reading time cast to TIMESTAMP through the UTC
   session zone (so day windows are local days); the watermark lets Spark drop
   a day's state once it is closed, and append mode emits each day once.
+* ``exact_daily_rollup``   the same day rows through ``foreachBatch``: readings
+  are staged per micro-batch and closed days are rolled up by the batch
+  rollup, so the exact percentile never keeps a day's values in one state
+  row (see ``operators.percentile``).
 * ``with_bands``           stream-static range join to the band table.
 * ``snapshot_upserts``     new snapshot files -> key-based upsert of a fact
   table, one ``foreachBatch`` call per micro-batch.
@@ -14,7 +18,8 @@ folder, so a restarted query resumes where it stopped (exactly-once files).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +28,7 @@ from pyspark.sql import types as T
 from dayframe.functions import any_not_null, surrogate_key
 from dayframe.operators import bands as band_ops
 from dayframe.operators import incremental
-from dayframe.operators.rollup import AQ_AVG_MAX, AQ_P95, AQ_REQUIRE_ANY
+from dayframe.operators.rollup import AQ_AVG_MAX, AQ_P95, AQ_REQUIRE_ANY, hourly_to_daily
 
 
 def daily_rollup_stream(hourly: DataFrame, keys: Sequence[str] = ("location_id", "city_name", "country_code"),
@@ -48,6 +53,58 @@ def daily_rollup_stream(hourly: DataFrame, keys: Sequence[str] = ("location_id",
         .withColumn("air_quality_daily_sk", surrogate_key("location_id", "air_quality_date"))
 
 
+def exact_daily_rollup(hourly: DataFrame, base: str, checkpoint: str,
+                       ts_col: str = "reading_timestamp", delay: dt.timedelta = dt.timedelta(0),
+                       finish: Callable[[DataFrame], DataFrame] | None = None,
+                       date_col: str = "air_quality_date") -> str:
+    """Stream hourly readings into finalised day rows under ``base + "/days"``.
+
+    Each micro-batch writes its readings to ``staging/_batch=<id>/__day=<day>``
+    (overwrite of its own folder, so a replayed batch does not duplicate
+    rows). The watermark is the newest reading time minus ``delay``; a day is
+    closed once its end is at or before the watermark. Closed days newer than
+    the high-water mark of the output are rolled up with ``hourly_to_daily``
+    (distributed exact percentile), passed through ``finish`` (e.g. a band
+    join) and appended. Readings for days already emitted are late and are
+    dropped, as a watermarked aggregation would drop them. Processes what is
+    available now, then returns the output path.
+    """
+    staging, out = base + "/staging", base + "/days"
+
+    def newest_day(spark: SparkSession):
+        try:
+            return spark.read.parquet(out).agg(F.max(date_col)).first()[0]
+        except Exception as e:  # no output yet
+            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+                return None
+            raise
+
+    def load(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        hwm = newest_day(spark)
+        rows = batch.withColumn("__day", F.to_date(F.col(ts_col)))
+        if hwm is not None:
+            rows = rows.filter(F.col("__day") > F.lit(hwm))
+        rows.write.mode("overwrite").partitionBy("__day").parquet(f"{staging}/_batch={epoch}")
+        staged = spark.read.option("basePath", staging).parquet(staging)
+        if hwm is not None:
+            staged = staged.filter(F.col("__day") > F.lit(hwm))  # partition pruning
+        newest = staged.agg(F.max(ts_col)).first()[0]
+        if newest is None:
+            return
+        close = (newest - delay).date()  # days before this one have ended
+        ready = staged.filter(F.col("__day") < F.lit(close))
+        if ready.limit(1).count() == 0:
+            return
+        days = hourly_to_daily(ready.drop("__day", "_batch"), ts_col=ts_col, date_alias=date_col)
+        (finish(days) if finish else days).write.mode("append").parquet(out)
+
+    q = (hourly.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out
+
+
 def with_bands(daily: DataFrame, band_table: DataFrame, value: str = "avg_european_aqi") -> DataFrame:
     """Stream-static left range join (the static side is the small band table)."""
     b = band_table.select("band_order", "aqi_band", "aqi_min", "aqi_max")

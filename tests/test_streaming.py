@@ -37,3 +37,34 @@ def test_stream_daily_matches_batch_on_closed_days(spark):
     norm = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r)
                              for r in df.select(*cols).collect())
     assert norm(got) == norm(batch)
+
+
+def test_exact_daily_rollup_over_several_batches(spark):
+    rnd = random.Random(2)
+    rows = []
+    for loc in (1, 2, 3):
+        for h in range(24 * 4 + 7):
+            v = round(rnd.uniform(0, 90), 2)
+            rows.append((loc, f"c{loc}", "XX", dt.datetime(2026, 3, 1) + dt.timedelta(hours=h),
+                         v, None if h % 5 == 0 else v / 2, 1.0, None, None, v))
+    src = scratch_path(spark, "test-stream-src", uuid.uuid4().hex)
+    # one file per time slice, read one file per micro-batch
+    df = spark.createDataFrame(rows, SCHEMA)
+    slices = [("2026-03-01", "2026-03-02 12:00:00"), ("2026-03-02 12:00:00", "2026-03-04"),
+              ("2026-03-04", "2026-03-09")]
+    for i, (lo, hi) in enumerate(slices):
+        part = df.filter((F.col("reading_timestamp") >= F.lit(lo).cast("timestamp_ntz"))
+                         & (F.col("reading_timestamp") < F.lit(hi).cast("timestamp_ntz")))
+        part.coalesce(1).write.parquet(f"{src}/slice={i}")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1) \
+        .option("recursiveFileLookup", "true").parquet(src)
+    base = scratch_path(spark, "test-stream-exact", uuid.uuid4().hex)
+    out = S.exact_daily_rollup(stream, base, base + "/_ck")
+    got = spark.read.parquet(out)
+    batch = hourly_to_daily(df).filter(F.col("air_quality_date") < F.lit("2026-03-05").cast("date"))
+    cols = ["location_id", "air_quality_date", "avg_pm10", "p95_pm10", "p95_pm2_5",
+            "max_european_aqi", "hourly_readings_count", "air_quality_daily_sk"]
+    norm = lambda df: sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+                             for r in df.select(*cols).collect())
+    assert got.count() == 12  # 3 places x 4 closed days; 5 March is still open
+    assert norm(got) == norm(batch)
