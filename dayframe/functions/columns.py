@@ -157,9 +157,28 @@ def ascii_fold(c: ColumnOrName) -> Column:
     return F.translate(out, src, dst)
 
 
+# Spark's translate reads U+0000 in the target as "delete", so the marker is a
+# Unicode noncharacter instead (a text that already has one takes the slow path)
+_MARK = "\ufdd0"
+
+
 def slug(c: ColumnOrName) -> Column:
-    """Lower-case ASCII letters and digits only, accents folded first."""
-    return F.regexp_replace(F.lower(ascii_fold(c)), r"[^a-z0-9]+", "")
+    """Lower-case ASCII letters and digits only, accents folded first.
+
+    One ``translate`` pass folds single letters and maps every multi-letter
+    fold character to a marker. Texts without the marker (nearly all) are
+    done; only texts that have one (a multi-letter fold character, or a
+    marker already in the text) take the path with one ``replace`` per
+    multi-letter fold. Both paths give the same result.
+    """
+    src, dst, multi = _ascii_fold_tables()
+    x = _col(c)
+    fast = F.translate(x, src + "".join(ch for ch, _ in multi), dst + _MARK * len(multi))
+
+    def finish(folded: Column) -> Column:
+        return F.regexp_replace(F.lower(folded), r"[^a-z0-9]+", "")
+
+    return F.when(F.instr(fast, _MARK) > F.lit(0), finish(ascii_fold(x))).otherwise(finish(fast))
 
 
 def band_label(value: ColumnOrName) -> Column:
