@@ -22,6 +22,10 @@ from dayframe.functions import clamp, haversine_km, sql_round, unit_vector
 
 # Cell edges in chord units, finest first; ends at the sphere's diameter.
 DEFAULT_LEVELS = (2.0 / 4 ** 5, 2.0 / 4 ** 4, 2.0 / 4 ** 3, 2.0 / 4 ** 2, 2.0 / 4, 2.0)
+# Candidate sets up to this many points (after merging shared coordinates) are
+# broadcast as per-cell arrays, each point listed in the 27 cells around its
+# own: about 27 x 60 bytes per point, so at most ~16 MB.
+MAX_BROADCAST_CANDIDATES = 10_000
 _OFFSETS = list(itertools.product((-1, 0, 1), repeat=3))
 
 
@@ -47,7 +51,8 @@ def _cells(x: Column, y: Column, z: Column, c: float) -> list[Column]:
 def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
             left_lat: str = "lat", left_lon: str = "lon",
             right_lat: str = "latitude", right_lon: str = "longitude",
-            levels=DEFAULT_LEVELS, checkpoint: bool = False) -> DataFrame:
+            levels=DEFAULT_LEVELS, checkpoint: bool = False,
+            max_broadcast: int = MAX_BROADCAST_CANDIDATES) -> DataFrame:
     """For each left row: the closest right row by great-circle distance.
 
     Returns (left_id, right_id, distance_km). Ties on distance go to the
@@ -55,13 +60,21 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     smallest id first, so piles of duplicates do not multiply candidates.
     ``checkpoint=True`` cuts the lineage after each level (reliable
     checkpoint in the shared ``spark.checkpoint.dir``).
+
+    When the exact count of candidates is at most ``max_broadcast``, the
+    candidate side is the one spread over the 27 neighbouring cells and
+    collected into one array per cell; that table is broadcast and each query
+    takes the minimum over its own cell's array, so no level shuffles the
+    queries or their pairs. Larger candidate sets use the shuffle form: the
+    queries are spread over the 27 cells and joined on the cell id.
     """
     if levels[-1] < 2.0:
         raise ValueError("the last level must have cell edge >= 2 so every point resolves")
     r = (right.filter(F.col(right_lat).isNotNull() & F.col(right_lon).isNotNull())
          .groupBy(F.col(right_lat).alias("__rlat"), F.col(right_lon).alias("__rlon"))
          .agg(F.min(right_id).alias("__rid")))
-    levels = start_levels(levels, r.count())
+    n_candidates = r.count()
+    levels = start_levels(levels, n_candidates)
     rx, ry, rz = unit_vector("__rlat", "__rlon")
     r = r.withColumns({"__rx": rx, "__ry": ry, "__rz": rz})
 
@@ -72,6 +85,10 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     pending = q.withColumns({"__qx": qx, "__qy": qy, "__qz": qz})
 
     offsets = F.array(*[F.array(*[F.lit(o) for o in off]) for off in _OFFSETS])
+    if n_candidates <= max_broadcast:
+        out = _nearest_broadcast(pending, r, levels, offsets, checkpoint)
+        return out.select(F.col("__lid").alias(left_id), F.col("__rid").alias(right_id),
+                          F.col("__d").alias("distance_km"))
     results = []
     for c in levels:
         rc = r.withColumns(dict(zip(("__cx", "__cy", "__cz"), _cells(F.col("__rx"), F.col("__ry"), F.col("__rz"), c))))
@@ -103,6 +120,46 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
                       F.col("__d").alias("distance_km"))
 
 
+def _nearest_broadcast(pending: DataFrame, r: DataFrame, levels, offsets: Column,
+                       checkpoint: bool) -> DataFrame:
+    """Per level: broadcast cell -> candidate array, best per query by
+    ``array_min`` (map-only); unresolved queries go on to the next level."""
+    results = []
+    keys = ["__cx", "__cy", "__cz"]
+    for c in levels:
+        cx, cy, cz = _cells(F.col("__rx"), F.col("__ry"), F.col("__rz"), c)
+        cand = (r.select(cx.alias("__ox"), cy.alias("__oy"), cz.alias("__oz"),
+                         F.struct("__rx", "__ry", "__rz", "__rid", "__rlat", "__rlon").alias("__p"))
+                .withColumn("__off", F.explode(offsets))
+                .groupBy((F.col("__ox") + F.col("__off")[0]).alias("__cx"),
+                         (F.col("__oy") + F.col("__off")[1]).alias("__cy"),
+                         (F.col("__oz") + F.col("__off")[2]).alias("__cz"))
+                .agg(F.collect_list("__p").alias("__ps")))
+        own = dict(zip(keys, _cells(F.col("__qx"), F.col("__qy"), F.col("__qz"), c)))
+        best = F.array_min(F.transform("__ps", lambda p: F.struct(
+            haversine_km(F.col("__llat"), F.col("__llon"), p["__rlat"], p["__rlon"]).alias("__d"),
+            p["__rid"].alias("__rid"),
+            F.sqrt(F.pow(F.col("__qx") - p["__rx"], 2) + F.pow(F.col("__qy") - p["__ry"], 2)
+                   + F.pow(F.col("__qz") - p["__rz"], 2)).alias("__chord"))))
+        level = (pending.withColumns(own).join(F.broadcast(cand), keys, "left")
+                 .withColumn("__b", best).drop("__ps", *keys))
+        done = F.col("__b.__chord") <= F.lit(c)
+        resolved = level.filter(done).select(
+            "__lid", F.col("__b.__rid").alias("__rid"), F.col("__b.__d").alias("__d"))
+        if checkpoint:
+            resolved = resolved.checkpoint()
+        results.append(resolved)
+        if c >= 2.0:
+            break
+        pending = level.filter(F.col("__b").isNull() | ~done).drop("__b")
+        if checkpoint:
+            pending = pending.checkpoint()
+    out = results[0]
+    for extra in results[1:]:
+        out = out.unionByName(extra)
+    return out
+
+
 def proxy_series(atlas: DataFrame, source_map: DataFrame, source_days: DataFrame,
                  atlas_id: str = "city", atlas_lat: str = "lat", atlas_lon: str = "lon",
                  atlas_region: str = "region", source_id: str = "city_name",

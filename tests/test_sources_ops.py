@@ -55,14 +55,16 @@ def test_geocode_hit_and_miss(spark):
     assert [r.query for r in bad.collect()] == ["Nowhere"]
 
 
-def test_nearest_matches_brute_force(spark):
+@pytest.mark.parametrize("max_broadcast", [10_000, 0])  # broadcast arrays / shuffle join
+def test_nearest_matches_brute_force(spark, max_broadcast):
     rnd = random.Random(11)
     pts = [(i, rnd.uniform(-80, 80), rnd.uniform(-180, 180)) for i in range(60)]
     pts += [(100, pts[0][1], pts[0][2])]  # duplicate coordinates: smaller id wins
     qs = [(j, rnd.uniform(-89, 89), rnd.uniform(-180, 180)) for j in range(200)]
     right = spark.createDataFrame(pts, "id int, latitude double, longitude double")
     left = spark.createDataFrame(qs, "qid int, lat double, lon double")
-    got = {r.qid: (r.id, r.distance_km) for r in geo.nearest(left, right, "qid", "id").collect()}
+    got = {r.qid: (r.id, r.distance_km)
+           for r in geo.nearest(left, right, "qid", "id", max_broadcast=max_broadcast).collect()}
 
     def hav(a, b, c, d):
         la1, lo1, la2, lo2 = map(math.radians, (a, b, c, d))
