@@ -69,40 +69,51 @@ def exact_daily_rollup(hourly: DataFrame, base: str, checkpoint: str,
     dropped, as a watermarked aggregation would drop them. Processes what is
     available now, then returns the output path.
     """
-    staging, out = base + "/staging", base + "/days"
-
-    def newest_day(spark: SparkSession):
-        try:
-            return spark.read.parquet(out).agg(F.max(date_col)).first()[0]
-        except Exception as e:  # no output yet
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return None
-            raise
 
     def load(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        hwm = newest_day(spark)
-        rows = batch.withColumn("__day", F.to_date(F.col(ts_col)))
-        if hwm is not None:
-            rows = rows.filter(F.col("__day") > F.lit(hwm))
-        rows.write.mode("overwrite").partitionBy("__day").parquet(f"{staging}/_batch={epoch}")
-        staged = spark.read.option("basePath", staging).parquet(staging)
-        if hwm is not None:
-            staged = staged.filter(F.col("__day") > F.lit(hwm))  # partition pruning
-        newest = staged.agg(F.max(ts_col)).first()[0]
-        if newest is None:
-            return
-        close = (newest - delay).date()  # days before this one have ended
-        ready = staged.filter(F.col("__day") < F.lit(close))
-        if ready.limit(1).count() == 0:
-            return
-        days = hourly_to_daily(ready.drop("__day", "_batch"), ts_col=ts_col, date_alias=date_col)
-        (finish(days) if finish else days).write.mode("append").parquet(out)
+        finalise_closed_days(batch, epoch, base, ts_col, delay, finish, date_col)
 
     q = (hourly.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return out
+    return base + "/days"
+
+
+def _newest_day(spark: SparkSession, out: str, date_col: str):
+    try:
+        return spark.read.parquet(out).agg(F.max(date_col)).first()[0]
+    except Exception as e:  # no output yet
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
+def finalise_closed_days(batch: DataFrame, epoch: int, base: str,
+                         ts_col: str = "reading_timestamp", delay: dt.timedelta = dt.timedelta(0),
+                         finish: Callable[[DataFrame], DataFrame] | None = None,
+                         date_col: str = "air_quality_date") -> None:
+    """One micro-batch of ``exact_daily_rollup`` (safe to run again for the
+    same ``epoch``: the staging folder is overwritten and emitted days are
+    skipped by the output's high-water mark)."""
+    staging, out = base + "/staging", base + "/days"
+    spark = batch.sparkSession
+    hwm = _newest_day(spark, out, date_col)
+    rows = batch.withColumn("__day", F.to_date(F.col(ts_col)))
+    if hwm is not None:
+        rows = rows.filter(F.col("__day") > F.lit(hwm))
+    rows.write.mode("overwrite").partitionBy("__day").parquet(f"{staging}/_batch={epoch}")
+    staged = spark.read.option("basePath", staging).parquet(staging)
+    if hwm is not None:
+        staged = staged.filter(F.col("__day") > F.lit(hwm))  # partition pruning
+    newest = staged.agg(F.max(ts_col)).first()[0]
+    if newest is None:
+        return
+    close = (newest - delay).date()  # days before this one have ended
+    ready = staged.filter(F.col("__day") < F.lit(close))
+    if ready.limit(1).count() == 0:
+        return
+    days = hourly_to_daily(ready.drop("__day", "_batch"), ts_col=ts_col, date_alias=date_col)
+    (finish(days) if finish else days).write.mode("append").parquet(out)
 
 
 def with_bands(daily: DataFrame, band_table: DataFrame, value: str = "avg_european_aqi") -> DataFrame:

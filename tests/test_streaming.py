@@ -68,3 +68,24 @@ def test_exact_daily_rollup_over_several_batches(spark):
                              for r in df.select(*cols).collect())
     assert got.count() == 12  # 3 places x 4 closed days; 5 March is still open
     assert norm(got) == norm(batch)
+
+
+def test_finalise_closed_days_replay_and_late_rows(spark):
+    def reading(loc, ts, v):
+        return (loc, f"c{loc}", "XX", ts, v, v, 1.0, None, None, v)
+    day1 = [reading(1, dt.datetime(2026, 3, 1, h), float(h)) for h in range(24)]
+    day2 = [reading(1, dt.datetime(2026, 3, 2, h), float(h)) for h in range(3)]
+    base = scratch_path(spark, "test-stream-replay", uuid.uuid4().hex)
+    batch0 = spark.createDataFrame(day1 + day2, SCHEMA)
+    S.finalise_closed_days(batch0, 0, base)
+    S.finalise_closed_days(batch0, 0, base)  # replay of the same micro-batch
+    out = spark.read.parquet(base + "/days")
+    assert [(r.air_quality_date, r.hourly_readings_count) for r in out.collect()] == [
+        (dt.date(2026, 3, 1), 24)]
+    # a late reading for the emitted day is dropped; 2 March closes once 3 March starts
+    late = spark.createDataFrame([reading(1, dt.datetime(2026, 3, 1, 5), 99.0),
+                                  reading(1, dt.datetime(2026, 3, 3, 0), 1.0)], SCHEMA)
+    S.finalise_closed_days(late, 1, base)
+    got = sorted((r.air_quality_date, r.hourly_readings_count, r.max_pm10)
+                 for r in spark.read.parquet(base + "/days").collect())
+    assert got == [(dt.date(2026, 3, 1), 24, 23.0), (dt.date(2026, 3, 2), 3, 2.0)]
