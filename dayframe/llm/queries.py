@@ -8,13 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality
+from . import mixing, pii, quality, shards, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.shard(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -27,6 +33,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     def number(kind: str):
@@ -44,8 +54,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_shards": op2_shards,
     "op4_mix": op4_mix,
     "op5_quality": op5_quality,
+    "op8_topk": op8_topk,
     "op9_pii": op9_pii,
 }
 
