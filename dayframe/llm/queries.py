@@ -8,13 +8,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality, shards, topk
+from . import mixing, pii, quality, shards, tokens, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokens.write_ids(table(spark, sf_dir, "documents"),
+                                tokenizer_path("word_bpe_49k.json"), end_id=2)
+    return tokens.read_documents(manifest)
+
+
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -33,6 +45,20 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.read_records(warc.write_archives(table(spark, sf_dir, "pages")))
+    # what was read decides: payloads are measured before they leave the reading task
+    measured = records.select(
+        "record_id", "type", "target_uri", "concurrent_to", "refers_to", "fields",
+        F.coalesce(F.octet_length("payload").cast("long"), "payload_length").alias("payload_bytes"),
+        F.when(F.col("payload").isNotNull(), F.sha1("payload")).otherwise(
+            F.col("payload_digest")).alias("payload_digest"))
+    found = warc.resolved(warc.captures(measured))
+    return found.select("page_id", "response.payload_bytes", "response.payload_digest",
+                        F.col("response.type").alias("record_type"), "refers_to",
+                        F.col("request.target_uri").alias("target_uri"))
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -54,9 +80,11 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_ids": op1_token_ids,
     "op2_shards": op2_shards,
     "op4_mix": op4_mix,
     "op5_quality": op5_quality,
+    "op7_warc": op7_warc,
     "op8_topk": op8_topk,
     "op9_pii": op9_pii,
 }
