@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality, shards, tokens, topk, warc
+from . import mixing, neardup, pii, quality, shards, tokens, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_sha256"), pii.listed(every).alias("spans"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("thash")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_shards": op2_shards,
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": op7_warc,
     "op8_topk": op8_topk,
     "op9_pii": op9_pii,
+    "op10_near_duplicates": op10_near_duplicates,
 }
 
 SQL: dict[str, str] = {}
