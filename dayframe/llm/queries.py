@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, pii, quality, shards, tokens, topk, warc
+from . import lm, mixing, neardup, pieces, pii, quality, shards, tokens, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -45,6 +49,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.array_join("rejected_by", ",").alias("rejected_by"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"),
+                         tokenizer_path("piece_bpe_32k.model")).drop("ids")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.read_records(warc.write_archives(table(spark, sf_dir, "pages")))
     # what was read decides: payloads are measured before they leave the reading task
@@ -86,8 +95,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_shards": op2_shards,
+    "op3_lm_scores": op3_lm_scores,
     "op4_mix": op4_mix,
     "op5_quality": op5_quality,
+    "op6_pieces": op6_pieces,
     "op7_warc": op7_warc,
     "op8_topk": op8_topk,
     "op9_pii": op9_pii,

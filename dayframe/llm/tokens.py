@@ -30,7 +30,7 @@ TAIL = struct.Struct("<QQQQII8s")
 BLOCK = 1 << 16
 # How many distinct words a worker remembers, and how many bytes of text it handles at once.
 CACHE_WORDS = 400_000
-CACHE_WORD_BYTES = 64
+CACHE_WORD_BYTES = 4096
 SLICE_BYTES = 1 << 20
 MANIFEST = "part int, path string, n_docs long, n_ids long"
 
@@ -166,12 +166,15 @@ class WordEncoder:
 
     Every distinct word goes through the tokenizers library once per worker and is remembered; a
     text's ids are its words' ids in order, put together with numpy. The memory is bounded: it is
-    emptied when it holds ``CACHE_WORDS`` words, and longer words are never kept.
+    emptied when it holds ``CACHE_WORDS`` words or has met a very long one.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self._use(Tokenizer.from_file(path))
+
+    def _use(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.clear()
 
@@ -184,7 +187,7 @@ class WordEncoder:
 
     def _learn(self, words: list[bytes]) -> None:
         step = 256
-        texts = [w.decode("utf-8", "replace") for w in words]
+        texts = [self.spelled(w) for w in words]
         chunks = [texts[i:i + step] for i in range(0, len(texts), step)]
         n = len(self.index)
         while n + len(words) > len(self.starts):
@@ -204,6 +207,14 @@ class WordEncoder:
             self.used += len(ids)
         self.index.update(zip(words, range(n, n + len(words)), strict=True))
 
+    def spelled(self, word: bytes) -> str:
+        """The string that stands for a word in the tokenizer."""
+        return word.decode("utf-8", "replace")
+
+    def split(self, text: bytes) -> list[bytes]:
+        """The words of a text: bytes split at ASCII white space."""
+        return text.split()
+
     def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a list of words, and how many each word has."""
         new = list(set(words).difference(self.index))
@@ -217,18 +228,17 @@ class WordEncoder:
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
         where = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)
+        ids = self.flat[where]
         if any(len(w) > CACHE_WORD_BYTES for w in new):
-            ids = self.flat[where]
-            self.clear() if sum(map(len, new)) > 16 * SLICE_BYTES else None
-            return ids, sizes
-        return self.flat[where], sizes
+            self.clear()  # very long words are not kept
+        return ids, sizes
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of whole texts, one after the other, and how many each text has."""
         every: list[bytes] = []
         counts = np.empty(len(texts), np.int64)
         for i, t in enumerate(texts):
-            w = t.split()  # bytes split at ASCII white space
+            w = self.split(t)
             counts[i] = len(w)
             every += w
         ids, sizes = self.words(every)
