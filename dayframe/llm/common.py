@@ -86,9 +86,13 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
 
     ``groups`` has one row per ``key`` with its number of rows in ``size``. Groups with more than
     1/HOT_PARTS of the rows (fewer than HOT_PARTS of them) are broadcast, so that their rows stay
-    where they are; no other group is large enough to make one task slow. Both inputs are read
-    twice: pass stored tables. NULL keys match NULL keys.
+    where they are; no other group is large enough to make one task slow. If there are no more
+    than HOT_PARTS groups, all are broadcast. Both inputs are read twice: pass stored tables. NULL
+    keys match NULL keys.
     """
+    if groups.limit(HOT_PARTS + 1).count() <= HOT_PARTS:
+        few = F.broadcast(groups.withColumnRenamed(key, "__key"))
+        return rows.join(few, F.col(key).eqNullSafe(F.col("__key")), "inner").drop("__key")
     total = groups.agg(F.sum(size).alias("n")).first()["n"] or 0
     hot = F.col(size) * HOT_PARTS > F.lit(total)
     small = groups.withColumnRenamed(key, "__key")

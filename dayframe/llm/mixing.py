@@ -81,14 +81,21 @@ def schedule(targets: DataFrame, n_slots: int, goal: float) -> DataFrame:
                          "rank").drop("__chunk")
 
 
+def shuffle_key(seed: str = "mix"):
+    """What orders a source's documents: a digest of ``seed``, doc_id and text."""
+    return F.md5(F.concat_ws("/", F.col("doc_id").cast("string"), F.md5(text_or_empty()),
+                             F.lit(seed)))
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.0,
         max_repeats: int = 3, n_slots: int = SLOTS, seed: str = "mix") -> DataFrame:
     """What the mix takes of each document.
 
     ``docs`` needs doc_id, text and source; other columns are ignored, whatever their names. Row by
     row returns doc_id, size (words of the text; NULL text: 0), source, source_size, target,
-    taken (words taken, repeats counted, at most ``max_repeats`` times the size), text_md5 and
-    copies (``taken / size`` rounded to the nearest whole number, 0 for a text without words).
+    taken (words taken, repeats counted, at most ``max_repeats`` times the size), key (see
+    ``shuffle_key``) and copies (``taken / size`` rounded to the nearest whole number, 0 for a
+    text without words).
 
     Rows with equal doc_id and text are separate documents (their order among each other does not
     matter); NULL doc_id is an ordinary value; NULL is a source of its own, the last one. An empty
@@ -96,12 +103,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.
     text, so reruns agree. ``n_slots`` bounds the schedule at any input size; a block has
     ceil(words / n_slots) words.
     """
-    text = text_or_empty()
-    digest = F.md5(text)
     rows = stored(docs.select(
-        F.col("doc_id"), F.col("source"), F.size(words_of(text)).cast("long").alias("size"),
-        digest.alias("text_md5"), F.md5(F.concat_ws("/", F.col("doc_id").cast("string"), digest,
-                                                    F.lit(seed))).alias("h")), "mix-sizes")
+        F.col("doc_id"), F.col("source"),
+        F.size(words_of(text_or_empty())).cast("long").alias("size"),
+        shuffle_key(seed).alias("key")), "mix-sizes")
     sizes = rows.groupBy("source").agg(F.count("*").alias("n_rows"),
                                        F.sum("size").alias("source_size"))
     targets = stored(source_targets(sizes, weights, share, max_repeats), "mix-targets")
@@ -114,10 +119,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.
     placed = join_groups(rows, targets.select("source", "n_rows", "source_size", "source_no",
                                               "target"), "source", "n_rows")
     placed = placed.withColumn("__bucket", F.floor(
-        F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * buckets / POINT_RANGE))
+        F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / POINT_RANGE))
     placed = stored(running_total(
-        placed, ["source_no"], "__bucket", [F.col("h"), F.col("size"), F.col("doc_id")],
-        F.col("size"), "start").drop("__bucket", "h", "n_rows"), "mix-places")
+        placed, ["source_no"], "__bucket", [F.col("key"), F.col("size"), F.col("doc_id")],
+        F.col("size"), "start").drop("__bucket", "n_rows"), "mix-places")
 
     last = F.ceil(F.col("source_size") / block)
     slots = schedule(targets, math.ceil(goal / block), goal).join(
@@ -136,5 +141,25 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.
     none = placed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
     out = taken.unionByName(none)
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0)
-    return out.select("doc_id", "size", "source", "source_size", "target", "taken", "text_md5",
+    return out.select("doc_id", "size", "source", "source_size", "target", "taken", "key",
                       copies.cast("int").alias("copies"))
+
+
+def repeated(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
+    """The documents with all their columns, each as often as ``copies`` of ``mix`` says.
+
+    Equal rows (doc_id, text and source) share the copies out among them in any order.
+    """
+    got = mix(docs, seed=seed, **options)
+    taken = stored(got.groupBy(F.col("key").alias("__key"), F.col("source").alias("__source"))
+                   .agg(F.sort_array(F.collect_list("copies")).alias("__copies")), "mix-copies")
+    on = (F.col("__h") == F.col("__key")) & F.col("source").eqNullSafe(F.col("__source"))
+    rows = docs.withColumn("__h", shuffle_key(seed)).join(taken, on)
+    if taken.where(F.size("__copies") > 1).limit(1).count():
+        number = F.row_number().over(Window.partitionBy("__h", "__source").orderBy(F.lit(0)))
+        times = F.element_at("__copies", number)
+    else:
+        times = F.element_at("__copies", 1)
+    out = rows.withColumn("__times", times).where("__times > 0").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return out.select(*docs.columns)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, stored, text_or_empty
+from .common import WORD, join_groups, stored, text_or_empty
 from .tokens import text_slices
 
 WIDTH = 5
@@ -308,8 +308,9 @@ def links(docs: DataFrame, sketched: DataFrame, classes: DataFrame, width: int,
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, k: int = COORDINATES,
                     matches: int = MATCHES, percent: int = PERCENT) -> DataFrame:
-    """The component of every document: doc_id, thash, n_shingles, component_id (the smallest
-    doc_id reachable over links), kept (doc_id = component_id).
+    """The component of every document: doc_id, thash (64-bit hash of the text), n_shingles,
+    component_id (the smallest doc_id reachable over links), kept (doc_id = component_id), head
+    (the row equals the component's representative, one of those with the smallest doc_id).
 
     ``docs`` needs doc_id and text; other columns are ignored, whatever their names. Texts without
     words have no shingles and are linked with nothing. NULL doc_id takes part, but is never a
@@ -324,16 +325,37 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, k: int = COORDINATES,
         F.any_value("sig").alias("sig"), F.any_value("n_shingles").alias("n_shingles"))
         .withColumn("c", F.monotonically_increasing_id()), "near-classes")
     labels = links(docs, sketched, classes, width, matches, percent)
-    named = classes.select("fp", "size", "c", "first").join(
+    named = classes.select("fp", "size", "c", "first", "rep").join(
         labels, F.col("c") == F.col("node"), "left").withColumn(
         "label", F.coalesce("label", "c"))
     heads = named.groupBy(F.col("label").alias("__label")).agg(
-        F.min("first").alias("component_id"))
+        F.min("first").alias("component_id"), F.min("rep").alias("__head"))
     final = stored(named.join(heads, F.col("label") == F.col("__label")).select(
-        "fp", "size", "component_id"), "near-components")
+        "fp", "size", "component_id", "__head"), "near-components")
     rows = sketched.select("doc_id", "thash", "n_shingles", "fp")
-    out = join_groups(rows.where("n_shingles > 0"), final, "fp", "size").drop("size")
-    alone = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
-    return out.unionByName(alone).select(
-        "doc_id", "thash", "n_shingles", "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    out = join_groups(rows.where("n_shingles > 0"), final, "fp", "size").withColumn(
+        "head", F.col("doc_id").eqNullSafe(F.col("__head.doc_id"))
+        & (F.col("thash") == F.col("__head.thash")))
+    alone = rows.where("n_shingles = 0").withColumn("component_id", F.col("doc_id")).withColumn(
+        "head", F.lit(True))
+    columns = ["doc_id", "thash", "n_shingles", "component_id", "head"]
+    return out.select(columns).unionByName(alone.select(columns)).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, **options) -> DataFrame:
+    """One document of each component with all its columns: its representative, and one of equal
+    rows of it. Texts without words stay."""
+    found = stored(near_duplicates(docs, **options), "near-found")
+    with_words = F.col("n_shingles") > 0
+    out = found.where(with_words & ~F.col("head")).select(
+        F.col("doc_id").alias("__id"), F.col("thash").alias("__thash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__thash"))
+    rows = docs.withColumn("__hash", F.xxhash64(text_or_empty())).join(out, same, "left_anti")
+    again = found.where(with_words & F.col("head")).groupBy("doc_id", "thash").agg(
+        F.count("*").alias("n")).where("n > 1").limit(1).count()
+    if again:
+        worded = text_or_empty().rlike(WORD)
+        rows = rows.withColumn("__row", F.when(~worded, F.monotonically_increasing_id()))
+        rows = rows.dropDuplicates(["doc_id", "__hash", "__row"])
+    return rows.select(*docs.columns)

@@ -235,3 +235,31 @@ def sanitise(text: Column, base: Column, terms: Column) -> Column:
             text, acc["at"] + 1, F.length(text)))
 
     return F.when(F.size(every) == 0, text).otherwise(F.aggregate(every, state, step, finish))
+
+
+def clean(docs: DataFrame, **options) -> DataFrame:
+    """The documents with all their columns and sanitised texts; n_chars, if there, follows the
+    text where it changed. Texts without personal data stay as they are, NULL included."""
+    found = find(docs, **options)
+    terms = stored(found.where(F.size("terms") > 0).select(
+        F.col("doc_id").alias("__id"), F.col("thash").alias("__thash"), F.col("terms").alias(
+            "__terms")).dropDuplicates(["__id", "__thash"]), "pii-terms")
+    text = text_or_empty()
+    rows = docs.withColumn("__hash", F.xxhash64(text)).withColumn("__base", base_spans(text))
+    on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__thash"))
+    none = F.array().cast(BASE_SPAN)
+    rows = rows.join(terms, on, "left").withColumn("__terms", F.coalesce("__terms", none))
+    changed = (F.size("__base") > 0) | (F.size("__terms") > 0)
+    rows = rows.withColumn("__text", F.when(changed, sanitise(
+        F.col("text"), F.col("__base"), F.col("__terms"))).otherwise(F.col("text")))
+    rows = rows.withColumn("__changed", changed)
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("__text").alias(name)
+        if name == "n_chars":
+            return F.when(F.col("__changed"), F.length("__text")).otherwise(F.col(name)).cast(
+                docs.schema[name].dataType).alias(name)
+        return F.col(name)
+
+    return rows.select(*[column(c) for c in docs.columns])

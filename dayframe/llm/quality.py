@@ -12,6 +12,7 @@ stratum's clean documents, with probability ``1 - error`` over all strata.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -68,26 +69,26 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def features(docs: DataFrame, stratum: str | None = "lang") -> DataFrame:
-    """The rules' counts for every document: doc_id, stratum, n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words, n_lines, n_capitals (all long).
+def measured(docs: DataFrame, stratum: str | None = "lang") -> DataFrame:
+    """The documents with a struct ``__f``: stratum, n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, n_lines, n_capitals (counts as long).
 
     Whole texts, one pass, no shuffle. NULL text counts as no words.
     """
     text = text_or_empty()
     words = words_of(text)
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    base = docs.select(
-        F.col("doc_id"), (F.col(stratum).cast("string") if stratum else F.lit("")).alias("stratum"),
-        text.alias("__text"), words.alias("__words"), lines.alias("__lines"))
-    return base.select(
-        "doc_id", "stratum", F.size("__words").cast("long").alias("n_words"),
+    name = F.col(stratum).cast("string") if stratum else F.lit("")
+    counts = F.struct(
+        name.alias("stratum"), F.size("__words").cast("long").alias("n_words"),
         F.length(F.array_join("__words", "")).cast("long").alias("word_chars"),
         F.regexp_count("__text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("__words")).cast("long").alias("n_repeat_words"),
         F.size("__lines").cast("long").alias("n_lines"),
         F.regexp_count("__text", F.lit("[A-Z]")).cast("long").alias("n_capitals"))
+    return docs.select("*", text.alias("__text"), words.alias("__words"),
+                       lines.alias("__lines")).select(*docs.columns, counts.alias("__f"))
 
 
 def base_failed() -> Column:
@@ -149,9 +150,26 @@ def cutoffs(feats: DataFrame, labels: DataFrame, rules: Mapping = RULES, risk: f
     return out.select("stratum", *chosen)
 
 
+def strata(feats: DataFrame, labels: DataFrame, rules: Mapping = RULES, risk: float = RISK,
+           error: float = ERROR) -> DataFrame:
+    """Every stratum with its number of documents (``__n``) and its cutoffs."""
+    cuts = stored(cutoffs(feats, labels, rules, risk, error), "quality-cutoffs")
+    sizes = feats.groupBy(F.col("stratum").alias("__s")).agg(F.count("*").alias("__n"))
+    return stored(sizes.join(cuts, F.col("__s").eqNullSafe(F.col("stratum")), "left")
+                  .drop("stratum").withColumnRenamed("__s", "stratum"), "quality-strata")
+
+
+def rejected_by(rules: Mapping = RULES) -> Column:
+    """The rules whose cutoff a document exceeds; none for documents that fail the base rules."""
+    hits = [F.when(F.expr(stat) > F.col(f"cut_{name}"), F.lit(name))
+            for name, (stat, _) in rules.items()]
+    return F.when(~base_failed(), F.filter(F.array(*hits), lambda x: x.isNotNull())).otherwise(
+        F.array().cast("array<string>"))
+
+
 def judge(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
           rules: Mapping = RULES, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """The verdict on every document: the counts of ``features``, base_failed, kept and
+    """The verdict on every document: the counts of ``measured``, base_failed, kept and
     rejected_by (the rules that reject it).
 
     ``docs`` needs doc_id, text and the stratum's column, ``labels`` doc_id and quality (1: clean);
@@ -160,16 +178,37 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
     (no words). Rows with a repeated doc_id are judged one by one. Without documents the result is
     empty; without labels it holds the base verdicts.
     """
-    feats = stored(features(docs, stratum), "quality-features")
-    cuts = stored(cutoffs(feats, labels, rules, risk, error), "quality-cutoffs")
-    sizes = feats.groupBy("stratum").agg(F.count("*").alias("__n"))
-    table = stored(sizes.withColumnRenamed("stratum", "__s").join(
-        cuts, F.col("__s").eqNullSafe(F.col("stratum")), "left").drop("stratum")
-        .withColumnRenamed("__s", "stratum"), "quality-strata")
+    needed = docs.select("doc_id", "text", *([stratum] if stratum else []))
+    feats = stored(measured(needed, stratum).select("doc_id", "__f.*"), "quality-features")
+    table = strata(feats, labels, rules, risk, error)
     joined = join_groups(feats, table, "stratum", "__n").drop("__n")
-    hits = [F.when(F.expr(stat) > F.col(f"cut_{name}"), F.lit(name))
-            for name, (stat, _) in rules.items()]
-    rejected = F.when(~base_failed(), F.filter(F.array(*hits), lambda x: x.isNotNull())).otherwise(
-        F.array().cast("array<string>"))
-    return joined.withColumn("base_failed", base_failed()).withColumn("rejected_by", rejected) \
-        .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
+    return joined.withColumn("base_failed", base_failed()).withColumn(
+        "rejected_by", rejected_by(rules)).withColumn(
+        "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
+
+
+def keep(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang", rules: Mapping = RULES,
+         risk: float = RISK, error: float = ERROR) -> DataFrame:
+    """The documents that ``judge`` keeps, with all their columns.
+
+    The documents are written once with their counts, which decide the cutoffs and then the
+    verdicts, so no text is measured twice or shuffled.
+    """
+    rows = stored(measured(docs, stratum), "quality-documents")
+    feats = rows.select("doc_id", "__f.*")
+    table = strata(feats, labels, rules, risk, error)
+    cut = F.struct(*[F.col(f"cut_{name}") for name in rules])
+    joined = join_groups(rows.withColumn("__stratum", F.col("__f.stratum")), table.select(
+        F.col("stratum").alias("__stratum"), "__n", cut.alias("__cut")), "__stratum", "__n")
+    # the verdict's expressions name plain columns: evaluate them on the structs' fields
+    def field(expression: str) -> str:
+        for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                     "n_lines", "n_capitals"):
+            expression = re.sub(rf"\b{name}\b", f"__f.{name}", expression)
+        return expression
+
+    failed = F.expr(field(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > 30 * n_words"))
+    ok = F.lit(True)
+    for name, (stat, _) in rules.items():
+        ok = ok & ~F.coalesce(F.expr(field(stat)) > F.col(f"__cut.cut_{name}"), F.lit(False))
+    return joined.where(~failed & ok).select(*docs.columns)

@@ -89,7 +89,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("thash")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("thash", "head")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

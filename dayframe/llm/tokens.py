@@ -178,7 +178,19 @@ class WordEncoder:
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.clear()
 
+    def annotate(self, key: str, note) -> None:
+        """From now on ``words`` also leaves a number per word in ``notes``: ``note(ids, sizes)``,
+        computed once per distinct word. Words already known are noted at once."""
+        if self.note_key != key:
+            self.note_key, self.note = key, note
+            n = len(self.index)
+            self.noted[:n] = note(self.flat[:self.used], self.sizes[:n])
+
+    note_key, note = None, None
+
     def clear(self) -> None:
+        self.notes = np.empty(0)
+        self.noted = np.zeros(1 << 14)
         self.index: dict[bytes, int] = {}
         self.flat = np.empty(1 << 16, np.int32)
         self.used = 0
@@ -191,8 +203,10 @@ class WordEncoder:
         chunks = [texts[i:i + step] for i in range(0, len(texts), step)]
         n = len(self.index)
         while n + len(words) > len(self.starts):
-            self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)])
-                                       for a in (self.starts, self.sizes))
+            self.starts, self.sizes, self.noted = (
+                np.concatenate([a, np.zeros_like(a)])
+                for a in (self.starts, self.sizes, self.noted))
+        began = self.used
         for i, e in enumerate(self.tokenizer.encode_batch(
                 chunks, is_pretokenized=True, add_special_tokens=False)):
             ids = np.array(e.ids, np.int32)
@@ -206,6 +220,9 @@ class WordEncoder:
             self.starts[at:at + len(sizes)] = self.used + np.cumsum(sizes) - sizes
             self.used += len(ids)
         self.index.update(zip(words, range(n, n + len(words)), strict=True))
+        if self.note is not None:
+            self.noted[n:n + len(words)] = self.note(self.flat[began:self.used],
+                                                     self.sizes[n:n + len(words)])
 
     def spelled(self, word: bytes) -> str:
         """The string that stands for a word in the tokenizer."""
@@ -229,6 +246,7 @@ class WordEncoder:
         total = int(ends[-1]) if len(ends) else 0
         where = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)
         ids = self.flat[where]
+        self.notes = self.noted[at] if self.note is not None else self.notes
         if any(len(w) > CACHE_WORD_BYTES for w in new):
             self.clear()  # very long words are not kept
         return ids, sizes
