@@ -11,11 +11,12 @@ class has never help, and most classes drop out here. *Skip merging*: the freque
 the prefix are not merged at all; the count of a pair met in a prefix is completed by comparing
 the two signatures directly.
 
-A list of m classes is never expanded into m^2 pairs. Two rounds pair every member with one
-random pivot of the list; confirmed links join components. What remains are lists that still hold
-several components: there the members outside the list's largest component are compared with
-the members of other components. Links inside one component would not change the result, so no
-link between different components is lost.
+A list of m classes is never expanded into m^2 pairs. First every member is paired with one random
+pivot of its list; confirmed links join components. Lists that then hold a single component are
+done, since links inside it would change nothing. The classes of the other lists form families
+(connected through such lists). A family's largest component and its other classes are dealt in
+blocks of a few hundred; pairs of blocks, other than those inside the largest component, are
+compared in one task each, exactly and on the full sets, which emits at most one link per class.
 
 Every link is confirmed on the full shingle sets: 100 * |A and B| >= 75 * |A or B|.
 """
@@ -36,7 +37,7 @@ WIDTH = 5
 COORDINATES = 64
 MATCHES = 30
 PERCENT = 75
-STAR_ROUNDS = 2
+BLOCK = 400  # classes of a family compared at a time
 CACHE_WORDS = 1 << 20
 
 SKETCH = "doc_id long, thash long, n_shingles long, fp binary, sig array<int>"
@@ -212,41 +213,100 @@ def prefixes(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
         F.transform(rare, lambda x: x["key"])).alias("key"))
 
 
-def _star_pairs(posts: DataFrame, labels: DataFrame | None, seed: int) -> DataFrame:
-    """Every member of a list with the list's pivot, if they are in different components."""
-    rows = _labelled(posts, labels)
-    pick = F.xxhash64("c", "key", F.lit(seed))
-    pivots = rows.groupBy("key").agg(F.min_by("c", pick).alias("p"), F.min_by("label", pick)
-                                     .alias("p_label"), F.min("label").alias("low"),
-                                     F.max("label").alias("high")).where("low < high")
-    return _pairs(rows.join(pivots, "key").where("label <> p_label").select(
-        F.col("p").alias("a"), F.col("c").alias("b")))
+def _star_pairs(posts: DataFrame, seed: int = 1) -> DataFrame:
+    """Every member of a list with the list's pivot, each pair once."""
+    pivots = posts.groupBy("key").agg(F.min_by("c", F.xxhash64("c", "key", F.lit(seed))).alias("p"))
+    both = posts.join(pivots, "key").where("c <> p")
+    return both.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
 
 
-def _rest_pairs(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs of different components that lists still hold: members outside the list's
-    largest component with the members of other components."""
+def _families(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """(c, label, family) of the classes in lists that hold several components."""
     rows = _labelled(posts, labels)
-    sizes = rows.groupBy("key", "label").agg(F.count("*").alias("n"))
-    most = sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("top"),
-                                    F.count("*").alias("labels")).where("labels > 1")
-    kept = rows.join(most.select("key", "top"), "key")
-    out = kept.where("label <> top").select("key", F.col("c").alias("a"),
-                                            F.col("label").alias("a_label"))
-    members = kept.select("key", F.col("c").alias("b"), F.col("label").alias("b_label"), "top")
-    return _pairs(out.join(members, "key").where(
-        "a_label <> b_label and (b_label = top or a < b)").select("a", "b"))
-
-
-def _labelled(posts: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return posts.withColumn("label", F.col("c"))
-    return posts.join(labels, posts["c"] == labels["node"], "left").select(
-        "c", "key", F.coalesce("label", "c").alias("label"))
+    mixed = rows.groupBy("key").agg(F.min("c").alias("first"), F.min("label").alias("low"),
+                                    F.max("label").alias("high")).where("low < high")
+    edges = rows.join(mixed, "key").select("first", "c", "label")
+    found = components(edges.select(F.col("first").alias("a"), F.col("c").alias("b")))
+    return found.select(F.col("node").alias("c"), F.col("label").alias("family")).join(
+        edges.select("c", "label").distinct(), "c")
+
+
+def _blocks(families: DataFrame, block: int) -> DataFrame:
+    """(family, x, y, side, c, label): every class once for each pair of blocks (x, y) that it takes
+    part in; ``side`` says of which block. Classes of the family's largest component (``top``)
+    have blocks of their own, which are not paired with each other."""
+    sizes = families.groupBy("family", "label").agg(F.count("*").alias("n"))
+    top = sizes.groupBy("family").agg(F.max_by("label", F.struct("n", "label")).alias("top"),
+                                      F.max("n").alias("n_top"), F.sum("n").alias("n_all"))
+    rows = families.join(top, "family")
+    blocks = lambda n: F.ceil(n / block)
+    n_in, n_out = blocks(F.col("n_top")), blocks(F.col("n_all") - F.col("n_top"))
+    is_top = F.col("label") == F.col("top")
+    mine = F.when(is_top, n_out + F.pmod(F.xxhash64("c"), n_in)).otherwise(
+        F.pmod(F.xxhash64("c"), F.greatest(n_out, F.lit(1))))
+    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.when(is_top, n_out - 1).otherwise(n_out + n_in - 1))))
+    return rows.select("family", F.least("mine", "other").alias("x"),
+                       F.greatest("mine", "other").alias("y"),
+                       (F.col("mine") <= F.col("other")).alias("side"), "c", "label")
+
+
+def block_links(classes: list[int], labels: list[int], first: np.ndarray,
+                sets: list[np.ndarray], same: bool, percent: int) -> list[tuple[int, int]]:
+    """Links between classes of two blocks (``first`` marks one) or inside one (``same``), where
+    they join different components; exact on the full sets. At most one less than the classes."""
+    n = len(classes)
+    sizes = np.array([len(s) for s in sets])
+    every = np.concatenate(sets)
+    values, at, times = np.unique(every, return_inverse=True, return_counts=True)
+    edge = np.concatenate([[0], np.cumsum(sizes)])
+    mark = np.zeros(len(values), np.uint8)
+    parent = {lab: lab for lab in labels}
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    left = np.arange(n) if same else np.nonzero(first)[0]
+    right = np.arange(n) if same else np.nonzero(~first)[0]
+    if not len(left) or not len(right):
+        return out
+    take = np.concatenate([at[edge[j]:edge[j + 1]] for j in right])
+    starts = np.cumsum(sizes[right]) - sizes[right]
+    for i in left:
+        own = at[edge[i]:edge[i + 1]]
+        mark[own] = 1
+        common = np.add.reduceat(mark[take], starts, dtype=np.int64)
+        mark[own] = 0
+        near = common * 100 >= (sizes[i] + sizes[right] - common) * percent
+        for j in right[near]:
+            a, b = root(labels[i]), root(labels[j])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                out.append((classes[i], classes[j]))
+    return out
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    return df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _family_links(families: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    def run(table: pa.Table) -> pa.Table:
+        x, y = table["x"][0].as_py(), table["y"][0].as_py()
+        found = block_links(
+            table["c"].to_pylist(), table["label"].to_pylist(),
+            np.array(table["side"].to_pylist(), bool),
+            [s.values.to_numpy() for s in table["shingles"]], x == y, percent)
+        return pa.table({"a": pa.array([p[0] for p in found], pa.int64()),
+                         "b": pa.array([p[1] for p in found], pa.int64())})
+
+    rows = _blocks(families, block).join(sets, "c")
+    return rows.groupBy("family", "x", "y").applyInArrow(run, "a long, b long")
+
+
+def _labelled(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    return posts.join(labels, posts["c"] == labels["node"], "left").select(
+        "c", "key", F.coalesce("label", "c").alias("label"))
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame, matches: int, percent: int) -> DataFrame:
@@ -286,24 +346,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, repeated: bool) -> Dat
 
 
 def links(docs: DataFrame, sketched: DataFrame, classes: DataFrame, width: int, matches: int,
-          percent: int, rounds: int = STAR_ROUNDS) -> DataFrame:
+          percent: int, block: int = BLOCK) -> DataFrame:
     """(node, label): the component of every class that is linked with another class."""
     posts = stored(prefixes(classes, matches), "near-posts")
     active = posts.select("c").distinct().join(classes, "c").select("c", "rep")
     repeated = sketched.groupBy("doc_id", "thash").agg(F.count("*").alias("n")).where(
         "n > 1").limit(1).count() > 0
     sets = stored(_sets(docs, active, width, repeated), "near-sets")
-    found, labels, tested = None, None, None
-    for step in range(rounds + 1):
-        pairs = _star_pairs(posts, labels, step) if step < rounds else _rest_pairs(posts, labels)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(_agreeing(pairs, classes, matches, percent), "near-pairs")
-        good = stored(_confirmed(pairs, sets, percent), "near-links")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = good if found is None else found.unionByName(good)
-        labels = stored(components(found), "near-labels")
-    return labels
+    pairs = stored(_agreeing(_star_pairs(posts), classes, matches, percent), "near-pairs")
+    found = stored(_confirmed(pairs, sets, percent), "near-links")
+    labels = stored(components(found), "near-labels")
+    families = stored(_families(posts, labels), "near-families")
+    more = stored(_family_links(families, sets, percent, block), "near-links")
+    return components(found.unionByName(more))
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, k: int = COORDINATES,
