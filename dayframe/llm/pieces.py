@@ -108,9 +108,8 @@ class PieceEncoder(WordEncoder):
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
-            self.model = parse_model(f.read())
-        self._use(backend(self.model))
-        m = self.model
+            m = self.spec = parse_model(f.read())
+        self._use(backend(m))
         self.by_chunk = m.byte_fallback and all(
             MARK not in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER))
         self.normaliser = None
@@ -135,12 +134,22 @@ class PieceEncoder(WordEncoder):
         if self.normaliser is not None:
             text = self.normaliser.normalize_str(text.decode("utf-8")).encode()
         text = text.replace(MARK.encode(), b" ")
-        if self.model.collapse_spaces:
+        if self.spec.collapse_spaces:
             text = re.sub(rb" +", b" ", text).strip(b" ")
-        return b" " + text if self.model.dummy_prefix and text else text
+        return b" " + text if self.spec.dummy_prefix and text else text
 
-    def spelled(self, word: bytes) -> str:
-        return word.decode("utf-8").replace(" ", MARK)
+    def _plain_words_are_direct(self) -> bool:
+        return False  # see _ids
+
+    def _ids(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """Chunks reach the model as they are: there is neither normaliser nor pre-tokenizer."""
+        ids: list[int] = []
+        sizes: list[int] = []
+        for w in words:
+            got = [t.id for t in self.model.tokenize(w.decode("utf-8").replace(" ", MARK))]
+            ids += got
+            sizes.append(len(got))
+        return ids, sizes
 
     def split(self, text: bytes) -> list[bytes]:
         text = self.normalised(text)
@@ -154,7 +163,7 @@ class PieceEncoder(WordEncoder):
         where = np.repeat(self.piece_starts[ids] - (ends - sizes), sizes) + np.arange(total)
         raw = self.piece_bytes[where].tobytes()
         edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
-        skip = 1 if self.model.dummy_prefix else 0
+        skip = 1 if self.spec.dummy_prefix else 0
         return [raw[a + min(skip, b - a):b] for a, b in zip(edges, edges[1:], strict=False)]
 
 

@@ -13,6 +13,7 @@ from just the blocks that hold it.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -28,10 +29,12 @@ from .common import filesystem, shared_path, stored, text_or_empty
 MAGIC = b"IDPACK01"
 TAIL = struct.Struct("<QQQQII8s")
 BLOCK = 1 << 16
-# How many distinct words a worker remembers, and how many bytes of text it handles at once.
+# How many distinct words (and bytes of them) a worker remembers, and how many bytes of text it
+# handles at once.
 CACHE_WORDS = 400_000
-CACHE_WORD_BYTES = 4096
+CACHE_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20
+PLAIN = re.compile(rb"[a-z]+").fullmatch
 MANIFEST = "part int, path string, n_docs long, n_ids long"
 
 
@@ -161,68 +164,146 @@ class Reader:
         self.file.close()
 
 
+class _Places(dict):
+    """word -> its place; a new word gets the next place and is queued in ``new``."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        place = self[word] = len(self)
+        self.new.append(word)
+        return place
+
+
 class WordEncoder:
     """Encodes whole texts with a tokenizer whose tokens never cross ASCII white space.
 
     Every distinct word goes through the tokenizers library once per worker and is remembered; a
-    text's ids are its words' ids in order, put together with numpy. The memory is bounded: it is
-    emptied when it holds ``CACHE_WORDS`` words or has met a very long one.
+    text's ids are its words' ids in order, put together with numpy. The memory is bounded: when it
+    holds ``limit`` words or ``CACHE_BYTES`` of them, the half that was used most stays.
     """
 
+    limit = CACHE_WORDS
+    note_key, note, n_notes = None, None, 0
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self._use(Tokenizer.from_file(path))
 
     def _use(self, tokenizer) -> None:
         self.tokenizer = tokenizer
-        self.vocabulary = self.tokenizer.get_vocab_size()
-        self.clear()
-
-    def annotate(self, key: str, note) -> None:
-        """From now on ``words`` also leaves a number per word in ``notes``: ``note(ids, sizes)``,
-        computed once per distinct word. Words already known are noted at once."""
+        self.vocabulary = tokenizer.get_vocab_size()
+        self.model = tokenizer.model
+        self.plain = self._plain_words_are_direct()
+        self._fill(_Places(), np.empty(0, np.int32), np.empty(0, np.int32), np.empty((0, 0)),
+                   np.empty(0, np.int64))
+
+    def _plain_words_are_direct(self) -> bool:
+        """Whether words of a-z reach the model as they are: neither normalised nor split."""
+        t = self.tokenizer
+        samples = ["abcdefghijklm", "nopqrstuvwxyz", "s", "t", "re", "dont", "ll", "the"]
+        normal = t.normalizer.normalize_str if t.normalizer else str
+        split = t.pre_tokenizer.pre_tokenize_str if t.pre_tokenizer else lambda x: [(x, None)]
+        return all(normal(x) == x and [p for p, _ in split(x)] == [x] for x in samples)
+
+    def _fill(self, index: _Places, flat: np.ndarray, sizes: np.ndarray, noted: np.ndarray,
+              uses: np.ndarray) -> None:
+        """Set the memory: ids of all words one after the other, and numbers per word."""
+        n, room = len(sizes), 1 << max(14, int(2 * len(sizes)).bit_length())
+        self.index, self.used = index, len(flat)
+        self.flat = np.concatenate([flat, np.empty(1 << 16, np.int32)])
+        self.sizes = np.zeros(room, np.int32)
+        self.sizes[:n] = sizes
+        self.starts = np.zeros(room, np.int32)
+        self.starts[:n] = np.cumsum(sizes) - sizes
+        self.noted = np.zeros((room, self.n_notes))
+        self.noted[:n] = noted if noted.shape == (n, self.n_notes) else 0
+        self.uses = np.zeros(room, np.int64)
+        self.uses[:n] = uses
+        self.held = sum(map(len, index))
+
+    def annotate(self, key: str, n_notes: int, note) -> None:
+        """From now on ``words`` also gives ``n_notes`` numbers per word in ``notes``:
+        ``note(words, ids, sizes)``, computed once per distinct word."""
         if self.note_key != key:
-            self.note_key, self.note = key, note
+            self.note_key, self.note, self.n_notes = key, note, n_notes
             n = len(self.index)
-            self.noted[:n] = note(self.flat[:self.used], self.sizes[:n])
-
-    note_key, note = None, None
-
-    def clear(self) -> None:
-        self.notes = np.empty(0)
-        self.noted = np.zeros(1 << 14)
-        self.index: dict[bytes, int] = {}
-        self.flat = np.empty(1 << 16, np.int32)
-        self.used = 0
-        self.starts = np.zeros(1 << 14, np.int64)
-        self.sizes = np.zeros(1 << 14, np.int64)
-
-    def _learn(self, words: list[bytes]) -> None:
-        step = 256
-        texts = [self.spelled(w) for w in words]
-        chunks = [texts[i:i + step] for i in range(0, len(texts), step)]
+            self.noted = np.zeros((len(self.sizes), n_notes))
+            self.noted[:n] = note(list(self.index), self.flat[:self.used], self.sizes[:n])
+
+    def _shrink(self) -> None:
+        """Keep the half of the words that was used most, as far as used more than once and not
+        very long."""
         n = len(self.index)
-        while n + len(words) > len(self.starts):
-            self.starts, self.sizes, self.noted = (
+        words = list(self.index)  # in the order of their places
+        keep = np.argsort(-self.uses[:n], kind="stable")[:self.limit // 2]
+        keep = np.array([i for i in np.sort(keep).tolist()
+                         if self.uses[i] > 1 and len(words[i]) < 256], np.int64)
+        sizes = self.sizes[keep]
+        flat = self.flat[spread(self.starts[keep], sizes)]
+        index = _Places((words[i], j) for j, i in enumerate(keep.tolist()))
+        self._fill(index, flat, sizes, self.noted[keep], self.uses[keep] // 2)
+
+    def _ids(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """The words' ids, one after the other, and how many each has."""
+        ids: list[int] = []
+        sizes: list[int] = []
+        slow: list[int] = []
+        tokenize = self.model.tokenize
+        for i, w in enumerate(words):
+            if self.plain and PLAIN(w):
+                got = [t.id for t in tokenize(w.decode())]
+                ids += got
+                sizes.append(len(got))
+            else:
+                slow.append(i)
+                sizes.append(0)
+        if slow:
+            self._insert(words, slow, ids, sizes)
+        return ids, sizes
+
+    def _insert(self, words, slow, ids, sizes) -> None:
+        """Encode the words at ``slow`` through the whole tokenizer, and put their ids in place."""
+        texts = [self.spelled(words[i]) for i in slow]
+        step, found, counts = 256, [], []
+        chunks = [texts[i:i + step] for i in range(0, len(texts), step)]
+        for chunk, e in zip(chunks, self.tokenizer.encode_batch(
+                chunks, is_pretokenized=True, add_special_tokens=False), strict=True):
+            found += e.ids
+            n = [0] * len(chunk)
+            for w in e.word_ids:
+                n[w] += 1
+            counts += n
+        starts = np.cumsum(counts) - counts
+        before = np.cumsum(sizes) - sizes
+        parts, at = [], 0
+        for i, start, n in zip(slow, starts.tolist(), counts, strict=True):
+            parts += ids[at:before[i]]
+            at = before[i]
+            parts += found[start:start + n]
+            sizes[i] = n
+        ids[:] = parts + ids[at:]
+
+    def _learn(self) -> None:
+        new, self.index.new = self.index.new, []
+        n, began = len(self.index) - len(new), self.used
+        ids, sizes = self._ids(new)
+        while len(self.index) > len(self.sizes):
+            self.starts, self.sizes, self.noted, self.uses = (
                 np.concatenate([a, np.zeros_like(a)])
-                for a in (self.starts, self.sizes, self.noted))
-        began = self.used
-        for i, e in enumerate(self.tokenizer.encode_batch(
-                chunks, is_pretokenized=True, add_special_tokens=False)):
-            ids = np.array(e.ids, np.int32)
-            sizes = np.bincount(np.array(e.word_ids, np.int64), minlength=len(chunks[i])) \
-                if len(ids) else np.zeros(len(chunks[i]), np.int64)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used:self.used + len(ids)] = ids
-            at = n + i * step
-            self.sizes[at:at + len(sizes)] = sizes
-            self.starts[at:at + len(sizes)] = self.used + np.cumsum(sizes) - sizes
-            self.used += len(ids)
-        self.index.update(zip(words, range(n, n + len(words)), strict=True))
+                for a in (self.starts, self.sizes, self.noted, self.uses))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        self.flat[began:began + len(ids)] = ids
+        self.sizes[n:n + len(new)] = sizes
+        self.starts[n:n + len(new)] = began + np.cumsum(sizes) - sizes
+        self.used += len(ids)
+        self.held += sum(map(len, new))
         if self.note is not None:
-            self.noted[n:n + len(words)] = self.note(self.flat[began:self.used],
-                                                     self.sizes[n:n + len(words)])
+            self.noted[n:n + len(new)] = self.note(new, self.flat[began:self.used],
+                                                   self.sizes[n:n + len(new)])
 
     def spelled(self, word: bytes) -> str:
         """The string that stands for a word in the tokenizer."""
@@ -233,23 +314,17 @@ class WordEncoder:
         return text.split()
 
     def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of a list of words, and how many each word has."""
-        new = list(set(words).difference(self.index))
-        if len(self.index) + len(new) > CACHE_WORDS:
-            self.clear()
-            new = list(set(words))
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        """The ids of a list of words, and how many each word has; ``notes`` has the words' notes."""
+        if len(self.index) > self.limit or self.held > CACHE_BYTES:
+            self._shrink()
+        at = np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
+        if self.index.new:
+            self._learn()
         sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        where = np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)
-        ids = self.flat[where]
-        self.notes = self.noted[at] if self.note is not None else self.notes
-        if any(len(w) > CACHE_WORD_BYTES for w in new):
-            self.clear()  # very long words are not kept
-        return ids, sizes
+        n = len(self.index)
+        self.uses[:n] += np.bincount(at, minlength=n)
+        self.notes = self.noted[at]
+        return self.flat[spread(self.starts[at], sizes)], sizes
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of whole texts, one after the other, and how many each text has."""
@@ -265,6 +340,13 @@ class WordEncoder:
         return ids, ends[last] - ends[last - counts]
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions of ranges that begin at ``starts`` and have ``sizes``, one after the other."""
+    ends = np.cumsum(sizes, dtype=np.int32)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(total, dtype=np.int32)
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 
@@ -302,7 +384,7 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
 
 
 def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None = None,
-              block: int = BLOCK) -> DataFrame:
+              block: int = BLOCK, cache_words: int = 2 * CACHE_WORDS) -> DataFrame:
     """Encode every whole text and write the ids in ascending doc_id order.
 
     Range partitions of doc_id write one file each into ``folder`` (by default a new one in the
@@ -319,6 +401,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str | None =
         from pyspark import TaskContext
         part = TaskContext.get().partitionId()
         enc = encoder(tokenizer)
+        enc.limit = cache_words
         path = f"{root}/ids-{part:06d}-{uuid.uuid4().hex}.bin"
         fs, p = filesystem(path)
         fs.create_dir(p.rpartition("/")[0], recursive=True)
