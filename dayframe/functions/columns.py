@@ -118,29 +118,24 @@ def unit_vector(lat: ColumnOrName, lon: ColumnOrName) -> tuple[Column, Column, C
 
 
 @lru_cache(maxsize=1)
-def _ascii_fold_tables() -> tuple[str, str, list[tuple[str, str]]]:
+def _ascii_fold_tables() -> tuple[str, str, dict[str, str]]:
     """Characters whose compatibility decomposition keeps ASCII parts.
 
-    Built by rule from the Unicode database (NFKD, keep ASCII code points)
-    over the Basic Multilingual Plane, so single-letter folds match Python's
-    ``normalize('NFKD', s).encode('ascii', 'ignore')`` character by character.
-    Returns (from, to) for single-letter folds and a list of multi-letter folds.
+    Built by rule from the Unicode database (NFKD, keep ASCII code points) over all planes, so
+    folds match Python's ``normalize('NFKD', s).encode('ascii', 'ignore')`` character by
+    character. Returns (from, to) for single-letter folds and the multi-letter folds.
     """
-    src, dst, multi = [], [], []
-    for cp in range(0x80, 0x10000):
-        if 0xD800 <= cp <= 0xDFFF:
-            continue
+    src, dst, multi = [], [], {}
+    for cp in range(0x80, 0x110000):
         ch = chr(cp)
-        folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode()
-        if not folded or folded == ch:
+        if not unicodedata.decomposition(ch):
             continue
+        folded = unicodedata.normalize("NFKD", ch).encode("ascii", "ignore").decode()
         if len(folded) == 1:
             src.append(ch)
             dst.append(folded)
-        elif cp < 0x2000 or 0xFB00 <= cp <= 0xFB06:
-            # multi-letter folds (fractions, digraphs, ligatures) of the Latin
-            # blocks; rarer symbol forms such as squared units are not expanded
-            multi.append((ch, folded))
+        elif folded:
+            multi[ch] = folded
     return "".join(src), "".join(dst), multi
 
 
@@ -151,10 +146,10 @@ def ascii_fold(c: ColumnOrName) -> Column:
     want only ASCII remove the rest (see ``slug``).
     """
     src, dst, multi = _ascii_fold_tables()
-    out = _col(c)
-    for ch, folded in multi:
-        out = F.replace(out, F.lit(ch), F.lit(folded))
-    return F.translate(out, src, dst)
+    table = F.create_map(*[F.lit(x) for pair in multi.items() for x in pair])
+    spelled = F.transform(F.split(F.translate(_col(c), src, dst), ""), lambda ch: F.when(
+        ch > "\x7f", F.coalesce(F.element_at(table, ch), ch)).otherwise(ch))
+    return F.array_join(spelled, "")
 
 
 # Spark's translate reads U+0000 in the target as "delete", so the marker is a
@@ -165,15 +160,14 @@ _MARK = "\ufdd0"
 def slug(c: ColumnOrName) -> Column:
     """Lower-case ASCII letters and digits only, accents folded first.
 
-    One ``translate`` pass folds single letters and maps every multi-letter
-    fold character to a marker. Texts without the marker (nearly all) are
-    done; only texts that have one (a multi-letter fold character, or a
-    marker already in the text) take the path with one ``replace`` per
-    multi-letter fold. Both paths give the same result.
+    One ``translate`` pass folds single letters and maps every multi-letter fold character to a
+    marker. Texts without the marker (nearly all) are done; only texts that have one (a
+    multi-letter fold character, or a marker already in the text) look their non-ASCII characters
+    up one by one. Both paths give the same result.
     """
     src, dst, multi = _ascii_fold_tables()
     x = _col(c)
-    fast = F.translate(x, src + "".join(ch for ch, _ in multi), dst + _MARK * len(multi))
+    fast = F.translate(x, src + "".join(multi), dst + _MARK * len(multi))
 
     def finish(folded: Column) -> Column:
         return F.regexp_replace(F.lower(folded), r"[^a-z0-9]+", "")

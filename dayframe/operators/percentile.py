@@ -2,22 +2,21 @@
 
 ``F.percentile`` keeps one value->count map per group and merges it in the
 task that finalises the group, so a group holding a large share of all rows
-(one entity-day with a third of the readings) lands in one task's memory.
-``grouped_percentiles`` computes the same exact answer without that:
+lands in one task's memory. ``grouped_percentiles`` computes the same answer
+lazily by refining ranges:
 
-1. (group, value) -> count, a partial aggregate (duplicates collapse early).
-2. A global range-partitioned sort by (group, value); the sampled bounds split
-   a hot group's values over many partitions.
-3. Per partition, a running count (numpy prefix sum inside the task), then a
-   reliable checkpoint in the shared folder so partition ids stay fixed.
-4. Per (partition, group): start and total. A window per group over these
-   rows (at most one per partition the group spans) gives each piece's
-   offset and the group size ``n``.
-5. Rows whose rank range covers the two ranks around ``pos = q * (n - 1)``
-   give the lower and upper value (a partial aggregate), then linear
-   interpolation ``(ceil(pos) - pos) * lo + (pos - floor(pos)) * hi``.
+1. Per group, approximate percentiles on both sides of ``q`` bound the exact
+   one (a mergeable sketch of fixed size per group, pre-aggregated). Groups of
+   at most ``ACCURACY`` values, where one rank is a large step, take all values.
+2. The rows are joined with their group's bounds; a partial aggregate counts
+   the values below the range, and only the few values inside it (a fixed
+   small share of each group) go on, equal ones collapsed to counts.
+3. Running counts inside the range give the values at the two ranks around
+   ``pos = q * (n - 1)``, then linear interpolation
+   ``(ceil(pos) - pos) * lo + (pos - floor(pos)) * hi``.
 
-No step puts all rows of one group into one task or into the driver.
+No Python step and no checkpoint; nothing is computed before an action. The
+counts prove that the range holds both ranks, and an error is raised if not.
 """
 
 from __future__ import annotations
@@ -26,27 +25,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
+ACCURACY = 2000
+# The bounds lie this many times the sketch's rank error away from q.
+MARGIN = 6
 
-def _prefix_counts_fn():
-    """Exclusive running sum of ``__c`` over one partition's rows, in order.
 
-    Built as a closure so it is shipped by value: executors need no copy of
-    this package on their path."""
-
-    def prefix_counts(batches):
-        import numpy as np
-
-        carried = 0
-        for pdf in batches:
-            c = pdf["__c"].to_numpy(dtype=np.int64)
-            run = np.cumsum(c)
-            pdf["__px"] = run - c + carried
-            if len(c):
-                carried += int(run[-1])
-            yield pdf
-    return prefix_counts
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on the keys, NULL matching NULL; keeps the left side's keys."""
+    other = right.select(*[F.col(k).alias(f"__j_{k}") for k in keys],
+                         *[c for c in right.columns if c not in keys])
+    on = F.lit(True)
+    for k in keys:
+        on = on & left[k].eqNullSafe(other[f"__j_{k}"])
+    return left.join(other, on, how).drop(*[f"__j_{k}" for k in keys])
 
 
 def grouped_percentiles(df: DataFrame, keys: Sequence[str], values: Sequence[str], q: float,
@@ -57,48 +49,52 @@ def grouped_percentiles(df: DataFrame, keys: Sequence[str], values: Sequence[str
     no value in any column has no row (callers left-join their groups)."""
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
-    from dayframe.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
     keys = list(keys)
-    g = keys + ["__m"]
-    long = df.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("__m"), F.col(v).cast("double").alias("__v"))
-        for i, v in enumerate(values)])).alias("__e")) \
-        .select(*keys, "__e.__m", "__e.__v").filter(F.col("__v").isNotNull())
-    counted = long.groupBy(*g, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    ordered = counted.orderBy(*g, "__v").withColumn("__pid", F.spark_partition_id())
-    schema = StructType(ordered.schema.fields + [StructField("__px", LongType(), False)])
-    ranked = ordered.mapInPandas(_prefix_counts_fn(), schema).checkpoint()
-
-    pieces = ranked.groupBy("__pid", *g).agg(F.min("__px").alias("__start"),
-                                             F.sum("__c").alias("__t"))
-    by_group = Window.partitionBy(*g)
-    before = by_group.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    pos = (F.col("__n") - F.lit(1)).cast("double") * F.lit(float(q))
-    pieces = (pieces.withColumn("__off", F.coalesce(F.sum("__t").over(before), F.lit(0)) - F.col("__start"))
-              .withColumn("__n", F.sum("__t").over(by_group))
-              .withColumn("__pos", pos)
-              .withColumn("__k1", F.floor("__pos"))
-              .withColumn("__k2", F.ceil("__pos"))
-              .drop("__start", "__t"))
-    p = pieces.select(*[F.col(k).alias(f"__r_{k}") for k in ["__pid"] + g],
-                      "__off", "__pos", "__k1", "__k2")
-    on = None
-    for k in ["__pid"] + g:
-        c = ranked[k].eqNullSafe(p[f"__r_{k}"])
-        on = c if on is None else on & c
-    lo = F.col("__off") + F.col("__px")
-    hi = lo + F.col("__c") - F.lit(1)
-    covers = lambda k: (lo <= F.col(k)) & (F.col(k) <= hi)
-    per_group = ranked.join(p, on, "inner").groupBy(*g).agg(
-        F.max(F.when(covers("__k1"), F.col("__v"))).alias("__lo"),
-        F.max(F.when(covers("__k2"), F.col("__v"))).alias("__hi"),
-        F.max("__pos").alias("__pos"), F.max("__k1").alias("__k1"), F.max("__k2").alias("__k2"))
+    m = range(len(values))
+    rows = df.select(*keys, *[F.col(v).cast("double").alias(f"__v{i}")
+                              for i, v in enumerate(values)])
+    away = MARGIN / ACCURACY
+    sides = F.array(F.lit(max(0.0, q - away)), F.lit(min(1.0, q + away)))
+    bounds = rows.groupBy(*keys).agg(
+        *[F.count(f"__v{i}").alias(f"__n{i}") for i in m],
+        *[F.min(f"__v{i}").alias(f"__l{i}") for i in m],
+        *[F.max(f"__v{i}").alias(f"__h{i}") for i in m],
+        *[F.percentile_approx(f"__v{i}", sides, F.lit(ACCURACY)).alias(f"__b{i}") for i in m])
+    ranged = _joined(rows, bounds, keys, "inner")
+    small = lambda i: F.col(f"__n{i}") <= ACCURACY
+    low = lambda i: F.when(small(i), F.col(f"__l{i}")).otherwise(
+        F.get(F.col(f"__b{i}"), F.lit(0)))
+    high = lambda i: F.when(small(i), F.col(f"__h{i}")).otherwise(
+        F.get(F.col(f"__b{i}"), F.lit(1)))
+    below = ranged.groupBy(*keys).agg(*[
+        F.count_if(F.col(f"__v{i}") < low(i)).alias(f"__c{i}") for i in m])
+    inside = ranged.select(*keys, F.explode(F.filter(F.array(*[
+        F.when(F.col(f"__v{i}").between(low(i), high(i)), F.struct(
+            F.lit(i).alias("m"), F.col(f"__v{i}").alias("v"))) for i in m]),
+        lambda e: e.isNotNull())).alias("e")).select(*keys, "e.m", "e.v")
+    counts = inside.groupBy(*keys, "m", "v").agg(F.count("*").alias("c"))
+    totals = _joined(bounds.select(*keys, *[f"__n{i}" for i in m]), below, keys, "inner").select(
+        *keys, F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col(f"__n{i}").alias("n"),
+                                            F.col(f"__c{i}").alias("below"))
+                                   for i in m])).alias("e")).select(
+        *keys, F.col("e.m").alias("m"), "e.n", "e.below").where("n > 0")
+    by_value = Window.partitionBy(*keys, "m").orderBy("v").rowsBetween(
+        Window.unboundedPreceding, -1)
+    placed = counts.withColumn("before", F.coalesce(F.sum("c").over(by_value), F.lit(0)))
+    both = _joined(placed, totals, [*keys, "m"], "inner")
+    pos = (F.col("n") - F.lit(1)).cast("double") * F.lit(float(q))
+    both = both.withColumn("pos", pos).withColumn("k1", F.floor("pos")).withColumn(
+        "k2", F.ceil("pos")).withColumn("at", F.col("below") + F.col("before"))
+    covers = lambda k: (F.col("at") <= F.col(k)) & (F.col(k) < F.col("at") + F.col("c"))
+    per = both.groupBy(*keys, "m").agg(
+        F.max(F.when(covers("k1"), F.col("v"))).alias("lo"),
+        F.max(F.when(covers("k2"), F.col("v"))).alias("hi"),
+        F.max("pos").alias("pos"), F.max("k1").alias("k1"), F.max("k2").alias("k2"))
+    found = F.when(F.col("lo").isNull() | F.col("hi").isNull(), F.raise_error(
+        F.lit("the percentile's range misses its rank")).cast("double"))
     # same arithmetic as Spark's own percentile, so both methods agree bit for bit
-    value = F.when(F.col("__k1") == F.col("__k2"), F.col("__lo")).otherwise(
-        (F.col("__k2") - F.col("__pos")) * F.col("__lo") + (F.col("__pos") - F.col("__k1")) * F.col("__hi"))
-    per_group = per_group.withColumn("__p", value)
-    return per_group.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("__m") == F.lit(i), F.col("__p"))).alias(alias.format(v))
+    value = found.when(F.col("k1") == F.col("k2"), F.col("lo")).otherwise(
+        (F.col("k2") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.col("k1")) * F.col("hi"))
+    return per.withColumn("p", value).groupBy(*keys).agg(*[
+        F.max(F.when(F.col("m") == F.lit(i), F.col("p"))).alias(alias.format(v))
         for i, v in enumerate(values)])

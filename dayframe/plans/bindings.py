@@ -50,17 +50,9 @@ BENCH_RULES = DayRules(
 LOCATIONS_EXTRACTED_AT = "2024-02-01 00:00:00"
 
 
-_CACHE: dict = {}
-
-
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
-    """Reuse plan objects (not data) per session and folder: DataFrames are
-    immutable lazy plans, so sharing them only saves file listing and
-    analysis; every action still reads the files."""
-    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _CACHE:
-        _CACHE[key] = build()
-    return _CACHE[key]
+    """Build anew on every call, so that each query sees its inputs as they are now."""
+    return build()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

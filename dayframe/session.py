@@ -49,10 +49,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (distributed) folder there; it is only set here
-    when absent, which happens in local tests.
+    when absent, which happens in local tests. Without it, only a local master
+    may go on: executors on other machines would not see a local folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local") or \
+                spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = os.environ.get("DAYFRAME_CHECKPOINT_DIR", "/tmp/dayframe-checkpoints")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
