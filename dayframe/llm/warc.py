@@ -233,7 +233,8 @@ def captures(records: DataFrame) -> DataFrame:
     rows = records.withColumn("__names", own)
     named = rows.where("__names is not null").select(
         F.col("record_id").alias("__rid"), F.col("__names").alias("__next"))
-    rows = rows.join(named, F.col("__names") == F.col("__rid"), "left")
+    # records come out of a few manifest rows, from which Spark would take them for small
+    rows = rows.join(named.hint("merge"), F.col("__names") == F.col("__rid"), "left")
     key = F.coalesce("__next", "__names", "record_id")
     cols = [c for c in records.columns if c != "concurrent_to"]
     part = lambda *kinds: F.min(F.when(F.col("type").isin(*kinds), F.struct(*cols)))
