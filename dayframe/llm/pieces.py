@@ -138,8 +138,8 @@ class PieceEncoder(WordEncoder):
             text = re.sub(rb" +", b" ", text).strip(b" ")
         return b" " + text if self.spec.dummy_prefix and text else text
 
-    def _plain_words_are_direct(self) -> bool:
-        return False  # see _ids
+    def _direct_words(self):
+        return None, {}  # see _ids
 
     def _ids(self, words: list[bytes]) -> tuple[list[int], list[int]]:
         """Chunks reach the model as they are: there is neither normaliser nor pre-tokenizer."""

@@ -13,6 +13,7 @@ from just the blocks that hold it.
 
 from __future__ import annotations
 
+import functools
 import re
 import struct
 import uuid
@@ -34,7 +35,9 @@ BLOCK = 1 << 16
 CACHE_WORDS = 400_000
 CACHE_BYTES = 32 << 20
 SLICE_BYTES = 1 << 20
-PLAIN = re.compile(rb"[a-z]+").fullmatch
+# Letters and signs below this are tried for the direct way to the model: none of them combines
+# with its neighbours.
+DIRECT_BELOW = 0x180
 MANIFEST = "part int, path string, n_docs long, n_ids long"
 
 
@@ -196,17 +199,51 @@ class WordEncoder:
         self.tokenizer = tokenizer
         self.vocabulary = tokenizer.get_vocab_size()
         self.model = tokenizer.model
-        self.plain = self._plain_words_are_direct()
+        self.direct, self.spelling = self._direct_words()
+        self.signs = functools.lru_cache(4096)(self._piece_ids)
         self._fill(_Places(), np.empty(0, np.int32), np.empty(0, np.int32), np.empty((0, 0)),
                    np.empty(0, np.int64))
 
-    def _plain_words_are_direct(self) -> bool:
-        """Whether words of a-z reach the model as they are: neither normalised nor split."""
+    def _direct_words(self):
+        """A match of words that are letters, then signs, where both reach the model as one piece
+        each, only spelled anew character by character; and that spelling.
+
+        The tokenizer itself is asked: characters count that it neither normalises nor splits. The
+        way is closed (None) if they don't stay whole next to each other, or if an added token
+        could lie in such a word.
+        """
         t = self.tokenizer
-        samples = ["abcdefghijklm", "nopqrstuvwxyz", "s", "t", "re", "dont", "ll", "the"]
         normal = t.normalizer.normalize_str if t.normalizer else str
         split = t.pre_tokenizer.pre_tokenize_str if t.pre_tokenizer else lambda x: [(x, None)]
-        return all(normal(x) == x and [p for p, _ in split(x)] == [x] for x in samples)
+        spelled = {}
+        for c in map(chr, range(0x21, DIRECT_BELOW)):
+            pieces = split(c) if normal(c) == c and c != "'" else []
+            if len(pieces) == 1 and (pieces[0][0] == c or not c.isascii()):
+                spelled[c] = pieces[0][0]
+        letters = "".join(c for c in spelled if c.isalpha())
+        signs = "".join(c for c in spelled if not c.isalnum())
+        table = str.maketrans(spelled)
+
+        def whole(*parts: str) -> bool:
+            word = "".join(parts)
+            return normal(word) == word and [p for p, _ in split(word)] == [
+                x.translate(table) for x in parts]
+
+        if not letters or not all(whole(x) for x in [letters, letters[::-1], *"st", "re", "ll", *(
+                f"a{c}b" for c in letters)]):
+            return None, table
+        if not all(whole(x, y) for x in (letters, "a") for y in [signs, signs[::-1], *signs]):
+            signs = ""
+        pattern = f"([{re.escape(letters)}]+)" + (f"([{re.escape(signs)}]*)" if signs else "()")
+        inside = re.compile(pattern.replace("]+)", "]*)", 1)).fullmatch
+        if any(inside(x.content.strip()) for x in t.get_added_tokens_decoder().values()):
+            return None, table
+        return re.compile(pattern).fullmatch, table
+
+    def _piece_ids(self, piece: str) -> list[int]:
+        if not piece.isascii():
+            piece = piece.translate(self.spelling)
+        return [t.id for t in self.model.tokenize(piece)]
 
     def _fill(self, index: _Places, flat: np.ndarray, sizes: np.ndarray, noted: np.ndarray,
               uses: np.ndarray) -> None:
@@ -251,10 +288,12 @@ class WordEncoder:
         ids: list[int] = []
         sizes: list[int] = []
         slow: list[int] = []
-        tokenize = self.model.tokenize
         for i, w in enumerate(words):
-            if self.plain and PLAIN(w):
-                got = [t.id for t in tokenize(w.decode())]
+            m = self.direct and self.direct(w.decode("utf-8", "replace"))
+            if m:
+                got = self._piece_ids(m[1])
+                if m[2]:
+                    got = got + (self.signs(m[2]) if len(m[2]) < 9 else self._piece_ids(m[2]))
                 ids += got
                 sizes.append(len(got))
             else:
@@ -305,6 +344,11 @@ class WordEncoder:
             self.noted[n:n + len(new)] = self.note(new, self.flat[began:self.used],
                                                    self.sizes[n:n + len(new)])
 
+    def distinct(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``words`` for words that come once: they are not remembered and have no notes."""
+        ids, sizes = self._ids(words)
+        return np.array(ids, np.int32), np.array(sizes, np.int32)
+
     def spelled(self, word: bytes) -> str:
         """The string that stands for a word in the tokenizer."""
         return word.decode("utf-8", "replace")
