@@ -481,3 +481,33 @@ def test_lm_learns(spark):
     held = lm.score(df, path, rate=2e-2, periods=(lm.STRETCH * 2, lm.STRETCH)).where("held_out")
     s = held.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert s.s > 0.75 * s.b  # the order of words helps; word counts cannot see it
+
+
+def test_most_frequent_takes_whole_frequencies_within_the_limit(spark):
+    uses = [0, 1, 1, 1, 2, 2, 500, 70_000]
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(uses)], "id long, uses long")
+    for limit, want in ((0, []), (1, [7]), (3, [6, 7]), (4, [4, 5, 6, 7]), (6, [4, 5, 6, 7]),
+                        (7, [1, 2, 3, 4, 5, 6, 7])):
+        assert sorted(r["id"] for r in lm.most_frequent(df, "uses", limit).collect()) == want
+    assert lm.most_frequent(df.limit(0), "uses", 5).count() == 0
+
+
+def test_stretches_hold_whole_words_only():
+    text = " ".join(f"w{i:04d}" for i in range(500)).encode()
+    words = set(text.split())
+    for offset in range(0, 400, 7):
+        got = lm.stretches(text, 400, offset)
+        assert got and set(got) <= words and len(got) <= (len(text) // 400 + 2) * lm.STRETCH / 5
+    assert lm.stretches(b"a b", 400, 0) == [b"a", b"b"] and lm.stretches(b"", 400, 0) == []
+
+
+def test_direct_words_equal_the_whole_tokenizer():
+    enc = tokens.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    words = [w.encode() for w in ["plain", "comma,", "naïve!?", "straße...", "ªº", "l'eau",
+                                  "«mot»", "a­b", "<|endoftext|>", "a<|endoftext|>", "ÀB",
+                                  "éa", "x9", "...", "a" * 300 + "!" * 300]]
+    assert enc.direct is not None
+    got = enc.distinct(words)
+    enc.direct = None
+    want = enc.distinct(words)
+    assert all(np.array_equal(a, b) for a, b in zip(got, want, strict=True))
