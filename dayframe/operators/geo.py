@@ -51,22 +51,25 @@ def _cells(x: Column, y: Column, z: Column, c: float) -> list[Column]:
 def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
             left_lat: str = "lat", left_lon: str = "lon",
             right_lat: str = "latitude", right_lon: str = "longitude",
-            levels=DEFAULT_LEVELS, checkpoint: bool = False,
+            levels=DEFAULT_LEVELS, checkpoint: bool = True,
             max_broadcast: int = MAX_BROADCAST_CANDIDATES) -> DataFrame:
     """For each left row: the closest right row by great-circle distance.
 
     Returns (left_id, right_id, distance_km). Ties on distance go to the
     smaller right id. Right rows sharing coordinates are reduced to the
     smallest id first, so piles of duplicates do not multiply candidates.
-    ``checkpoint=True`` cuts the lineage after each level (reliable
-    checkpoint in the shared ``spark.checkpoint.dir``).
+    Every left row with coordinates gives one row, whatever its id (NULL and
+    repeated ids too). ``checkpoint`` cuts the lineage of the shuffle form
+    after each level (reliable checkpoint in the shared
+    ``spark.checkpoint.dir``); without it the plan doubles per level.
 
     When the exact count of candidates is at most ``max_broadcast``, the
     candidate side is the one spread over the 27 neighbouring cells and
     collected into one array per cell; that table is broadcast and each query
     takes the minimum over its own cell's array, so no level shuffles the
     queries or their pairs. Larger candidate sets use the shuffle form: the
-    queries are spread over the 27 cells and joined on the cell id.
+    distinct query places are spread over the 27 cells and joined on the cell
+    id, and the rows are joined to their places at the end.
     """
     if levels[-1] < 2.0:
         raise ValueError("the last level must have cell edge >= 2 so every point resolves")
@@ -86,9 +89,12 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
 
     offsets = F.array(*[F.array(*[F.lit(o) for o in off]) for off in _OFFSETS])
     if n_candidates <= max_broadcast:
-        out = _nearest_broadcast(pending, r, levels, offsets, checkpoint)
+        out = _nearest_broadcast(pending, r, levels, offsets)
         return out.select(F.col("__lid").alias(left_id), F.col("__rid").alias(right_id),
                           F.col("__d").alias("distance_km"))
+    # one row per place: neither repeated ids nor repeated places multiply the pairs
+    place = ["__llat", "__llon"]
+    pending = pending.drop("__lid").distinct()
     results = []
     for c in levels:
         rc = r.withColumns(dict(zip(("__cx", "__cy", "__cz"), _cells(F.col("__rx"), F.col("__ry"), F.col("__rz"), c))))
@@ -101,27 +107,27 @@ def nearest(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
         chord = F.sqrt(F.pow(F.col("__qx") - F.col("__rx"), 2) + F.pow(F.col("__qy") - F.col("__ry"), 2)
                        + F.pow(F.col("__qz") - F.col("__rz"), 2))
         best = (pairs.withColumn("__d", haversine_km("__llat", "__llon", "__rlat", "__rlon"))
-                .groupBy("__lid")
+                .groupBy(*place)
                 .agg(F.min(F.struct(F.col("__d"), F.col("__rid"), chord.alias("__chord"))).alias("__b")))
         resolved = best.filter(F.col("__b.__chord") <= F.lit(c)).select(
-            "__lid", F.col("__b.__rid").alias("__rid"), F.col("__b.__d").alias("__d"))
+            *place, F.col("__b.__rid").alias("__rid"), F.col("__b.__d").alias("__d"))
         if checkpoint:
             resolved = resolved.checkpoint()
         results.append(resolved)
         if c >= 2.0:
             break
-        pending = pending.join(resolved.select("__lid"), "__lid", "left_anti")
+        pending = pending.join(resolved.select(*place), place, "left_anti")
         if checkpoint:
             pending = pending.checkpoint()
     out = results[0]
     for extra in results[1:]:
         out = out.unionByName(extra)
+    out = q.join(out, place)
     return out.select(F.col("__lid").alias(left_id), F.col("__rid").alias(right_id),
                       F.col("__d").alias("distance_km"))
 
 
-def _nearest_broadcast(pending: DataFrame, r: DataFrame, levels, offsets: Column,
-                       checkpoint: bool) -> DataFrame:
+def _nearest_broadcast(pending: DataFrame, r: DataFrame, levels, offsets: Column) -> DataFrame:
     """Per level: broadcast cell -> candidate array, best per query by
     ``array_min`` (map-only); unresolved queries go on to the next level."""
     results = []
@@ -146,14 +152,10 @@ def _nearest_broadcast(pending: DataFrame, r: DataFrame, levels, offsets: Column
         done = F.col("__b.__chord") <= F.lit(c)
         resolved = level.filter(done).select(
             "__lid", F.col("__b.__rid").alias("__rid"), F.col("__b.__d").alias("__d"))
-        if checkpoint:
-            resolved = resolved.checkpoint()
         results.append(resolved)
         if c >= 2.0:
             break
         pending = level.filter(F.col("__b").isNull() | ~done).drop("__b")
-        if checkpoint:
-            pending = pending.checkpoint()
     out = results[0]
     for extra in results[1:]:
         out = out.unionByName(extra)

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from dayframe.session import path_missing
+
 VERSION_COL = "_v"
 FIRST_RUN_FLOOR = dt.datetime(1900, 1, 1)
 
@@ -22,8 +24,10 @@ FIRST_RUN_FLOOR = dt.datetime(1900, 1, 1)
 def _read_all(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if path_missing(e):
+            return None
+        raise
 
 
 def current_version(spark: SparkSession, path: str) -> int | None:
@@ -77,14 +81,15 @@ def upsert_by_key(spark: SparkSession, new_rows: DataFrame, path: str, key: str)
 
     new version = (current LEFT ANTI JOIN new ON key) UNION new, written as a
     new partition; columns missing on either side are filled with NULL.
-    Running it twice with the same input gives the same table.
+    NULL keys match NULL keys. Running it twice with the same input gives the same table.
     """
     v = current_version(spark, path)
     if v is None:
         merged, version = new_rows, 0
     else:
         current = read_table(spark, path)
-        kept = current.join(new_rows.select(key), key, "left_anti")
+        fresh = new_rows.select(F.col(key).alias("__key"))
+        kept = current.join(fresh, current[key].eqNullSafe(fresh["__key"]), "left_anti")
         merged, version = kept.unionByName(new_rows, allowMissingColumns=True), v + 1
     merged.withColumn(VERSION_COL, F.lit(version)).write.mode("append") \
         .partitionBy(VERSION_COL).parquet(path)

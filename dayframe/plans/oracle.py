@@ -370,6 +370,22 @@ q("q_kpis", rnd(with_ctes("""SELECT count(*) AS cities, (SELECT avg(temperature_
     (SELECT city_name FROM rank ORDER BY overall_comfort_index DESC NULLS LAST, city_name LIMIT 1) AS top_city,
     (SELECT overall_comfort_index FROM rank ORDER BY overall_comfort_index DESC NULLS LAST, city_name LIMIT 1)
       AS top_index FROM rank""", "rank", "fct"), ["avg_temp", "top_index"], 2))
+q("q_meters", rnd(with_ctes("""SELECT avg(overall_comfort_index) AS overall_comfort,
+    avg(comfort_score) AS comfort_score,
+    coalesce((SELECT avg(avg_european_aqi) FROM aqf), 0) AS air_quality FROM rank""", "rank", "aqf"),
+    ["overall_comfort", "comfort_score", "air_quality"], 4))
+q("q_city_map", rnd(with_ctes("""SELECT r.*, d.latitude, d.longitude, d.population,
+    sqrt(greatest(d.population, 1)) AS marker_size
+    FROM rank r LEFT JOIN dim d ON r.city_name = d.city_name""", "rank", "dim"),
+    RANK_D + ["marker_size"], 4))
+q("q_season_chart", rnd(with_ctes("""SELECT city_name, season, avg_temperature_c, comfort_score,
+    CASE season WHEN 'Winter' THEN 1 WHEN 'Spring' THEN 2 WHEN 'Summer' THEN 3 ELSE 4 END AS season_order
+    FROM season_sum WHERE city_name IN (SELECT city_name FROM rank
+      ORDER BY overall_comfort_index DESC NULLS LAST, city_name LIMIT 8)""", "season_sum", "rank"),
+    ["avg_temperature_c", "comfort_score"], 4))
+q("q_thermal_grid", rnd(with_ctes("""SELECT city_name, weather_date,
+    avg(temperature_2m_mean) AS temperature_2m_mean FROM fct GROUP BY ALL""", "fct"),
+    ["temperature_2m_mean"], 4))
 q("q_city_table", rnd(with_ctes("""SELECT city_name AS "City", days AS "Days", avg_temp AS "Avg_C",
     comfortable_days AS "Comfortable", rainy_days AS "Rainy", windy_days AS "Windy", hot_days AS "Hot",
     comfort_score AS "Comfort_score", avg_european_aqi AS "Avg_AQI",

@@ -237,6 +237,26 @@ def q_kpis(spark, d):
     return finish(V.kpis(m.fct_city_weather_day, _ranking(spark, d)), 2)
 
 
+@query("q_meters")
+def q_meters(spark, d):
+    return finish(V.meters(_ranking(spark, d), _marts(spark, d).fct_air_quality_city_day), 4)
+
+
+@query("q_city_map")
+def q_city_map(spark, d):
+    return finish(V.city_map(_ranking(spark, d), _marts(spark, d).dim_location), 4)
+
+
+@query("q_season_chart")
+def q_season_chart(spark, d):
+    return finish(V.season_chart(_ranking(spark, d), _marts(spark, d).mart_city_season_summary), 4)
+
+
+@query("q_thermal_grid")
+def q_thermal_grid(spark, d):
+    return finish(V.thermal_grid(_marts(spark, d).fct_city_weather_day), 4)
+
+
 @query("q_city_table")
 def q_city_table(spark, d):
     r = _ranking(spark, d)
@@ -536,7 +556,7 @@ def q_stream_daily(spark, d):
     events = spark.readStream.schema(B.table(spark, d, "events").schema) \
         .option("pathGlobFilter", "events.parquet").parquet(d)
     hourly = stage_air_quality_hourly(B.raw_air_hourly(spark, d, events))
-    days = S.with_bands(S.daily_rollup_stream(hourly), aqi_bands(spark))
+    days = S.with_bands(S.daily_rollup_stream(hourly, "0 seconds"), aqi_bands(spark))
     out = scratch_path(spark, "stream", uuid.uuid4().hex)
     S.run_to_parquet(days, out + "/data", out + "/_checkpoint")
     res = spark.read.parquet(out + "/data")
@@ -560,7 +580,7 @@ def q_stream_daily_exact(spark, d):
     hourly = stage_air_quality_hourly(B.raw_air_hourly(spark, d, events))
     bands = aqi_bands(spark)
     base = scratch_path(spark, "stream-exact", uuid.uuid4().hex)
-    out = S.exact_daily_rollup(hourly, base, base + "/_checkpoint",
+    out = S.exact_daily_rollup(hourly, base, base + "/_checkpoint", dt.timedelta(0),
                                finish=lambda days: S.with_bands(days, bands))
     res = spark.read.parquet(out)
     return finish(res.select(

@@ -101,6 +101,37 @@ def kpis(weather_day: DataFrame, rank: DataFrame) -> DataFrame:
     )
 
 
+def meters(rank: DataFrame, aq_day: DataFrame) -> DataFrame:
+    """One row: means over the entities of the overall index and the comfort
+    score, and the mean daily AQI (0 without data)."""
+    aqi = aq_day.select(F.avg("avg_european_aqi")).scalar()
+    return rank.agg(F.avg("overall_comfort_index").alias("overall_comfort"),
+                    F.avg("comfort_score").alias("comfort_score")).withColumn(
+        "air_quality", F.coalesce(aqi, F.lit(0.0)))
+
+
+def city_map(rank: DataFrame, dim: DataFrame) -> DataFrame:
+    """The ranking with coordinates and population, and a marker size of the
+    square root of the population (1 at least)."""
+    places = dim.select("city_name", "latitude", "longitude", "population")
+    return rank.join(places, "city_name", "left").withColumn(
+        "marker_size", F.sqrt(F.greatest(F.col("population"), F.lit(1))))
+
+
+def season_chart(rank: DataFrame, season_summary: DataFrame, k: int = 8) -> DataFrame:
+    """The season rows of the k best entities, with the season's place in the year."""
+    best = top_k(rank, rank_order(), k).select("city_name")
+    return season_sorted(season_summary.join(best, "city_name", "left_semi").select(
+        "city_name", "season", "avg_temperature_c", "comfort_score"))
+
+
+def thermal_grid(weather_day: DataFrame) -> DataFrame:
+    """Mean temperature per entity and day in long form; a chart pivots it over
+    the days that it shows."""
+    return weather_day.groupBy("city_name", "weather_date").agg(
+        F.avg("temperature_2m_mean").alias("temperature_2m_mean"))
+
+
 def melt_counts(rank: DataFrame, columns: dict[str, str], id_col: str = "city_name",
                 var: str = "condition", value: str = "day_count") -> DataFrame:
     """Wide counts to long rows, with display labels for the variable names."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -64,6 +65,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def path_missing(error: AnalysisException) -> bool:
+    """Whether an analysis failed because there is no such path, or no file in it."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder, for tables a job writes and re-reads."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

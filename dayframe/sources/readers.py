@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from dayframe import schemas
 from dayframe.operators.order import with_position
+from dayframe.session import path_missing
 
 log = logging.getLogger(__name__)
 
@@ -32,7 +33,9 @@ def read_raw_tables(spark: SparkSession, folder: str,
             df = read_csv(spark, path, schema)
             df.schema  # resolves the path
             out[name] = df
-        except AnalysisException:
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise
             log.warning("raw table %s not found at %s, skipped", name, path)
     if not out:
         raise FileNotFoundError(f"no raw tables found under {folder}")
@@ -68,8 +71,8 @@ def read_mart(spark: SparkSession, path: str, columns: list[str] | None = None,
     try:
         df = spark.read.parquet(path)
         df.schema
-    except AnalysisException:
-        if schema is None:
+    except AnalysisException as e:
+        if schema is None or not path_missing(e):
             raise
         df = spark.createDataFrame([], schema)
     return df.select(*columns) if columns else df

@@ -21,6 +21,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,13 +30,19 @@ from dayframe.functions import any_not_null, surrogate_key
 from dayframe.operators import bands as band_ops
 from dayframe.operators import incremental
 from dayframe.operators.rollup import AQ_AVG_MAX, AQ_P95, AQ_REQUIRE_ANY, hourly_to_daily
+from dayframe.session import path_missing
 
 
-def daily_rollup_stream(hourly: DataFrame, keys: Sequence[str] = ("location_id", "city_name", "country_code"),
-                        ts_col: str = "reading_timestamp", delay: str = "0 seconds",
+def daily_rollup_stream(hourly: DataFrame, delay: str,
+                        keys: Sequence[str] = ("location_id", "city_name", "country_code"),
+                        ts_col: str = "reading_timestamp",
                         measures: Sequence[str] = AQ_AVG_MAX, p95: Sequence[str] = AQ_P95,
                         require_any: Sequence[str] = AQ_REQUIRE_ANY) -> DataFrame:
-    """Streaming hourly -> daily rollup with the batch rollup's columns."""
+    """Streaming hourly -> daily rollup with the batch rollup's columns.
+
+    Readings of days that closed more than ``delay`` before the newest reading
+    are dropped, so ``delay`` must cover the latest arrival.
+    """
     ev = hourly.withColumn("__event_time", F.col(ts_col).cast("timestamp")) \
         .withWatermark("__event_time", delay)
     if require_any:
@@ -53,8 +60,8 @@ def daily_rollup_stream(hourly: DataFrame, keys: Sequence[str] = ("location_id",
         .withColumn("air_quality_daily_sk", surrogate_key("location_id", "air_quality_date"))
 
 
-def exact_daily_rollup(hourly: DataFrame, base: str, checkpoint: str,
-                       ts_col: str = "reading_timestamp", delay: dt.timedelta = dt.timedelta(0),
+def exact_daily_rollup(hourly: DataFrame, base: str, checkpoint: str, delay: dt.timedelta,
+                       ts_col: str = "reading_timestamp",
                        finish: Callable[[DataFrame], DataFrame] | None = None,
                        date_col: str = "air_quality_date") -> str:
     """Stream hourly readings into finalised day rows under ``base + "/days"``.
@@ -71,7 +78,7 @@ def exact_daily_rollup(hourly: DataFrame, base: str, checkpoint: str,
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
-        finalise_closed_days(batch, epoch, base, ts_col, delay, finish, date_col)
+        finalise_closed_days(batch, epoch, base, delay, ts_col, finish, date_col)
 
     q = (hourly.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -82,14 +89,14 @@ def exact_daily_rollup(hourly: DataFrame, base: str, checkpoint: str,
 def _newest_day(spark: SparkSession, out: str, date_col: str):
     try:
         return spark.read.parquet(out).agg(F.max(date_col)).first()[0]
-    except Exception as e:  # no output yet
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+    except AnalysisException as e:
+        if path_missing(e):  # no output yet
             return None
         raise
 
 
-def finalise_closed_days(batch: DataFrame, epoch: int, base: str,
-                         ts_col: str = "reading_timestamp", delay: dt.timedelta = dt.timedelta(0),
+def finalise_closed_days(batch: DataFrame, epoch: int, base: str, delay: dt.timedelta,
+                         ts_col: str = "reading_timestamp",
                          finish: Callable[[DataFrame], DataFrame] | None = None,
                          date_col: str = "air_quality_date") -> None:
     """One micro-batch of ``exact_daily_rollup`` (safe to run again for the

@@ -185,3 +185,17 @@ def test_city_without_weather_or_air_is_kept(spark):
     out = {r.city_name: r for r in rollup.city_summary(dim, w, aq).collect()}
     assert out["A"].comfort_score == 100.0 and out["A"].overall_comfort_index == 100.0
     assert out["B"].total_days is None and out["B"].comfort_score is None
+
+
+def test_range_join_forms_agree_beyond_the_bound_and_at_infinite_bounds(spark):
+    inf = float("inf")
+    rows = [(i, float(i), float(i) + 1.5) for i in range(300)] + [
+        (900, -inf, 2.0), (901, 250.0, inf), (902, 3.0, 3.0), (903, None, 4.0), (904, 0.0, 1e6)]
+    table = spark.createDataFrame(rows, "band int, lo double, hi double")
+    df = spark.createDataFrame([(x,) for x in [-1e300, -5.0, 0.0, 2.0, 2.25, 299.0, 301.0, 1e9,
+                                               1e300, None]], "v double")
+
+    def got(bound):
+        return sorted((str(r.v), str(r.band)) for r in bands.range_join(
+            df, "v", table, "lo", "hi", max_broadcast=bound).collect())
+    assert got(10) == got(1000)

@@ -168,3 +168,15 @@ def test_freshness_levels(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 1, 1),)], "ts timestamp_ntz")
     st = lambda h: quality.freshness(df, "ts", dt.datetime(2026, 1, 1) + dt.timedelta(hours=h)).first().status
     assert (st(1), st(40), st(24 * 8)) == ("pass", "warn", "error")
+
+
+def test_nearest_forms_agree_on_repeated_and_null_ids(spark):
+    left = spark.createDataFrame([(1, 10.0, 10.0), (1, 50.0, 50.0), (None, 10.0, 10.0), (2, -30.0, 5.0),
+                                  (3, None, 1.0)], "qid int, lat double, lon double")
+    right = spark.createDataFrame([(7, 11.0, 10.0), (8, 49.0, 52.0), (9, -31.0, 6.0)],
+                                  "id int, latitude double, longitude double")
+
+    def got(bound):
+        return sorted((str(r.qid), r.id, round(r.distance_km, 6)) for r in geo.nearest(
+            left, right, "qid", "id", max_broadcast=bound).collect())
+    assert len(got(0)) == 4 and got(0) == got(100)

@@ -13,6 +13,8 @@ SCHEMA = ("location_id int, city_name string, country_code string, reading_times
           "pm10 double, pm2_5 double, carbon_monoxide double, nitrogen_dioxide double, ozone double, "
           "european_aqi double")
 
+NO_DELAY = dt.timedelta(0)
+
 
 def test_stream_daily_matches_batch_on_closed_days(spark):
     rnd = random.Random(1)
@@ -26,7 +28,7 @@ def test_stream_daily_matches_batch_on_closed_days(spark):
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(src)
     stream = spark.readStream.schema(SCHEMA).parquet(src)
     out = scratch_path(spark, "test-stream-out", uuid.uuid4().hex)
-    S.run_to_parquet(S.daily_rollup_stream(stream), out + "/data", out + "/_ck")
+    S.run_to_parquet(S.daily_rollup_stream(stream, "0 seconds"), out + "/data", out + "/_ck")
     got = spark.read.parquet(out + "/data")
     assert sorted(r.air_quality_date for r in got.select("air_quality_date").distinct().collect()) == [
         dt.date(2026, 3, 1), dt.date(2026, 3, 2), dt.date(2026, 3, 3)]  # 4 March still open
@@ -59,7 +61,7 @@ def test_exact_daily_rollup_over_several_batches(spark):
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1) \
         .option("recursiveFileLookup", "true").parquet(src)
     base = scratch_path(spark, "test-stream-exact", uuid.uuid4().hex)
-    out = S.exact_daily_rollup(stream, base, base + "/_ck")
+    out = S.exact_daily_rollup(stream, base, base + "/_ck", NO_DELAY)
     got = spark.read.parquet(out)
     batch = hourly_to_daily(df).filter(F.col("air_quality_date") < F.lit("2026-03-05").cast("date"))
     cols = ["location_id", "air_quality_date", "avg_pm10", "p95_pm10", "p95_pm2_5",
@@ -77,15 +79,15 @@ def test_finalise_closed_days_replay_and_late_rows(spark):
     day2 = [reading(1, dt.datetime(2026, 3, 2, h), float(h)) for h in range(3)]
     base = scratch_path(spark, "test-stream-replay", uuid.uuid4().hex)
     batch0 = spark.createDataFrame(day1 + day2, SCHEMA)
-    S.finalise_closed_days(batch0, 0, base)
-    S.finalise_closed_days(batch0, 0, base)  # replay of the same micro-batch
+    S.finalise_closed_days(batch0, 0, base, NO_DELAY)
+    S.finalise_closed_days(batch0, 0, base, NO_DELAY)  # replay of the same micro-batch
     out = spark.read.parquet(base + "/days")
     assert [(r.air_quality_date, r.hourly_readings_count) for r in out.collect()] == [
         (dt.date(2026, 3, 1), 24)]
     # a late reading for the emitted day is dropped; 2 March closes once 3 March starts
     late = spark.createDataFrame([reading(1, dt.datetime(2026, 3, 1, 5), 99.0),
                                   reading(1, dt.datetime(2026, 3, 3, 0), 1.0)], SCHEMA)
-    S.finalise_closed_days(late, 1, base)
+    S.finalise_closed_days(late, 1, base, NO_DELAY)
     got = sorted((r.air_quality_date, r.hourly_readings_count, r.max_pm10)
                  for r in spark.read.parquet(base + "/days").collect())
     assert got == [(dt.date(2026, 3, 1), 24, 23.0), (dt.date(2026, 3, 2), 3, 2.0)]
