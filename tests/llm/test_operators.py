@@ -501,6 +501,30 @@ def test_stretches_hold_whole_words_only():
     assert lm.stretches(b"a b", 400, 0) == [b"a", b"b"] and lm.stretches(b"", 400, 0) == []
 
 
+def test_lm_trains_on_every_token():
+    enc = tokens.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    for sizes in ((3, 0, 700, 40, 5000, 1), (2, 0), (31,), (32, 31), (511,), (512,), (0,)):
+        texts = [" ".join(f"w{i * 7 % 400}" for i in range(n)).encode() for n in sizes]
+        ids, counts = enc.encode(texts)
+        stream = [enc.vocabulary, *tokens.with_end(ids, counts, enc.vocabulary).tolist()]
+        want = list(zip(stream, stream[1:], strict=False))
+        slices = [([0], [t]) for t in texts]
+        for period in lm.PERIODS:
+            parts = [(a.ravel().tolist(), b.ravel().tolist()) for a, b in lm.training_windows(
+                slices, enc, period, 32)]
+            got = [x for a, b in parts for x in zip(a, b, strict=True)]
+            assert not Counter(want) - Counter(got) and len(got) < len(want) + 32
+
+
+def test_lm_learns_from_short_documents_by_default(spark):
+    parts = ["the", "cat", "sat", "on", "mat", "dog", "ran", "far"]
+    rows = [(i, " ".join(parts[(i + j) % 8] for j in range(60))) for i in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = lm.score(df, public_tokenizers.path("word_bpe_49k.json")).where("held_out")
+    s = got.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
+    assert s.s > 0.5 * s.b
+
+
 def test_direct_words_equal_the_whole_tokenizer():
     enc = tokens.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
     words = [w.encode() for w in ["plain", "comma,", "naïve!?", "straße...", "ªº", "l'eau",
