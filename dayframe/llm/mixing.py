@@ -1,10 +1,13 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
 Every source's documents are shuffled and laid end to end, and the stream of words is cut into
-blocks of equal size. A schedule of slots takes one block each: the points of the golden-ratio
-sequence, mapped through the sources' cumulative target shares, say from which source, and the
-slot's rank among that source's slots says which block (starting over after the last). Any stretch
-of the schedule is close to the target shares.
+blocks of equal size (to a word). Large sources share one block size; smaller sources have blocks
+small enough that their size and their target hold at least ``BLOCKS``, or a word. A schedule of
+slots takes one block each: the points of the golden-ratio sequence, mapped through the sources'
+cumulative shares of all slots, say from which source, and the slot's rank among that source's
+slots says which block (starting over after the last). Any stretch of the schedule is close to the
+target shares in words. Every source ends with the slots that its target asks for, rounded: the
+sequence is off by a few, which are left out or added behind it.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ POINT_RANGE = 1 << 32
 # Points and cumulative shares meet in this many equal cells (an equi-join).
 CELL_BITS = 12
 SLOTS = 1 << 18
+BLOCKS = 64
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.0,
@@ -61,15 +65,35 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (1, 2, 3), share
     return s.withColumn("target_before", before).drop("__cap", "__ratio", "__level", "__capped")
 
 
+def with_blocks(targets: DataFrame, block: int) -> DataFrame:
+    """Adds ``n_blocks`` of each source, of ``block`` words at most, the slots its target asks for
+    (``wanted``, a fraction) and those of earlier sources (``wanted_before``).
+
+    Block b of n holds the words from floor(b * size / n) on, so none is part-filled.
+    """
+    size = F.col("source_size")
+    own = F.floor(F.least(size, F.col("target")) / BLOCKS)
+    words = F.greatest(F.lit(1).cast("long"), F.least(F.lit(block).cast("long"), own))
+    t = targets.withColumn("n_blocks", F.ceil(size / words))
+    t = t.withColumn("wanted", F.when(size > 0, F.col("target") * F.col("n_blocks") / size)
+                     .otherwise(0.0))
+    return t.withColumn("wanted_before", F.coalesce(F.sum("wanted").over(Window.orderBy(
+        "source_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
+
+
 def schedule(targets: DataFrame, n_slots: int, goal: float) -> DataFrame:
-    """The slots (slot, source_no, rank): ``rank`` counts the slots of the source from 0."""
+    """The slots (slot, source_no, rank): ``rank`` counts the slots of the source from 0.
+
+    ``targets`` has each source's share of ``goal`` in target and those before it in target_before.
+    """
     spark = targets.sparkSession
+    bits = min(32, max(CELL_BITS, targets.count().bit_length()))
     scale = POINT_RANGE / goal if goal > 0 else 0.0
     edge = lambda c: F.floor(c * scale).cast("long")
     spans = (targets.select("source_no", edge(F.col("target_before")).alias("lo"),
                             edge(F.col("target_before") + F.col("target")).alias("hi"))
              .where("hi > lo"))
-    shift = 32 - CELL_BITS
+    shift = 32 - bits
     spans = spans.select("source_no", "lo", "hi", F.explode(F.sequence(
         F.shiftright("lo", shift), F.shiftright(F.col("hi") - 1, shift))).alias("cell"))
     points = (spark.range(n_slots).withColumnRenamed("id", "slot")
@@ -100,8 +124,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.
     Rows with equal doc_id and text are separate documents (their order among each other does not
     matter); NULL doc_id is an ordinary value; NULL is a source of its own, the last one. An empty
     table gives an empty result. The shuffle is the order of an MD5 digest of ``seed``, doc_id and
-    text, so reruns agree. ``n_slots`` bounds the schedule at any input size; a block has
-    ceil(words / n_slots) words.
+    text, so reruns agree. A block has at most ceil(words / n_slots) words, and fewer in
+    sources whose size or target has less than ``BLOCKS`` such blocks. Every source's words taken
+    are within half a block and a word of its target.
     """
     rows = stored(docs.select(
         F.col("doc_id"), F.col("source"),
@@ -110,31 +135,39 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.
     sizes = rows.groupBy("source").agg(F.count("*").alias("n_rows"),
                                        F.sum("size").alias("source_size"))
     targets = stored(source_targets(sizes, weights, share, max_repeats), "mix-targets")
-    t = targets.agg(F.sum("source_size").alias("words"), F.sum("target").alias("goal"),
-                    F.sum("n_rows").alias("n")).first()
-    words, goal, n = t["words"] or 0, t["goal"] or 0.0, t["n"] or 0
+    t = targets.agg(F.sum("source_size").alias("words"), F.sum("n_rows").alias("n")).first()
+    words, n = t["words"] or 0, t["n"] or 0
     block = max(1, math.ceil(words / n_slots))
+    plan = stored(with_blocks(targets, block), "mix-blocks")
     buckets = max(1, math.isqrt(n))
     # the leading 32 bits of the digest choose the bucket, so buckets follow the digest's order
-    placed = join_groups(rows, targets.select("source", "n_rows", "source_size", "source_no",
-                                              "target"), "source", "n_rows")
+    placed = join_groups(rows, plan.select("source", "n_rows", "source_size", "source_no", "target",
+                                           "n_blocks"), "source", "n_rows")
     placed = placed.withColumn("__bucket", F.floor(
         F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * buckets / POINT_RANGE))
     placed = stored(running_total(
         placed, ["source_no"], "__bucket", [F.col("key"), F.col("size"), F.col("doc_id")],
         F.col("size"), "start").drop("__bucket", "n_rows"), "mix-places")
 
-    last = F.ceil(F.col("source_size") / block)
-    slots = schedule(targets, math.ceil(goal / block), goal).join(
-        targets.select("source_no", "source_size"), "source_no")
-    uses = (slots.where(F.col("rank") < max_repeats * last)
-            .groupBy("source_no", (F.col("rank") % last).alias("block"))
+    wanted = plan.agg(F.sum("wanted")).first()[0] or 0.0
+    few = plan.select("source_no", "n_blocks", F.floor(F.col("wanted") + 0.5).alias("n_slots"))
+    slots = stored(schedule(plan.select(
+        "source_no", F.col("wanted").alias("target"), F.col("wanted_before").alias("target_before")),
+        math.ceil(wanted), wanted).select("source_no", "rank"), "mix-slots")
+    got = F.coalesce("got", F.lit(0).cast("long"))
+    late = few.join(slots.groupBy("source_no").agg(F.count("*").alias("got")), "source_no", "left") \
+        .where(F.col("n_slots") > got).select("source_no", F.explode(F.sequence(
+            got, F.col("n_slots") - 1)).alias("rank"))
+    uses = (slots.unionByName(late).join(few, "source_no").where("rank < n_slots")
+            .groupBy("source_no", (F.col("rank") % F.col("n_blocks")).alias("block"))
             .agg(F.count("*").alias("uses")))
+    # the block of a word, and the word that a block begins with
+    block_of = lambda w: F.expr(f"(({w}) * n_blocks + n_blocks - 1) div source_size")
+    begin = lambda b: F.expr(f"({b}) * source_size div n_blocks")
     pieces = placed.where("size > 0").withColumn("block", F.explode(F.sequence(
-        F.floor(F.col("start") / block),
-        F.floor((F.col("start") + F.col("size") - 1) / block))))
-    part = (F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)
-            - F.greatest(F.col("start"), F.col("block") * block))
+        block_of("start"), block_of("start + size - 1"))))
+    part = (F.least(F.col("start") + F.col("size"), begin("block + 1"))
+            - F.greatest(F.col("start"), begin("block")))
     taken = (pieces.withColumn("part", part).join(uses, ["source_no", "block"], "left")
              .groupBy(*placed.columns)
              .agg(F.sum(F.col("part") * F.coalesce("uses", F.lit(0))).alias("taken")))

@@ -150,6 +150,20 @@ def test_mixing(docs, empty):
     assert kept == +copies
 
 
+def test_mixing_meets_the_targets_of_tiny_sources_beside_a_huge_one(spark):
+    big = spark.range(1300).select(F.col("id").alias("doc_id"), F.lit("big").alias("source"),
+                                   F.repeat(F.lit("w "), 8000).alias("text"))
+    sizes = [1, 7, 10, 25, 39, 41, 60, 130, 1000, 4000]
+    tiny = spark.createDataFrame([(5000 + 100 * i + j, f"t{i}", "x " * n) for i, n in enumerate(
+        sizes) for j in range(3)], "doc_id long, source string, text string")
+    mixed = mixing.mix(big.unionByName(tiny))  # the default number of slots: a block has 40 words
+    got = mixed.groupBy("source", "source_size", "target").agg(F.sum("taken").alias("taken"))
+    rows = got.collect()
+    assert len(rows) == len(sizes) + 1
+    for r in rows:
+        assert abs(r.taken - r.target) <= max(0.51, 0.01 * r.target), r
+
+
 def brute_quality(t):
     t, w = t or "", words(t)
     n, seen, cover = len(w), {}, set()
