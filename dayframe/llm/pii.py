@@ -1,25 +1,24 @@
 """Personal data: base detectors, and information-theoretic sanitisation around them.
 
 Base detectors find e-mail addresses, IPv4 addresses, payment cards and phone numbers. Each value
-found is an entity to protect. Terms next to an entity can give it away as well: the corpus says
-how strongly. With N documents, D(e) of them holding the entity, D(t) the term, and J(e, t)
-distinct contexts of the entity that hold the term, the term's disclosure of the entity is
+found is an entity to protect. Other terms of a text that holds an entity can give it away as well:
+the corpus says how strongly. With N distinct texts, D(e) of them holding the entity, D(t) the
+term, and J(e, t) both, the term's disclosure of the entity is
 
     log2(N * J / (D(e) * D(t))) / log2(N / D(e))
 
 that is, the point-wise mutual information as a share of the entity's information: 1 means that
 whoever reads the term knows the entity. Terms at ``remove_at`` or more are removed, from
-``generalise_at`` on they are replaced by their kind. A context counts once however many copies of
-it the corpus has, and a term needs ``min_support`` contexts: what surrounds an entity once says
-nothing about it.
+``generalise_at`` on they are replaced by their kind. All counts are of distinct texts, so copies
+change nothing, and a term needs ``min_support`` texts with the entity.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import join_groups, stored, text_or_empty
 
 # A match starts where no earlier match of the same kind could have begun: behind a character
 # that cannot belong to it, or right behind the match before (\G). Possessive quantifiers keep
@@ -31,7 +30,6 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 KINDS = ("email", "ip", "card", "phone")
 BASE_SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
-CONTEXT = 64
 
 
 def _digits(value: Column) -> Column:
@@ -115,62 +113,39 @@ def normalised(word: Column) -> Column:
     return F.lower(F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
 
 
-def _side(part: Column, offset: Column, cut_left: Column, cut_right: Column) -> Column:
-    """The whole words of a piece of text as (term, start, end) in the text's code points.
+def _is_term(term: Column) -> Column:
+    return (F.length(term) >= 3) & term.rlike(r"\p{L}")
 
-    A word that the piece's edge cuts (``cut_left``, ``cut_right``) is left out.
-    """
-    words = F.split(part, r"(?=[\x20\x09-\x0D])|(?<=[\x20\x09-\x0D])")
-    state = F.struct(offset.alias("at"), F.array().cast(
-        "array<struct<term:string,start:int,end:int>>").alias("terms"))
 
-    def step(acc: Column, w: Column) -> Column:
-        end = acc["at"] + F.length(w)
-        term = F.struct(normalised(w).alias("term"), acc["at"].alias("start"), end.alias("end"))
-        inside = (~cut_left | (acc["at"] > offset)) & (~cut_right | (end < offset + F.length(part)))
-        return F.struct(end.alias("at"), F.when(inside, F.array_append(acc["terms"], term))
-                        .otherwise(acc["terms"]).alias("terms"))
+def word_places(texts: DataFrame) -> DataFrame:
+    """Every term of the texts (thash, __text) with its place: thash, term, start, end in code
+    points. One row a word; no array grows with the text."""
+    words = texts.select("thash", F.posexplode(F.split(
+        "__text", r"(?=[\x20\x09-\x0D])|(?<=[\x20\x09-\x0D])")).alias("pos", "word"))
+    before = Window.partitionBy("thash").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.coalesce(F.sum(F.length("word")).over(before), F.lit(0)).cast("int")
+    return words.select("thash", normalised(F.col("word")).alias("term"), start.alias("start"),
+                        F.length("word").alias("__n")).where(_is_term(F.col("term"))).select(
+        "thash", "term", "start", (F.col("start") + F.col("__n")).alias("end"))
 
-    return F.filter(F.aggregate(words, state, step, lambda acc: acc["terms"]),
-                    lambda t: (F.length(t["term"]) >= 3) & t["term"].rlike(r"\p{L}"))
 
+def holders(rows: DataFrame, key: str, count: str, mark: str) -> DataFrame:
+    """How many texts hold each ``key`` (rows are distinct), and a mark of which texts they are:
+    keys with equal count and mark are held by the same texts."""
+    return rows.groupBy(key).agg(F.count("*").alias(count), F.bit_xor(F.xxhash64("thash")).alias(mark))
 
-def contexts(found: DataFrame, width: int = CONTEXT) -> DataFrame:
-    """A row for every term within ``width`` code points of an entity: doc_id, thash, entity,
-    context (a digest of the surrounding text), term, start, end.
 
-    Terms that overlap a base span are left out.
-    """
-    one = found.withColumn("s", F.explode("base"))
-    text = F.col("__text")
-    begin = F.greatest(F.col("s.start") - width, F.lit(0))
-    left = F.substring(text, begin + 1, F.col("s.start") - begin)
-    right = F.substring(text, F.col("s.end") + 1, F.lit(width))
-    space = lambda at: F.substring(text, at, F.lit(1)).rlike(r"[\x20\x09-\x0D]")
-    glued = ~space(begin)
-    terms = F.concat(
-        _side(left, begin, (begin > 0) & glued, F.lit(False)),
-        _side(right, F.col("s.end"), F.lit(False),
-              F.col("s.end") + width < F.length(text)))
-    free = F.filter(terms, lambda t: ~F.exists(F.col("base"), lambda s: (
-        s["start"] < t["end"]) & (t["start"] < s["end"])))
-    return one.select("doc_id", "thash", _entity(F.col("s")).alias("entity"),
-                      F.md5(F.concat_ws("\n", left, right)).alias("context"),
-                      F.explode(free).alias("t")).select(
-        "doc_id", "thash", "entity", "context", "t.*")
-
-
-def document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """In how many documents each of ``terms`` (distinct, column term) occurs as a normalised word:
-    (term, docs_with). Counts over all documents, pre-aggregated before the shuffle."""
-    seen = docs.select(F.explode(F.array_distinct(F.transform(
-        F.split(text_or_empty(), r"[\x20\x09-\x0D]+"), normalised))).alias("term"))
-    counts = seen.groupBy("term").agg(F.count("*").alias("docs_with"))
-    return terms.join(counts, "term", "left").fillna(1, ["docs_with"])
+def text_terms(docs: DataFrame) -> DataFrame:
+    """(thash, term) of every distinct text and distinct term in it."""
+    text = text_or_empty()
+    texts = docs.select(F.xxhash64(text).alias("thash"), text.alias("__text")).dropDuplicates(["thash"])
+    return texts.select("thash", F.explode(F.array_distinct(F.transform(
+        F.split("__text", r"[\x20\x09-\x0D]+"), normalised))).alias("term")).where(
+        _is_term(F.col("term")))
 
 
 def find(docs: DataFrame, generalise_at: float = 0.6, remove_at: float = 0.9,
-         min_support: int = 3, width: int = CONTEXT) -> DataFrame:
+         min_support: int = 3) -> DataFrame:
     """The spans of every document.
 
     ``docs`` needs doc_id and text; other columns are ignored, whatever their names. Row by row
@@ -184,34 +159,44 @@ def find(docs: DataFrame, generalise_at: float = 0.6, remove_at: float = 0.9,
     found = stored(first.withColumn("base", base_spans(F.col("__text"))).select(
         "doc_id", "thash", "base", F.when(F.size("base") > 0, F.col("__text")).alias("__text")),
         "pii-base")
-    holding = found.where(F.size("base") > 0)
-    near = stored(contexts(holding, width), "pii-contexts")
-
-    n_docs = found.count()
-    per_entity = (holding.select(F.explode(F.array_distinct(F.transform("base", _entity)))
-                                 .alias("entity")).groupBy("entity")
-                  .agg(F.count("*").alias("docs_entity")))
-    joint = (near.select("entity", "term", "context").distinct().groupBy("entity", "term")
-             .agg(F.count("*").alias("support")).where(F.col("support") >= min_support))
-    joint = stored(joint.join(per_entity, "entity"), "pii-joint")
-    counts = document_counts(docs, joint.select("term").distinct())
-    mutual = F.log2(n_docs * F.col("support") / (F.col("docs_entity") * F.col("docs_with")))
-    own = F.log2(n_docs / F.col("docs_entity"))
-    telling = joint.join(counts, "term").withColumn(
-        "disclosure", F.when(own > 0, F.least(mutual / F.when(own > 0, own), F.lit(1.0)))) \
-        .where(F.col("disclosure") >= generalise_at) \
-        .select("entity", "term", F.when(F.col("disclosure") >= remove_at, "removed")
-                .otherwise("generalised").alias("kind"))
-    spans = (near.join(telling, ["entity", "term"])
-             .groupBy("doc_id", "thash", "start", "end").agg(F.max("kind").alias("kind"))
-             .groupBy("doc_id", "thash").agg(F.array_sort(F.collect_list(F.struct(
-                 "start", "end", "kind"))).alias("__terms")))
-    spans = spans.select(F.col("doc_id").alias("__id"), F.col("thash").alias("__hash"), F.transform(
-        "__terms", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"),
-                                      s["end"].alias("end"), F.lit("").alias("value")))
-        .alias("__spans"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("thash") == F.col("__hash"))
-    return found.drop("__text").join(spans, same, "left").select(
+    copies = stored(found.groupBy("thash").agg(F.count("*").alias("__n")), "pii-copies")
+    n_texts = copies.count()
+    holding = stored(found.where(F.size("base") > 0).drop("doc_id").dropDuplicates(["thash"]),
+                     "pii-texts")
+    owned = holding.select("thash", F.explode(F.array_distinct(F.transform("base", _entity)))
+                           .alias("entity"))
+    # entities that the same texts hold have the same counts with every term: one stands for all
+    entities = stored(owned.join(holders(owned, "entity", "de", "e"), "entity")
+                      .select("thash", "de", "e").distinct(), "pii-entities")
+    places = stored(word_places(holding), "pii-words")
+    counts = stored(holders(text_terms(docs), "term", "dt", "t"), "pii-term-counts")
+    terms = stored(join_groups(places.select("thash", "term").distinct(), counts, "term", "dt"),
+                   "pii-terms")
+
+    def disclosure(joint: Column) -> Column:
+        own = F.log2(n_texts / F.col("de"))
+        chance = joint / F.col("dt")
+        return F.when(own > 0, F.least(F.log2(chance * n_texts / F.col("de")) / F.when(own > 0, own),
+                                       F.lit(1.0)))
+
+    # no pair is held by more texts than its entity or its term: the others cannot get there
+    pairs = stored(terms.select("thash", "dt", "t").distinct().join(entities, "thash").where(
+        disclosure(F.least("de", "dt")) >= generalise_at), "pii-pairs")
+    telling = (pairs.groupBy("de", "e", "dt", "t").agg(F.count("*").alias("joint"))
+               .where(F.col("joint") >= min_support).withColumn("__d", disclosure(F.col("joint"))).where(F.col("__d") >= generalise_at)
+               .select("de", "e", "dt", "t", F.when(F.col("__d") >= remove_at, "removed")
+                       .otherwise("generalised").alias("kind")))
+    told = (pairs.join(telling, ["de", "e", "dt", "t"]).groupBy("thash", "dt", "t")
+            .agg(F.max("kind").alias("kind")).join(terms, ["thash", "dt", "t"]))
+    spans = places.join(told.select("thash", "term", "kind"), ["thash", "term"]).groupBy("thash").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("__terms"))
+    spans = holding.select("thash", "base").join(spans, "thash").select("thash", F.transform(
+        F.filter("__terms", lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (
+            t["start"] < s["end"]))), lambda s: F.struct(
+                s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+                F.lit("").alias("value"))).alias("__spans"))
+    by_text = stored(copies.join(spans, "thash", "left"), "pii-spans")
+    return join_groups(found.drop("__text"), by_text, "thash", "__n").select(
         "doc_id", "thash", "base", F.coalesce("__spans", F.array().cast(BASE_SPAN)).alias("terms"))
 
 

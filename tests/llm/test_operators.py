@@ -362,6 +362,19 @@ def test_pii_terms(spark):
     assert all(not hits[100 + i] for i in range(60))
 
 
+def test_pii_terms_are_the_same_with_and_without_copies(spark):
+    rows = [(i, f"filler word{i} more filler text") for i in range(300)]
+    pages = [f"zebulon lives at a@b.org page{'xyz'[i]} it says" for i in range(3)]
+    rows += [(1000 + i, p) for i, p in enumerate(pages)]
+    copied = rows + [(2000 + i, pages[0]) for i in range(200)]
+    for table in (rows, copied):
+        found = pii.find(spark.createDataFrame(table, "doc_id long, text string")).collect()
+        hits = {r.doc_id: [(dict(table)[r.doc_id][s.start:s.end], s.kind) for s in r.terms]
+                for r in found}
+        assert len(found) == len(table)
+        assert all(("zebulon", "removed") in hits[d] for d, t in table if "zebulon" in t)
+
+
 def brute_near(rows):
     sets = []
     for _, t in rows:
