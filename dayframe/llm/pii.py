@@ -3,18 +3,22 @@
 Base detectors find e-mail addresses, IPv4 addresses, payment cards and phone numbers. Each value
 found is an entity to protect. Other terms of a text that holds an entity can give it away as well:
 the corpus says how strongly. With N distinct texts, D(e) of them holding the entity, D(t) the
-term, and J(e, t) both, the term's disclosure of the entity is
+term, and J(e, t) both, P(e | t) is the chance of the entity in a text that holds the term, by its
+lower 95% confidence bound: 0.05 ** (1 / J) where J = D(t), else Poisson's for J over D(t). What was
+seen once counts, but less than what was seen often, and no number of texts is required. The term's disclosure of the entity is
 
-    log2(N * J / (D(e) * D(t))) / log2(N / D(e))
+    log2(P(e | t) * N / D(e)) / log2(N / D(e))
 
-that is, the point-wise mutual information as a share of the entity's information: 1 means that
-whoever reads the term knows the entity. Terms at ``remove_at`` or more are removed, from
+the point-wise mutual information as a share of the entity's information: 1 means that whoever
+reads the term knows the entity. Terms at ``remove_at`` or more are removed, from
 ``generalise_at`` on they are replaced by their kind. All counts are of distinct texts, so copies
-change nothing, and a term needs ``min_support`` texts with the entity.
+change nothing, and terms count wherever they are in the text.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -145,7 +149,7 @@ def text_terms(docs: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame, generalise_at: float = 0.6, remove_at: float = 0.9,
-         min_support: int = 3) -> DataFrame:
+         doubt: float = 1.645) -> DataFrame:
     """The spans of every document.
 
     ``docs`` needs doc_id and text; other columns are ignored, whatever their names. Row by row
@@ -175,7 +179,11 @@ def find(docs: DataFrame, generalise_at: float = 0.6, remove_at: float = 0.9,
 
     def disclosure(joint: Column) -> Column:
         own = F.log2(n_texts / F.col("de"))
-        chance = joint / F.col("dt")
+        # Wilson and Hilferty's approximation, ``doubt`` standard deviations below
+        root = F.greatest(1 - 1 / (9 * joint) - doubt / (3 * F.sqrt(joint)), F.lit(0.0))
+        chance = F.when(joint == F.col("dt"), F.pow(F.lit(math.erfc(doubt / math.sqrt(2)) / 2),
+                                                    1 / joint)).otherwise(
+            joint * root * root * root / F.col("dt"))
         return F.when(own > 0, F.least(F.log2(chance * n_texts / F.col("de")) / F.when(own > 0, own),
                                        F.lit(1.0)))
 
@@ -183,7 +191,7 @@ def find(docs: DataFrame, generalise_at: float = 0.6, remove_at: float = 0.9,
     pairs = stored(terms.select("thash", "dt", "t").distinct().join(entities, "thash").where(
         disclosure(F.least("de", "dt")) >= generalise_at), "pii-pairs")
     telling = (pairs.groupBy("de", "e", "dt", "t").agg(F.count("*").alias("joint"))
-               .where(F.col("joint") >= min_support).withColumn("__d", disclosure(F.col("joint"))).where(F.col("__d") >= generalise_at)
+               .withColumn("__d", disclosure(F.col("joint"))).where(F.col("__d") >= generalise_at)
                .select("de", "e", "dt", "t", F.when(F.col("__d") >= remove_at, "removed")
                        .otherwise("generalised").alias("kind")))
     told = (pairs.join(telling, ["de", "e", "dt", "t"]).groupBy("thash", "dt", "t")
