@@ -1,12 +1,21 @@
 """Quality rules with risk-controlled thresholds.
 
 Each rule rejects documents whose statistic exceeds a cutoff. The cutoffs are not set by hand: on
-labelled clean documents, per stratum and rule, a cutoff is accepted only if the exact
-(Clopper-Pearson) upper bound of its false-rejection rate stays below the rule's share of
-``risk``. Cutoffs are tested from the most lenient to the strictest and the first failure stops
-the sequence, so cutoffs need no correction among each other; strata and rules do, and get an
-equal share of ``error`` each (Bonferroni). All rules together then reject at most ``risk`` of a
-stratum's clean documents, with probability ``1 - error`` over all strata.
+labelled clean documents, per stratum, they are accepted only if the exact (Clopper-Pearson) upper
+bound of a false-rejection rate stays below ``risk``. Cutoffs are tested from the most lenient to
+the strictest and the first failure stops the sequence, so that tests in sequence need no
+correction among each other. There are two ways, with half of the error each, and a stratum uses
+the one that accepted more cutoffs:
+
+* jointly: one sequence over all rules in turn; what is bounded is the rate at which the rules so
+  far reject together, so that neither risk nor error is split. A few hundred documents do;
+* apart: a sequence of each rule, with equal shares of ``risk`` and error, so that no rule stops
+  another.
+
+All rules together then reject at most ``risk`` of a stratum's clean documents, with probability
+``1 - error`` over all strata (each gets an equal share). All strata pooled are tested like one
+more. A stratum in which nothing was accepted, or without labels, borrows the pooled cutoffs; for it
+the bound holds on the pooled documents only.
 """
 
 from __future__ import annotations
@@ -14,6 +23,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Mapping
+from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,7 +135,8 @@ def allowed_rejections(n: Column, risk: float, error: Column) -> Column:
 def cutoffs(feats: DataFrame, labels: DataFrame, rules: Mapping = RULES, risk: float = RISK,
             error: float = ERROR) -> DataFrame:
     """The accepted cutoff of every (stratum, rule), one column ``cut_<rule>`` each (NULL: the rule
-    rejects nothing in the stratum); strata without labelled clean documents are absent.
+    rejects nothing in the stratum); strata without labelled clean documents are absent. One more
+    row, with ``pooled``, is for all strata together.
 
     The holdout is every document with a label quality = 1 that passes the base rules; a doc_id
     labelled more than once counts as clean if all its labels say so. Counts are exact, over all
@@ -133,30 +145,61 @@ def cutoffs(feats: DataFrame, labels: DataFrame, rules: Mapping = RULES, risk: f
     clean = labels.where("doc_id is not null").groupBy("doc_id").agg(
         F.min("quality").alias("__q")).where("__q = 1").select(F.col("doc_id").alias("__id"))
     held = feats.where(~base_failed()).join(clean, F.col("doc_id") == F.col("__id"), "left_semi")
-    counts = [F.count_if(F.expr(stat) > cut).alias(f"{name}_{i}")
-              for name, (stat, cuts) in rules.items() for i, cut in enumerate(cuts)]
+    above = {(name, i): F.coalesce(F.expr(stat) > cut, F.lit(False))
+             for name, (stat, cuts) in rules.items() for i, cut in enumerate(cuts)}
+    # cutoffs of a rule nest: the latest of each rule rejects what its earlier ones do
+    turns = sorted(above, key=lambda x: x[1])
+    joint = [dict(turns[:j + 1]) for j in range(len(turns))]
+    counts = [F.count_if(hit).alias(f"{name}_{i}") for (name, i), hit in above.items()]
+    counts += [F.count_if(reduce(or_, [above[x] for x in latest.items()])).alias(f"__joint_{j}")
+               for j, latest in enumerate(joint)]
     per = stored(held.groupBy("stratum").agg(F.count("*").alias("n"), *counts), "quality-counts")
-    tests = max(1, per.count()) * len(rules)
-    allowed = allowed_rejections(F.col("n"), risk / len(rules), F.lit(error / tests))
-    out = per.withColumn("__k", allowed)
+    names = [c for c in per.columns if c != "stratum"]
+    groups = (1 + per.count()) * 2
+    every = per.withColumn("pooled", F.lit(False)).unionByName(per.agg(
+        *[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(c) for c in names]).select(
+        F.lit(None).cast("string").alias("stratum"), *names, F.lit(True).alias("pooled")))
+    out = every.withColumn("__k", allowed_rejections(
+        F.col("n"), risk / len(rules), F.lit(error / groups / len(rules)))).withColumn(
+        "__k_joint", allowed_rejections(F.col("n"), risk, F.lit(error / groups)))
+
+    def accepted(columns: list[str], limit: str) -> Column:
+        """How many of the tests, in order, come before the first failure."""
+        ok = F.array(*[F.col(c) <= F.col(limit) for c in columns], F.lit(False))
+        return (F.array_position(ok, False) - 1).cast("int")
+
+    # few rows: written, so that no plan repeats the bounds in every cutoff's expression
+    out = stored(stored(out, "quality-allowed").select(
+        "stratum", "pooled",
+        accepted([f"__joint_{j}" for j in range(len(joint))], "__k_joint").alias("__joint"),
+        *[accepted([f"{name}_{i}" for i in range(len(cuts))], "__k").alias(f"__apart_{name}")
+          for name, (_, cuts) in rules.items()]), "quality-accepted")
+    apart = reduce(add, [F.col(f"__apart_{name}") for name in rules], F.lit(0))
     chosen = []
     for name, (_, cuts) in rules.items():
-        best = F.lit(None).cast("double")
-        passed = F.lit(True)
-        for i, cut in enumerate(cuts):
-            passed = passed & (F.col(f"{name}_{i}") <= F.col("__k"))
-            best = F.when(passed, F.lit(cut)).otherwise(best)
-        chosen.append(best.alias(f"cut_{name}"))
-    return out.select("stratum", *chosen)
+        places = [j + 1 for j, x in enumerate(turns) if x[0] == name]
+        jointly = reduce(add, [(F.col("__joint") >= j).cast("int") for j in places], F.lit(0))
+        number = F.when(apart > F.col("__joint"), F.col(f"__apart_{name}")).otherwise(jointly)
+        chosen.append(F.get(F.array(*[F.lit(float(c)) for c in cuts]), number - 1)
+                      .alias(f"cut_{name}"))
+    return out.select("stratum", "pooled", *chosen)
 
 
 def strata(feats: DataFrame, labels: DataFrame, rules: Mapping = RULES, risk: float = RISK,
            error: float = ERROR) -> DataFrame:
-    """Every stratum with its number of documents (``__n``) and its cutoffs."""
+    """Every stratum with its number of documents (``__n``) and its cutoffs, borrowed from all
+    strata together where it has none of its own (``borrowed``)."""
     cuts = stored(cutoffs(feats, labels, rules, risk, error), "quality-cutoffs")
     sizes = feats.groupBy(F.col("stratum").alias("__s")).agg(F.count("*").alias("__n"))
-    return stored(sizes.join(cuts, F.col("__s").eqNullSafe(F.col("stratum")), "left")
-                  .drop("stratum").withColumnRenamed("__s", "stratum"), "quality-strata")
+    names = [f"cut_{name}" for name in rules]
+    pooled = cuts.where("pooled").select(*[F.col(c).alias(f"__{c}") for c in names])  # one row
+    own = sizes.join(cuts.where("not pooled").drop("pooled"),
+                     F.col("__s").eqNullSafe(F.col("stratum")), "left").crossJoin(F.broadcast(pooled))
+    none = F.coalesce(*names, F.lit(None).cast("double")).isNull()
+    return stored(own.select(
+        F.col("__s").alias("stratum"), "__n", none.alias("borrowed"),
+        *[F.when(none, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in names]),
+        "quality-strata")
 
 
 def rejected_by(rules: Mapping = RULES) -> Column:
@@ -174,14 +217,14 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
 
     ``docs`` needs doc_id, text and the stratum's column, ``labels`` doc_id and quality (1: clean);
     other columns are ignored, whatever their names. NULL strata form a stratum; a stratum without
-    enough labels keeps whatever passes the base rules. NULL and empty texts fail the base rules
+    enough labels borrows the cutoffs of all strata together. NULL and empty texts fail the base rules
     (no words). Rows with a repeated doc_id are judged one by one. Without documents the result is
     empty; without labels it holds the base verdicts.
     """
     needed = docs.select("doc_id", "text", *([stratum] if stratum else []))
     feats = stored(measured(needed, stratum).select("doc_id", "__f.*"), "quality-features")
     table = strata(feats, labels, rules, risk, error)
-    joined = join_groups(feats, table, "stratum", "__n").drop("__n")
+    joined = join_groups(feats, table, "stratum", "__n").drop("__n", "borrowed")
     return joined.withColumn("base_failed", base_failed()).withColumn(
         "rejected_by", rejected_by(rules)).withColumn(
         "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))

@@ -221,6 +221,21 @@ def test_quality_rejects_only_what_the_risk_allows(spark):
     assert clean.where("not kept").count() <= quality.RISK * clean.count()
 
 
+def test_quality_rules_reach_small_and_unlabelled_strata(spark):
+    sizes = {"en": 2000, "de": 480, "es": 320, "it": 30, None: 0}
+    rows = [(1000 * k * 10 + i, " ".join(f"w{j * (i % 90 + 3) % 97}" for j in range(40)), s, 1)
+            for k, (s, n) in enumerate(sizes.items()) for i in range(n)]
+    rows += [(90_000 + k, " ".join(f"w{j}###" for j in range(40)), s, 0)
+             for k, s in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    got = quality.judge(docs, docs.where("quality = 1").select("doc_id", "quality"))
+    assert got.where("doc_id >= 90000").count() == len(sizes)
+    assert got.where("doc_id >= 90000 and kept").count() == 0
+    clean = got.where("doc_id < 90000 and not base_failed")
+    assert clean.where("not kept").count() <= quality.RISK * clean.count()
+    assert quality.keep(docs, docs.where("quality = 1")).where("quality = 0").count() == 0
+
+
 def test_pieces(docs, empty):
     import sentencepiece
     path = public_tokenizers.path("piece_bpe_32k.model")
