@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lm, mixing, neardup, pieces, pii, quality, shards, tokens, topk, warc
+from . import (codes, common, lm, mixing, neardup, pieces, pii, quality, repeats, runs, shards,
+               tokens, topk, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +93,28 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents")).drop("thash", "head")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = runs.detect(docs.select("doc_id", runs.planted(
+        F.col("doc_id"), common.text_or_empty()).alias("text")))
+    best = found.select("doc_id", "runs", runs.longest(F.col("runs")).alias("best"), "collapsed")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove(table(spark, sf_dir, "documents"), window=35)
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error",
+                        F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_shards": op2_shards,
@@ -103,6 +126,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk": op8_topk,
     "op9_pii": op9_pii,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_runs": op11_runs,
+    "op12_repeats": op12_repeats,
+    "op13_codes": op13_codes,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op12_repeats": repeats.sql(35),
+    "op13_codes": codes.sql(),
+}
