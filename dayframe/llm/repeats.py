@@ -19,7 +19,10 @@ and a window that occurs in very many documents is one entry a chunk.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections import Counter
+from collections.abc import Iterator, Sequence
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -28,21 +31,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, stored, text_or_empty
+from .common import join_groups, shared_path, stored, text_or_empty
 
 # Odd multipliers of the two rolling hashes.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 ROWS = 2
 # Text in a chunk and in a slice of the hash range, as a share of all text between bounds in bytes.
 CHUNKS, CHUNK_BYTES = 256, (1 << 18, 1 << 25)
-SLICES, SLICE_BYTES = 128, (1 << 19, 1 << 26)
+SLICES, SLICE_BYTES = 128, (1 << 19, 1 << 24)
 # Counters in a sketch row for each byte of a slice's text (about six bytes make a window).
-CELLS_A_BYTE = 0.5
+CELLS_A_BYTE = 0.75
 MEMORY_WORDS = 1 << 20
 
-SKETCH = "slice int, chunk int, cells binary, counts binary"
+SKETCH = "slice int, chunk int, cells binary, twice binary"
 REPLY = "chunk int, slice int, mask binary"
-CANDIDATE = "k1 long, k2 long, chunk int, tid int, pos int, stop int, weight int"
+CANDIDATE = "k1 long, k2 long, chunk int, tid int, pos int, weight int"
+FOUND = "chunk int, tid int, pos int"
 KEPT = "key binary, n long, n_words long, n_removed long, kept string"
 
 
@@ -95,32 +99,48 @@ def rolling(words: np.ndarray, window: int, base: np.uint64) -> np.ndarray:
     return total
 
 
+# Kept between the tasks of a Python worker.
+SEEN = WordHashes()
+
+
 class Windows:
     """The windows of a chunk's texts, in the order of the texts' keys, which every pass repeats."""
 
-    def __init__(self, table: pa.Table, window: int, seen: WordHashes):
-        self.window = window
+    def __init__(self, table: pa.Table, window: int, both: bool = True):
         self.table = table.take(pa.compute.sort_indices(table["key"]))
         self.words = [t.split() for t in self.table["text"].cast(pa.binary()).to_pylist()]
         self.copies = self.table["n"].to_numpy()
-        first, second, tid, pos = [], [], [], []
-        for t, words in enumerate(self.words):
-            if len(words) >= window:
-                h = seen.of(words)
-                first.append(rolling(h[:, 0], window, BASES[0]))
-                second.append(rolling(h[:, 1], window, BASES[1]))
-                tid.append(np.full(len(first[-1]), t, np.int32))
-                pos.append(np.arange(len(first[-1]), dtype=np.int32))
-        join = lambda x, kind: np.concatenate(x) if x else np.empty(0, kind)
-        self.first, self.second = join(first, np.uint64), join(second, np.uint64)
-        self.tid, self.pos = join(tid, np.int32), join(pos, np.int32)
-        self.weight = np.minimum(self.copies[self.tid], 2).astype(np.int32)
+        self.sizes = np.array([len(x) for x in self.words], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        hashes = SEEN.of(list(chain.from_iterable(self.words)))
+        tid = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        # windows over all words in a row, without those that cross into the next text
+        self.flat = np.flatnonzero(np.arange(len(tid)) + window <= (self.starts + self.sizes)[tid])
+        self.tid = tid[self.flat]
+        self.pos = self.flat - self.starts[self.tid]
+        self.weight = np.minimum(self.copies[self.tid], 2)
+        enough = len(self.flat) > 0
+        self.first = rolling(hashes[:, 0], window, BASES[0])[self.flat] if enough else hashes[:0, 0]
+        self.second = rolling(hashes[:, 1], window, BASES[1])[self.flat] if enough and both else None
         self.order = np.argsort(self.first, kind="stable")
         ranked = self.first[self.order]
+        if both and enough:
+            b = self.second[self.order]
+            if ((ranked[1:] == ranked[:-1]) & (b[1:] != b[:-1])).any():
+                self.order = np.lexsort((self.second, self.first))
         new = np.r_[True, ranked[1:] != ranked[:-1]][:len(ranked)]
-        self.starts = np.flatnonzero(new)
-        self.entry = np.cumsum(new) - 1      # the distinct hash that each ordered window has
-        self.distinct = ranked[self.starts]  # ascending
+        self.entry = np.cumsum(new) - 1            # the distinct first hash of each ordered window
+        self.begins = np.flatnonzero(new)
+        self.distinct = ranked[self.begins]        # ascending
+
+    def groups(self, among: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the windows ``among`` (in order): a first window of each distinct one, its number in the
+        chunk (copies of a text count up to two), and the place of every window's distinct one."""
+        a, b = self.first[among], self.second[among]
+        new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][:len(among)]
+        begins = np.flatnonzero(new)
+        number = np.add.reduceat(self.weight[among], begins) if len(begins) else begins
+        return among[begins], number, np.cumsum(new) - 1
 
     def slices(self, count: int) -> np.ndarray:
         """The slice of the hash range of each distinct hash, ascending."""
@@ -131,14 +151,14 @@ def _sketches(w: Windows, chunk: int, slices: int) -> pa.Table:
     """The chunk's sketch: one row a slice."""
     if not len(w.distinct):
         return _table(SKETCH, [], [], [], [])
-    counts = np.minimum(np.add.reduceat(w.weight[w.order], w.starts), 2).astype(np.uint8)
+    twice = np.add.reduceat(w.weight[w.order], w.begins) > 1
     where = w.slices(slices)
     cells = (w.distinct & np.uint64(0xFFFFFFFF)).astype("<u4")
     cut = np.r_[np.flatnonzero(np.r_[True, where[1:] != where[:-1]]), len(where)]
     spans = list(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))
     return _table(SKETCH, where[cut[:-1]], np.full(len(spans), chunk),
                   [cells[a:b].tobytes() for a, b in spans],
-                  [np.packbits(counts[a:b] > 1).tobytes() for a, b in spans])
+                  [np.packbits(twice[a:b]).tobytes() for a, b in spans])
 
 
 def _types(fields: str) -> pa.Schema:
@@ -164,14 +184,13 @@ def _merged(table: pa.Table, width: int) -> pa.Table:
     """The replies to all chunks of one slice: the sketches are added into the counters, and every
     value is looked up."""
     values = [np.frombuffer(c, "<u4") for c in table["cells"].to_pylist()]
-    twice = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(v)).astype(bool)
-             for b, v in zip(table["counts"].to_pylist(), values, strict=True)]
     every = np.concatenate(values)
-    add = np.concatenate(twice)
+    twice = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=len(v)).astype(bool)
+                            for b, v in zip(table["twice"].to_pylist(), values, strict=True)])
     repeated = np.ones(len(every), bool)
     for cells in _cells(every, width):
         cells = cells.astype(np.int64)
-        counters = np.bincount(cells, minlength=width) + np.bincount(cells[add], minlength=width)
+        counters = np.bincount(np.concatenate([cells, cells[twice]]), minlength=width)
         repeated &= counters[cells] > 1
     ends = np.cumsum([len(v) for v in values])
     masks = [np.packbits(repeated[e - len(v):e]).tobytes()
@@ -180,89 +199,77 @@ def _merged(table: pa.Table, width: int) -> pa.Table:
 
 
 def _candidates(w: Windows, replies: pa.Table, chunk: int, slices: int) -> pa.Table:
-    """Stretches known to be covered by windows repeated in the chunk (k1 NULL), and one row for each
-    distinct window estimated repeated, to be compared with the other chunks'."""
+    """One row for each distinct window of the chunk that is estimated repeated, to be compared with
+    the other chunks'."""
     if not len(w.distinct):
-        return _table(CANDIDATE, *[[]] * 7)
+        return _table(CANDIDATE, *[[]] * 6)
     masks = dict(zip(replies["slice"].to_pylist(), replies["mask"].to_pylist(), strict=True))
     where, sizes = np.unique(w.slices(slices), return_counts=True)
     estimated = np.concatenate([np.unpackbits(np.frombuffer(masks[s], np.uint8), count=n)
                                 for s, n in zip(where.tolist(), sizes.tolist(), strict=True)])
-    held = w.order[estimated.astype(bool)[w.entry]]
-    held = held[np.lexsort((w.second[held], w.first[held]))]
-    a, b = w.first[held], w.second[held]
-    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][:len(held)]
-    start = np.flatnonzero(new)
-    weight = np.add.reduceat(w.weight[held], start) if len(start) else np.empty(0, np.int64)
-    known = held[(weight > 1)[np.cumsum(new) - 1]] if len(start) else held
-    tid, lo, hi = stretches(w.tid[known], w.pos[known], w.window)
-    lead = held[start]
-    single = weight < 2
-    none = [None] * len(tid)
-    return pa.concat_tables([
-        _table(CANDIDATE, none, none, np.full(len(tid), chunk), tid, lo, hi, np.full(len(tid), 2)),
-        _table(CANDIDATE, w.first[lead].view(np.int64), w.second[lead].view(np.int64),
-               np.full(len(lead), chunk), w.tid[lead], w.pos[lead], w.pos[lead] + w.window,
-               np.where(single, 1, 2))])
-
-
-def stretches(tid: np.ndarray, pos: np.ndarray, window: int):
-    """The word stretches (text, first, end) that windows at these places cover, overlapping and
-    touching ones joined."""
-    order = np.lexsort((pos, tid))
-    tid, pos = tid[order], pos[order]
-    if not len(tid):
-        return tid, pos, pos
-    new = np.r_[True, (tid[1:] != tid[:-1]) | (pos[1:] > pos[:-1] + window)]
-    last = np.r_[np.flatnonzero(new)[1:] - 1, len(tid) - 1]
-    return tid[new], pos[new], pos[last] + window
+    lead, number, _ = w.groups(w.order[estimated.astype(bool)[w.entry]])
+    return _table(CANDIDATE, w.first[lead].view(np.int64), w.second[lead].view(np.int64),
+                  np.full(len(lead), chunk), w.tid[lead], w.pos[lead], np.minimum(number, 2))
 
 
 def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key, those whose key comes again or has a weight above 1. Only the last row
-    is held between batches."""
-    held = None
-    names = ["chunk", "tid", "pos", "stop"]
+    """Of rows sorted by key, those of weight 1 whose key comes again or before. (What has a higher
+    weight is known to its chunk.) Only the last row is held between batches."""
+    held, known = None, False  # known: the held row's key came before
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = table if held is None else pa.concat_tables([held, table])
         a, b, weight = (table[c].to_numpy() for c in ("k1", "k2", "weight"))
         same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-        repeated = (weight > 1) | np.r_[same, False] | np.r_[False, same]
-        repeated[-1] &= weight[-1] > 1 or bool(len(same) and same[-1])
-        # the last row is judged with the next batch; a weight of 2 carries that it has an equal
-        final = table.slice(0, table.num_rows - 1).filter(pa.array(repeated[:-1]))
-        yield from final.select(names).combine_chunks().to_batches()
-        held = table.slice(table.num_rows - 1)
-        held = held.set_column(held.schema.get_field_index("weight"), "weight",
-                               pa.array([2 if repeated[-1] else 1], pa.int32()))
-    if held is not None and held["weight"][0].as_py() > 1:
-        yield from held.select(names).combine_chunks().to_batches()
-
-
-def _kept(w: Windows, found: pa.Table) -> pa.Table:
-    """The chunk's texts without the covered words."""
-    cover = [np.zeros(len(words) + 1, np.int64) for words in w.words]
-    for t, a, b in zip(found["tid"].to_pylist(), found["pos"].to_pylist(),
-                       found["stop"].to_pylist(), strict=True):
-        cover[t][a] += 1
-        cover[t][b] -= 1
+        before = np.r_[known, same]
+        repeated = (before | np.r_[same, False]) & (weight == 1)
+        last, known = len(a) - 1, bool(before[-1])
+        yield from table.slice(0, last).filter(pa.array(repeated[:last])).select(
+            ["chunk", "tid", "pos"]).combine_chunks().to_batches()
+        held = table.slice(last)
+    if held is not None and known and held["weight"][0].as_py() == 1:
+        yield from held.select(["chunk", "tid", "pos"]).combine_chunks().to_batches()
+
+
+def _kept(w: Windows, found: pa.Table, window: int) -> pa.Table:
+    """The chunk's texts without the words of windows found repeated among the chunks, or repeated in
+    the chunk itself."""
+    _, number, place = w.groups(w.order)
+    here = w.order[(number > 1)[place]] if len(place) else w.order
+    begins = np.concatenate([w.flat[here], w.starts[found["tid"].to_numpy()] + found["pos"].to_numpy()])
+    total = int(w.sizes.sum())
+    change = np.bincount(begins, minlength=total + 1) - np.bincount(
+        begins + window, minlength=total + 1)
+    keep = np.cumsum(change)[:total] == 0
     texts, removed = [], []
-    for words, change in zip(w.words, cover, strict=True):
-        keep = np.cumsum(change)[:-1] == 0
-        removed.append(len(words) - int(keep.sum()))
-        texts.append(b" ".join(words) if not removed[-1] else
-                     b" ".join([words[i] for i in np.flatnonzero(keep)]))
+    for words, at in zip(w.words, w.starts.tolist(), strict=True):
+        mine = keep[at:at + len(words)]
+        removed.append(len(words) - int(mine.sum()))
+        texts.append(b" ".join(compress(words, mine.tolist()) if removed[-1] else words))
     return pa.table([w.table["key"].cast(pa.binary()), pa.array(w.copies, pa.int64()),
-                     pa.array([len(x) for x in w.words], pa.int64()), pa.array(removed, pa.int64()),
+                     pa.array(w.sizes, pa.int64()), pa.array(removed, pa.int64()),
                      pa.array(texts, pa.binary()).cast(pa.string())], schema=_types(KEPT))
 
 
+def _collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Equal texts of a batch as one row with their number, before they are shuffled."""
+    for batch in batches:
+        keys, first, number = batch.column("key").to_pylist(), {}, Counter()
+        for i, k in enumerate(keys):
+            first.setdefault(k, i)
+            number[k] += 1
+        rows = batch.take(pa.array(list(first.values()), pa.int64()))
+        yield pa.RecordBatch.from_arrays(
+            [*rows.columns, pa.array([number[k] for k in first], pa.int64())],
+            names=[*rows.schema.names, "n"])
+
+
 def _between(total: int, share: int, bounds: tuple[int, int]) -> int:
     return min(max(total // share, bounds[0]), bounds[1])
 
 
-def kept_texts(docs: DataFrame, window: int = 35) -> tuple[DataFrame, DataFrame]:
+def kept_texts(docs: DataFrame, window: int = 35, columns: Sequence = ("key", "n", "n_words", "n_removed",
+               "kept")) -> tuple[DataFrame, DataFrame]:
     """Per distinct text: key (16 bytes of its SHA-256), n (documents that have it), n_words,
     n_removed and kept, the text without the words of repeated windows, joined by one space; and
     per document its doc_id and text key.
@@ -272,39 +279,49 @@ def kept_texts(docs: DataFrame, window: int = 35) -> tuple[DataFrame, DataFrame]
     """
     if window < 1:
         raise ValueError("a window has at least one word")
+    spark = docs.sparkSession
     text = text_or_empty()
     key = F.substring(F.unhex(F.sha2(text, 256)), 1, 16)
-    rows = stored(docs.select("doc_id", key.alias("key")), "repeat-rows")
-    texts = stored(docs.select(key.alias("key"), text.alias("text")).groupBy("key").agg(
-        F.first("text").alias("text"), F.count("*").alias("n")), "repeat-texts")
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = max(1, -(-total // _between(total, CHUNKS, CHUNK_BYTES)))
     slice_bytes = _between(total, SLICES, SLICE_BYTES)
     slices = max(1, -(-total // slice_bytes))
     width = max(1024, int(slice_bytes * CELLS_A_BYTE))
-    dealt = texts.withColumn("chunk", F.pmod(F.hash("key"), F.lit(chunks)))
+    rows = stored(docs.select("doc_id", key.alias("key")), "repeat-rows")
+
+    # one shuffle by chunk, kept as a bucketed table: no pass over the texts shuffles them again
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"repeat_texts_{uuid.uuid4().hex}"
+    (docs.select(key.alias("key"), text.alias("text")).mapInArrow(
+        _collapsed, "key binary, text string, n long")
+     .withColumn("chunk", F.pmod(F.hash("key"), F.lit(chunks)))
+     .repartition(parts, "chunk").groupBy("chunk", "key")
+     .agg(F.first("text").alias("text"), F.sum("n").alias("n"))
+     .write.bucketBy(parts, "chunk").option("path", shared_path(spark, "repeat-texts"))
+     .option("compression", "zstd").saveAsTable(name))
+    texts = spark.table(name)
 
     def sketch(keys: tuple, table: pa.Table) -> pa.Table:
-        return _sketches(Windows(table, window, WordHashes()), keys[0].as_py(), slices)
+        return _sketches(Windows(table, window, both=False), keys[0].as_py(), slices)
 
     def merge(keys: tuple, table: pa.Table) -> pa.Table:
         return _merged(table, width)
 
     def pick(keys: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _candidates(Windows(left, window, WordHashes()), right, keys[0].as_py(), slices)
+        return _candidates(Windows(left, window), right, keys[0].as_py(), slices)
 
     def keep(keys: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        return _kept(Windows(left, window, WordHashes()), right)
+        return _kept(Windows(left, window), right, window)
 
-    replies = stored(dealt.groupBy("chunk").applyInArrow(sketch, SKETCH).groupBy("slice")
+    by_chunk = texts.groupBy("chunk")
+    replies = stored(by_chunk.applyInArrow(sketch, SKETCH).groupBy("slice")
                      .applyInArrow(merge, REPLY), "repeat-replies")
-    candidates = stored(dealt.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
-        pick, CANDIDATE), "repeat-candidates")
-    found = candidates.where("k1 is not null").repartition("k1").sortWithinPartitions(
-        "k1", "k2").mapInArrow(_repeats, "chunk int, tid int, pos int, stop int")
-    covered = candidates.where("k1 is null").select("chunk", "tid", "pos", "stop").unionByName(found)
-    return stored(dealt.groupBy("chunk").cogroup(covered.groupBy("chunk")).applyInArrow(
-        keep, KEPT), "repeat-kept"), rows
+    found = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(pick, CANDIDATE).repartition(
+        "k1").sortWithinPartitions("k1", "k2").mapInArrow(_repeats, FOUND)
+    kept = stored(by_chunk.cogroup(found.groupBy("chunk")).applyInArrow(keep, KEPT).select(
+        *columns), "repeat-kept")
+    spark.sql(f"DROP TABLE {name}")
+    return kept, rows
 
 
 def remove(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -315,10 +332,9 @@ def remove(docs: DataFrame, window: int = 35) -> DataFrame:
     one without words keep the empty text; texts shorter than the window keep all words. Repeated
     rows and rows with a NULL doc_id count and are returned. An empty table gives an empty result.
     """
-    texts, rows = kept_texts(docs, window)
-    small = stored(texts.select("key", "n", "n_words", "n_removed", F.sha2("kept", 256).alias(
-        "kept_sha256")), "repeat-digests")
-    return join_groups(rows, small, "key", "n").select("doc_id", "n_words", "n_removed",
+    texts, rows = kept_texts(docs, window, ("key", "n", "n_words", "n_removed", F.sha2(
+        "kept", 256).alias("kept_sha256")))
+    return join_groups(rows, texts, "key", "n").select("doc_id", "n_words", "n_removed",
                                                       "kept_sha256")
 
 
