@@ -8,9 +8,9 @@ Equal texts are joined into one with their number, and dealt into chunks by a ha
    value). Its estimate for a window is the least of its counters, never below the true count.
    Back to the chunk goes one bit a distinct window: whether the estimate is at least 2.
 2. Every chunk looks at its windows again and groups only those estimated repeated, by two
-   independent 64-bit rolling hashes (128 bits stand for the 35 words; two different windows share
-   them with a probability of about 2^-110). What repeats inside the chunk is known at once; one row a
-   distinct window is sorted by key across all chunks, where equal neighbours are the repeats.
+   independent 64-bit rolling hashes (128 bits stand for the words; two given different windows share
+   them with a probability of about 2^-110). One row a distinct window of the chunk is sorted by key
+   across all chunks, where equal neighbours are the repeats; a chunk knows its own.
 
 Since estimates never fall short, no repeated window is lost; the others cost four to five bytes
 of shuffle a window instead of a grouped row. Slices and chunks hold a bounded part of the text,
@@ -37,11 +37,19 @@ from .common import join_groups, shared_path, stored, text_or_empty
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 ROWS = 2
 # Text in a chunk and in a slice of the hash range, as a share of all text between bounds in bytes.
-CHUNKS, CHUNK_BYTES = 256, (1 << 18, 1 << 25)
-SLICES, SLICE_BYTES = 128, (1 << 19, 1 << 24)
+CHUNKS, CHUNK_BYTES = 512, (1 << 18, 1 << 22)
+SLICES, SLICE_BYTES = 128, (1 << 19, 1 << 25)
 # Counters in a sketch row for each byte of a slice's text (about six bytes make a window).
-CELLS_A_BYTE = 0.75
-MEMORY_WORDS = 1 << 20
+CELLS_A_BYTE = 1
+# Words are hashed by their bytes up to this length, so many bytes at a time.
+SHORT = 64
+HASH_BYTES = 1 << 20
+SPACES = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+# A number for every byte (none for white space) and powers of a base, for each of the two hashes.
+BYTES = np.where(SPACES, np.uint64(0), np.random.default_rng(20).integers(
+    1, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1))
+POWERS = np.cumprod(np.repeat(np.array([[0xA0761D6478BD642F], [0xE7037ED1A0B428DB]], np.uint64),
+                              SHORT + 1, axis=1), axis=1)
 
 SKETCH = "slice int, chunk int, cells binary, twice binary"
 REPLY = "chunk int, slice int, mask binary"
@@ -50,31 +58,46 @@ FOUND = "chunk int, tid int, pos int"
 KEPT = "key binary, n long, n_words long, n_removed long, kept string"
 
 
-class WordHashes:
-    """Two 64-bit hashes of words; a bounded memory of the words seen."""
-
-    class _Index(dict):
-        def __init__(self):
-            self.new = []
-
-        def __missing__(self, word: bytes) -> int:
-            self.new.append(xxhash.xxh3_128_digest(word))
-            self[word] = n = len(self)
-            return n
-
-    def __init__(self):
-        self.index, self.table = self._Index(), np.empty((0, 2), np.uint64)
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        """The words' hashes, an array of two columns."""
-        if len(self.index) > MEMORY_WORDS:
-            self.__init__()
-        ids = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        if self.index.new:
-            fresh = np.frombuffer(b"".join(self.index.new), "<u8").reshape(-1, 2)
-            self.table = np.concatenate([self.table, fresh])
-            self.index.new = []
-        return self.table[ids]
+def placed_words(texts: pa.ChunkedArray) -> tuple[np.ndarray, ...]:
+    """The texts' UTF-8 bytes in a row, where each word begins and ends in them, and the number of
+    words of each text."""
+    array = pa.concat_arrays(texts.cast(pa.binary()).chunks) if texts.num_chunks else pa.array(
+        [], pa.binary())
+    offsets = np.frombuffer(array.buffers()[1], np.int32)[
+        array.offset:array.offset + len(array) + 1].astype(np.int64) if len(array) else np.zeros(
+        1, np.int64)
+    data = np.frombuffer(array.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    offsets = offsets - offsets[0]
+    inside = ~SPACES[data]
+    if not len(data):
+        return data, offsets[:0], offsets[:0], np.zeros(len(array), np.int64)
+    cuts = offsets[(offsets > 0) & (offsets < len(data))]
+    before, after = np.r_[False, inside[:-1]], np.r_[inside[1:], False]
+    before[cuts], after[cuts - 1] = False, False
+    begins, ends = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+    return data, begins, ends, np.diff(np.searchsorted(begins, offsets))
+
+
+def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
+    """A 64-bit hash of every word: its bytes' random numbers times powers of a base, added up. Words
+    of more than ``SHORT`` bytes have their XXH3 hash instead."""
+    out = np.empty(len(begins), np.uint64)
+    edges = np.searchsorted(begins, np.arange(0, len(data) + HASH_BYTES, HASH_BYTES))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        if a < b:
+            span = data[begins[a]:ends[b - 1]]
+            at = (begins[a:b] - begins[a]).astype(np.int64)
+            place = np.arange(len(span)) - np.repeat(at, np.diff(np.r_[at, len(span)]))
+            with np.errstate(over="ignore"):
+                out[a:b] = np.add.reduceat(
+                    BYTES[which][span] * POWERS[which][np.minimum(place, SHORT)], at)
+    with np.errstate(over="ignore"):
+        out ^= out >> np.uint64(29)
+        out *= np.uint64(0xBF58476D1CE4E5B9)
+    for i in np.flatnonzero(ends - begins > SHORT).tolist():
+        digest = xxhash.xxh3_128_digest(data[begins[i]:ends[i]].tobytes())
+        out[i] = int.from_bytes(digest[8 * which:8 * which + 8], "little")
+    return out
 
 
 def rolling(words: np.ndarray, window: int, base: np.uint64) -> np.ndarray:
@@ -99,35 +122,28 @@ def rolling(words: np.ndarray, window: int, base: np.uint64) -> np.ndarray:
     return total
 
 
-# Kept between the tasks of a Python worker.
-SEEN = WordHashes()
-
-
 class Windows:
     """The windows of a chunk's texts, in the order of the texts' keys, which every pass repeats."""
 
     def __init__(self, table: pa.Table, window: int, both: bool = True):
         self.table = table.take(pa.compute.sort_indices(table["key"]))
-        self.words = [t.split() for t in self.table["text"].cast(pa.binary()).to_pylist()]
         self.copies = self.table["n"].to_numpy()
-        self.sizes = np.array([len(x) for x in self.words], np.int64)
+        data, begins, ends, self.sizes = placed_words(self.table["text"])
         self.starts = np.cumsum(self.sizes) - self.sizes
-        hashes = SEEN.of(list(chain.from_iterable(self.words)))
         tid = np.repeat(np.arange(len(self.sizes)), self.sizes)
         # windows over all words in a row, without those that cross into the next text
         self.flat = np.flatnonzero(np.arange(len(tid)) + window <= (self.starts + self.sizes)[tid])
         self.tid = tid[self.flat]
         self.pos = self.flat - self.starts[self.tid]
         self.weight = np.minimum(self.copies[self.tid], 2)
-        enough = len(self.flat) > 0
-        self.first = rolling(hashes[:, 0], window, BASES[0])[self.flat] if enough else hashes[:0, 0]
-        self.second = rolling(hashes[:, 1], window, BASES[1])[self.flat] if enough and both else None
-        self.order = np.argsort(self.first, kind="stable")
+        hashed = [rolling(word_hashes(data, begins, ends, i), window, BASES[i])[self.flat]
+                  if len(self.flat) else np.empty(0, np.uint64) for i in range(1 + both)]
+        self.first, self.second = hashed[0], hashed[-1]
+        self.order = np.argsort(self.first)
         ranked = self.first[self.order]
-        if both and enough:
-            b = self.second[self.order]
-            if ((ranked[1:] == ranked[:-1]) & (b[1:] != b[:-1])).any():
-                self.order = np.lexsort((self.second, self.first))
+        second = self.second[self.order]
+        if ((ranked[1:] == ranked[:-1]) & (second[1:] != second[:-1])).any():
+            self.order = np.lexsort((self.second, self.first))
         new = np.r_[True, ranked[1:] != ranked[:-1]][:len(ranked)]
         self.entry = np.cumsum(new) - 1            # the distinct first hash of each ordered window
         self.begins = np.flatnonzero(new)
@@ -177,21 +193,23 @@ def _cells(values: np.ndarray, width: int) -> Iterator[np.ndarray]:
     for r in range(ROWS):
         with np.errstate(over="ignore"):
             mixed = values.astype(np.uint64) * BASES[r] + np.uint64(r)
-        yield (mixed >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)
+        yield ((mixed >> np.uint64(32)) * np.uint64(width) >> np.uint64(32)).astype(np.int64)
 
 
 def _merged(table: pa.Table, width: int) -> pa.Table:
-    """The replies to all chunks of one slice: the sketches are added into the counters, and every
-    value is looked up."""
+    """The replies to all chunks of one slice: the sketches are added up, and every value is
+    looked up. Counters stop at 2, so one bit each is enough."""
     values = [np.frombuffer(c, "<u4") for c in table["cells"].to_pylist()]
     every = np.concatenate(values)
     twice = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=len(v)).astype(bool)
                             for b, v in zip(table["twice"].to_pylist(), values, strict=True)])
     repeated = np.ones(len(every), bool)
     for cells in _cells(every, width):
-        cells = cells.astype(np.int64)
-        counters = np.bincount(np.concatenate([cells, cells[twice]]), minlength=width)
-        repeated &= counters[cells] > 1
+        counted = np.sort(cells)
+        high = np.zeros(width, bool)  # counters that reach 2
+        high[counted[1:][counted[1:] == counted[:-1]]] = True
+        high[cells[twice]] = True
+        repeated &= high[cells]
     ends = np.cumsum([len(v) for v in values])
     masks = [np.packbits(repeated[e - len(v):e]).tobytes()
              for e, v in zip(ends, values, strict=True)]
@@ -242,7 +260,8 @@ def _kept(w: Windows, found: pa.Table, window: int) -> pa.Table:
         begins + window, minlength=total + 1)
     keep = np.cumsum(change)[:total] == 0
     texts, removed = [], []
-    for words, at in zip(w.words, w.starts.tolist(), strict=True):
+    for text, at in zip(w.table["text"].cast(pa.binary()).to_pylist(), w.starts.tolist(), strict=True):
+        words = text.split()
         mine = keep[at:at + len(words)]
         removed.append(len(words) - int(mine.sum()))
         texts.append(b" ".join(compress(words, mine.tolist()) if removed[-1] else words))
