@@ -1,36 +1,16 @@
-"""Join helpers: size-checked broadcast and null-safe key joins."""
+"""Join helpers: null-safe key joins and the bound of forced broadcasts."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when a bounded count proves it has at most
-# this many rows; above it the join falls back to a shuffle (sort-merge) join,
-# which AQE may still turn into a broadcast at run time from real sizes.
+# A side is broadcast by force only when a bounded count proves that it has at
+# most this many rows. Other joins have no hint: the planner broadcasts what its
+# file sizes, or the sizes measured at run time, show to be small.
 DEFAULT_BROADCAST_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``F.broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``.
-
-    The check is ``df.limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded, so it costs at most ``max_rows + 1`` rows even when the
-    input turns out to be huge. Use it for dimension-like inputs only.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Join condition ``left.k <=> right.k`` for every key."""
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def join_back(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Attach per-key statistics to detail rows, NULL keys matching NULL keys.
 

@@ -12,6 +12,9 @@ tables), in the raw-table shapes the staging layer expects:
 * forecast       'view' events per (nation, day), issued in weekly snapshots
 * actual         'purchase' events per (nation, day)
 
+The small tables are joined without hints: their file sizes are known to the
+planner, which broadcasts a side only below its own size bound.
+
 ``BENCH_RULES`` sets thresholds that make every day type and streak label
 occur at every scale factor.
 
@@ -25,14 +28,15 @@ summation order decide the result; scaled amounts are never short decimals.
 from __future__ import annotations
 
 import math
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayframe.operators import staging
 from dayframe.operators.flags import DayRules
-from dayframe.operators.joins import bounded_broadcast
 from dayframe.plans import marts as M
+from dayframe.schemas import BENCH_TABLES
 from dayframe.sources.readers import aqi_bands
 
 PRICE_SCALE = math.pi / 3000
@@ -50,14 +54,9 @@ BENCH_RULES = DayRules(
 LOCATIONS_EXTRACTED_AT = "2024-02-01 00:00:00"
 
 
-def _memo(kind: str, spark: SparkSession, sf_dir: str, build):
-    """Build anew on every call, so that each query sees its inputs as they are now."""
-    return build()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _memo(f"table:{name}", spark, sf_dir,
-                 lambda: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+    """A benchmark table with its declared schema, so that opening it reads no file."""
+    return spark.read.schema(BENCH_TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def nation_coords(key: str = "n_nationkey", lat_factor: int = 37, lon_factor: int = 73):
@@ -67,7 +66,7 @@ def nation_coords(key: str = "n_nationkey", lat_factor: int = 37, lon_factor: in
 
 def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
-    region = bounded_broadcast(table(spark, sf_dir, "region"))
+    region = table(spark, sf_dir, "region")
     lat, lon = nation_coords()
     return nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         F.col("n_nationkey").alias("location_id"),
@@ -84,10 +83,9 @@ def raw_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _memo("names", spark, sf_dir, lambda: bounded_broadcast(
-        table(spark, sf_dir, "nation").select(
-            F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("city_name"),
-            F.col("n_regionkey").cast("string").alias("country_code"))))
+    return table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("city_name"),
+        F.col("n_regionkey").cast("string").alias("country_code"))
 
 
 def _daily_raw(grouped: DataFrame, names: DataFrame, source: str) -> DataFrame:
@@ -173,25 +171,37 @@ def raw_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events_daily(spark, sf_dir, "purchase", "last")
 
 
-def staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return _memo("staged", spark, sf_dir, lambda: _staged(spark, sf_dir))
+class Inputs:
+    """The staged inputs, each built when it is first used."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
-def _staged(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "locations": staging.stage_locations(raw_locations(spark, sf_dir)),
-        "weather": staging.stage_weather_daily(raw_weather(spark, sf_dir)),
-        "air_hourly": staging.stage_air_quality_hourly(raw_air_hourly(spark, sf_dir)),
-        "forecast": staging.stage_forecast_daily(raw_forecast(spark, sf_dir)),
-        "actual": staging.stage_weather_daily(raw_actual(spark, sf_dir)),
-    }
+    @cached_property
+    def locations(self) -> DataFrame:
+        return staging.stage_locations(raw_locations(self.spark, self.sf_dir))
 
+    @cached_property
+    def weather(self) -> DataFrame:
+        return staging.stage_weather_daily(raw_weather(self.spark, self.sf_dir))
 
-def marts(spark: SparkSession, sf_dir: str) -> M.Marts:
-    return _memo("marts", spark, sf_dir, lambda: _marts(spark, sf_dir))
+    @cached_property
+    def air_hourly(self) -> DataFrame:
+        return staging.stage_air_quality_hourly(raw_air_hourly(self.spark, self.sf_dir))
 
+    @cached_property
+    def band_table(self) -> DataFrame:
+        return aqi_bands(self.spark)
 
-def _marts(spark: SparkSession, sf_dir: str) -> M.Marts:
-    s = staged(spark, sf_dir)
-    return M.build_all(s["locations"], s["weather"], s["air_hourly"], aqi_bands(spark),
-                       s["forecast"], s["actual"], rules=BENCH_RULES)
+    @cached_property
+    def forecast(self) -> DataFrame:
+        return staging.stage_forecast_daily(raw_forecast(self.spark, self.sf_dir))
+
+    @cached_property
+    def actual(self) -> DataFrame:
+        return staging.stage_weather_daily(raw_actual(self.spark, self.sf_dir))
+
+
+def marts(spark: SparkSession, sf_dir: str) -> M.Marts:
+    """The model graph over the benchmark tables (lazy, built anew on every call)."""
+    return M.Marts(Inputs(spark, sf_dir), rules=BENCH_RULES)

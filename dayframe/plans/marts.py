@@ -8,6 +8,7 @@ whole graph from staged inputs; callers persist what they need with
 from __future__ import annotations
 
 from functools import cached_property
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 from dayframe.functions import season_from_date, surrogate_key
 from dayframe.operators import anomaly, bands, flags, forecast, rollup, streaks
 from dayframe.operators.flags import WEATHER, DayRules
-from dayframe.operators.joins import bounded_broadcast
 
 
 def dim_location(locations: DataFrame) -> DataFrame:
@@ -27,10 +27,11 @@ def dim_location(locations: DataFrame) -> DataFrame:
 
 def city_day_weather(weather: DataFrame, locations: DataFrame, rules: DayRules = WEATHER) -> DataFrame:
     """Weather days INNER JOIN locations; location attributes come from the
-    dimension. The dimension is broadcast after a bounded row count."""
-    loc = bounded_broadcast(locations.select(
+    dimension. No hint: the planner broadcasts the dimension only while its
+    size (of its files, or measured at run time) is below its bound."""
+    loc = locations.select(
         "location_id", "city_name", "country", "country_code", "latitude", "longitude",
-        "timezone", "population", "elevation"))
+        "timezone", "population", "elevation")
     w = weather.select("location_id", "weather_date", "temperature_2m_max", "temperature_2m_min",
                        "temperature_2m_mean", "precipitation_sum", "rain_sum", "snowfall_sum",
                        "wind_speed_10m_max", "extracted_at",
@@ -117,21 +118,18 @@ class Marts:
     access (lazy DataFrame, nothing is computed), so a query that needs one
     mart does not pay for planning the others."""
 
-    def __init__(self, locations: DataFrame, weather: DataFrame, air_hourly: DataFrame,
-                 band_table: DataFrame, forecast_stg: DataFrame | None = None,
-                 actual_stg: DataFrame | None = None, rules: DayRules = WEATHER,
-                 anomaly_k: float = 2.0):
-        self.locations, self.weather, self.air_hourly = locations, weather, air_hourly
-        self.band_table, self.forecast_stg, self.actual_stg = band_table, forecast_stg, actual_stg
-        self.rules, self.anomaly_k = rules, anomaly_k
+    def __init__(self, inputs, rules: DayRules = WEATHER, anomaly_k: float = 2.0):
+        """``inputs`` has the staged inputs as attributes: locations, weather, air_hourly,
+        band_table, forecast, actual. Only those that a model needs are read."""
+        self.inputs, self.rules, self.anomaly_k = inputs, rules, anomaly_k
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return dim_location(self.locations)
+        return dim_location(self.inputs.locations)
 
     @cached_property
     def int_city_day_weather(self) -> DataFrame:
-        return city_day_weather(self.weather, self.locations, self.rules)
+        return city_day_weather(self.inputs.weather, self.inputs.locations, self.rules)
 
     @cached_property
     def fct_city_weather_day(self) -> DataFrame:
@@ -139,11 +137,11 @@ class Marts:
 
     @cached_property
     def int_air_quality_daily(self) -> DataFrame:
-        return air_quality_daily(self.air_hourly)
+        return air_quality_daily(self.inputs.air_hourly)
 
     @cached_property
     def fct_air_quality_city_day(self) -> DataFrame:
-        return air_quality_city_day(self.int_air_quality_daily, self.band_table)
+        return air_quality_city_day(self.int_air_quality_daily, self.inputs.band_table)
 
     @cached_property
     def int_weather_extreme_streaks(self) -> DataFrame:
@@ -172,9 +170,9 @@ class Marts:
 
     @cached_property
     def fct_forecast_city_day(self) -> DataFrame | None:
-        if self.forecast_stg is None or self.actual_stg is None:
+        if self.inputs.forecast is None or self.inputs.actual is None:
             return None
-        return forecast_city_day(self.forecast_stg, self.actual_stg)
+        return forecast_city_day(self.inputs.forecast, self.inputs.actual)
 
     MODELS = ("dim_location", "int_city_day_weather", "fct_city_weather_day",
               "int_air_quality_daily", "fct_air_quality_city_day", "int_weather_extreme_streaks",
@@ -187,5 +185,6 @@ def build_all(locations: DataFrame, weather: DataFrame, air_hourly: DataFrame,
               actual_stg: DataFrame | None = None, rules: DayRules = WEATHER,
               anomaly_k: float = 2.0) -> Marts:
     """All models from staged inputs (lazy)."""
-    return Marts(locations, weather, air_hourly, band_table, forecast_stg, actual_stg,
+    return Marts(SimpleNamespace(locations=locations, weather=weather, air_hourly=air_hourly,
+                                 band_table=band_table, forecast=forecast_stg, actual=actual_stg),
                  rules, anomaly_k)

@@ -52,12 +52,12 @@ def _marts(spark, d):
 
 @query("q_stage_orders")
 def q_stage_orders(spark, d):
-    return finish(B.staged(spark, d)["weather"], 2)
+    return finish(B.Inputs(spark, d).weather, 2)
 
 
 @query("q_stage_events")
 def q_stage_events(spark, d):
-    return finish(B.staged(spark, d)["air_hourly"], 2)
+    return finish(B.Inputs(spark, d).air_hourly, 2)
 
 
 @query("q_dim")
@@ -273,7 +273,7 @@ def q_city_table(spark, d):
 def q_weather_x_air(spark, d):
     """Daily 'purchase' rollup (weather-shaped) joined to the AQ fact on
     (name, day), with the day label and marker size."""
-    w = B.staged(spark, d)["actual"]
+    w = B.Inputs(spark, d).actual
     a = _marts(spark, d).fct_air_quality_city_day.withColumnRenamed("air_quality_date", "weather_date")
     j = w.select("city_name", "weather_date", "temperature_2m_mean", "precipitation_sum").join(
         a.select("city_name", "weather_date", "avg_european_aqi", "aqi_band"),
@@ -446,7 +446,7 @@ def q_dq_unique(spark, d):
 
 @query("q_dq_not_null")
 def q_dq_not_null(spark, d):
-    stg = B.staged(spark, d)["air_hourly"]
+    stg = B.Inputs(spark, d).air_hourly
     return finish(quality.not_null(stg, "pm2_5").select("air_quality_hourly_sk", "location_id",
                                                         "reading_timestamp", "pm10"), 2)
 

@@ -66,3 +66,18 @@ CONTRACTS = {
     "mart_city_season_summary": MART_CITY_SEASON_SUMMARY,
     "mart_extreme_events": MART_EXTREME_EVENTS,
 }
+
+# The benchmark tables.
+BENCH_TABLES = {
+    "region": struct(("r_regionkey", I), ("r_name", S)),
+    "nation": struct(("n_nationkey", I), ("n_name", S), ("n_regionkey", I)),
+    "customer": struct(("c_custkey", L), ("c_name", S), ("c_nationkey", I), ("c_acctbal", D),
+                       ("c_mktsegment", S)),
+    "supplier": struct(("s_suppkey", L), ("s_name", S), ("s_nationkey", I), ("s_acctbal", D)),
+    "orders": struct(("o_orderkey", L), ("o_custkey", L), ("o_orderstatus", S), ("o_totalprice", D),
+                     ("o_orderdate", TSN), ("o_orderpriority", S)),
+    "events": struct(("event_id", L), ("ts", TSN), ("user_id", L), ("event_type", S), ("value", D),
+                     ("props", S)),
+    "documents": struct(("doc_id", L), ("text", S), ("lang", S), ("source", S), ("n_chars", L)),
+    "labels": struct(("doc_id", L), ("quality", I), ("toxic", I)),
+}

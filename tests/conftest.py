@@ -14,4 +14,6 @@ def spark():
     s.stop()
 
 
-SF_SMALL = "/root/testdata/sf0.001"
+@pytest.fixture(scope="session")
+def sf_small():
+    return "/root/testdata/sf0.001"

@@ -5,17 +5,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
 
 @pytest.fixture(scope="module")
-def con():
+def con(sf_small):
     c = duckdb.connect()
     for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
     return c
 
 
@@ -32,8 +31,8 @@ def _rows(cols, rows):
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
-def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
+def test_query_matches_oracle(spark, con, sf_small, name):
+    df = E.queries()[name](spark, sf_small)
     srows = [tuple(r) for r in df.collect()]
     cur = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
