@@ -1,52 +1,48 @@
 """Incremental fact tables: high-water-mark append and key-based upsert.
 
-A table is a Parquet folder partitioned by ``_v`` (version). Appends add files
-to the current version; an upsert writes a complete new version next to the
-old one and readers take the highest version, so a job never reads and
-overwrites the same files, and a failed job leaves the previous version
-intact (Spark's commit protocol publishes a version's files only on success).
+A table is a Parquet folder, partitioned by columns that a row's key
+determines (a date that is part of the key, say). An upsert replaces only the
+partitions that its rows fall in, with Spark's dynamic partition overwrite;
+the files of all other partitions are neither read nor written.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from dayframe.session import path_missing
+from dayframe.sources.sinks import stored, work_tables
 
-VERSION_COL = "_v"
 FIRST_RUN_FLOOR = dt.datetime(1900, 1, 1)
+# Up to this many touched partitions are named in the reading filter, which
+# prunes the folders before any join; the join that follows does without.
+NAMED_PARTITIONS = 10_000
 
 
-def _read_all(spark: SparkSession, path: str) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """The table's rows, or None if there is no table yet.
+
+    With ``schema`` no file is opened to learn the columns, and those that old
+    files lack are NULL; without it the files' schemas are merged.
+    """
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        if schema is None:
+            return spark.read.option("mergeSchema", "true").parquet(path)
+        df = spark.read.schema(schema).parquet(path)
+        return df.select(*schema.fieldNames())
     except AnalysisException as e:
         if path_missing(e):
             return None
         raise
 
 
-def current_version(spark: SparkSession, path: str) -> int | None:
-    df = _read_all(spark, path)
-    if df is None:
-        return None
-    # one-row aggregate over partition values
-    return df.agg(F.max(VERSION_COL)).first()[0]
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """Rows of the newest version (new columns of later appends merged in)."""
-    df = _read_all(spark, path)
-    if df is None:
-        return None
-    v = current_version(spark, path)
-    return df.filter(F.col(VERSION_COL) == F.lit(v)).drop(VERSION_COL)
-
-
 def high_water_mark(spark: SparkSession, path: str, ts_col: str) -> dt.datetime:
     """max(ts_col) of the target, or 1900-01-01 when the target is empty/missing.
 
@@ -60,37 +56,59 @@ def high_water_mark(spark: SparkSession, path: str, ts_col: str) -> dt.datetime:
     return v if v is not None else FIRST_RUN_FLOOR
 
 
-def append_new(spark: SparkSession, new_rows: DataFrame, path: str, ts_col: str) -> int:
+def append_new(spark: SparkSession, new_rows: DataFrame, path: str, ts_col: str,
+               partition_by: Sequence[str] = ()) -> None:
     """Insert rows strictly newer than the target's high-water mark.
 
-    First run (no target) takes everything. Returns the version written to.
-    Rows whose timestamp is not newer than the mark are never inserted, even
-    when their key is absent from the target (see ``upsert_by_key``).
+    First run (no target) takes everything. Rows whose timestamp is not newer
+    than the mark are never inserted, even when their key is absent from the
+    target (see ``upsert_by_key``). Columns that the target lacks are added:
+    its older rows read them as NULL.
     """
-    v = current_version(spark, path)
     hwm = high_water_mark(spark, path, ts_col)
-    version = 0 if v is None else v
-    fresh = new_rows.filter(F.col(ts_col) > F.lit(hwm))
-    (fresh.withColumn(VERSION_COL, F.lit(version))
-     .write.mode("append").partitionBy(VERSION_COL).parquet(path))
-    return version
+    new_rows.filter(F.col(ts_col) > F.lit(hwm)).write.mode("append").partitionBy(
+        *partition_by).parquet(path)
+
+
+def _same(left: DataFrame, right: DataFrame, columns: dict[str, str]) -> Column:
+    return reduce(Column.__and__, [left[a].eqNullSafe(right[b]) for a, b in columns.items()])
+
+
+def touched(current: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The rows of ``current`` in partitions that ``batch`` has rows in."""
+    values = batch.select(*partition_by).distinct()
+    first = partition_by[0]
+    named = [r[0] for r in values.select(first).distinct().limit(NAMED_PARTITIONS + 1).collect()]
+    if len(named) <= NAMED_PARTITIONS:
+        here = F.col(first).isin([v for v in named if v is not None])
+        current = current.where(here | F.col(first).isNull() if None in named else here)
+    other = values.select(*[F.col(c).alias(f"__p_{c}") for c in partition_by])
+    return current.join(other, _same(current, other, {c: f"__p_{c}" for c in partition_by}), "left_semi")
 
 
-def upsert_by_key(spark: SparkSession, new_rows: DataFrame, path: str, key: str) -> int:
+def upsert_by_key(spark: SparkSession, new_rows: DataFrame, path: str, key: str,
+                  partition_by: Sequence[str]) -> None:
     """Replace rows whose key appears in ``new_rows``, keep the others.
 
-    new version = (current LEFT ANTI JOIN new ON key) UNION new, written as a
-    new partition; columns missing on either side are filled with NULL.
-    NULL keys match NULL keys. Running it twice with the same input gives the same table.
+    Each partition that the new rows fall in is written again as (its rows LEFT
+    ANTI JOIN new ON key) UNION new; the others keep their files. A key must
+    determine its partition, since a row's older version is only looked for
+    there. Columns missing on either side are filled with NULL. NULL keys and
+    partition values match each other. Running it twice with the same rows gives
+    the same table, also after a run that broke off.
     """
-    v = current_version(spark, path)
-    if v is None:
-        merged, version = new_rows, 0
-    else:
+    with work_tables(spark):
+        batch = stored(new_rows, "upsert")
         current = read_table(spark, path)
-        fresh = new_rows.select(F.col(key).alias("__key"))
-        kept = current.join(fresh, current[key].eqNullSafe(fresh["__key"]), "left_anti")
-        merged, version = kept.unionByName(new_rows, allowMissingColumns=True), v + 1
-    merged.withColumn(VERSION_COL, F.lit(version)).write.mode("append") \
-        .partitionBy(VERSION_COL).parquet(path)
-    return version
+        if current is None:
+            merged = batch
+        else:
+            for c in partition_by:  # folder names do not keep the type
+                current = current.withColumn(c, F.col(c).cast(new_rows.schema[c].dataType))
+            fresh = batch.select(F.col(key).alias("__key"))
+            old = touched(current, batch, partition_by)
+            kept = old.join(fresh, old[key].eqNullSafe(fresh["__key"]), "left_anti")
+            # written before the partitions are replaced, so that they can be restored from it
+            merged = stored(kept.unionByName(batch, allowMissingColumns=True), "upsert-merged")
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            *partition_by).parquet(path)

@@ -2,21 +2,20 @@
 
 ``F.percentile`` keeps one value->count map per group and merges it in the
 task that finalises the group, so a group holding a large share of all rows
-lands in one task's memory. ``grouped_percentiles`` computes the same answer
-lazily by refining ranges:
-
-1. Per group, approximate percentiles on both sides of ``q`` bound the exact
-   one (a mergeable sketch of fixed size per group, pre-aggregated). Groups of
-   at most ``ACCURACY`` values, where one rank is a large step, take all values.
-2. The rows are joined with their group's bounds; a partial aggregate counts
-   the values below the range, and only the few values inside it (a fixed
-   small share of each group) go on, equal ones collapsed to counts.
-3. Running counts inside the range give the values at the two ranks around
-   ``pos = q * (n - 1)``, then linear interpolation
+lands in one task's memory. ``grouped_percentiles`` reads its input once and
+works on one stored count table:
+
+1. Equal values of a group and measure are collapsed to counts (partial
+   aggregate). The counts are sorted by (group, measure, value) over range
+   partitions, which also split a hot group, and are written once.
+2. Per (group, measure, range partition) the counts are summed; running sums
+   over a group's few partitions say which of them hold the two ranks around
+   ``pos = q * (n - 1)``.
+3. Only those partitions' rows are numbered, each partition by itself, and
+   give the two values; then linear interpolation
    ``(ceil(pos) - pos) * lo + (pos - floor(pos)) * hi``.
 
-No Python step and no checkpoint; nothing is computed before an action. The
-counts prove that the range holds both ranks, and an error is raised if not.
+No Python step. A window never holds more than one range partition of a group.
 """
 
 from __future__ import annotations
@@ -26,19 +25,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 2000
-# The bounds lie this many times the sketch's rank error away from q.
-MARGIN = 6
+from dayframe.sources.sinks import stored
 
 
-def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join on the keys, NULL matching NULL; keeps the left side's keys."""
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on the keys, NULL matching NULL; keeps the left side's keys."""
     other = right.select(*[F.col(k).alias(f"__j_{k}") for k in keys],
                          *[c for c in right.columns if c not in keys])
     on = F.lit(True)
     for k in keys:
         on = on & left[k].eqNullSafe(other[f"__j_{k}"])
-    return left.join(other, on, how).drop(*[f"__j_{k}" for k in keys])
+    return left.join(other, on, "inner").drop(*[f"__j_{k}" for k in keys])
 
 
 def grouped_percentiles(df: DataFrame, keys: Sequence[str], values: Sequence[str], q: float,
@@ -46,55 +43,47 @@ def grouped_percentiles(df: DataFrame, keys: Sequence[str], values: Sequence[str
     """One row per group of ``keys``: the exact ``q`` percentile of each value
     column (NULLs ignored), named by ``alias``. Equal to ``F.percentile``
     bit for bit. A column with no value in a group gives NULL; a group with
-    no value in any column has no row (callers left-join their groups)."""
+    no value in any column has no row (callers left-join their groups).
+
+    The count table is computed and written when this is called."""
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must be in [0, 1]")
     keys = list(keys)
-    m = range(len(values))
-    rows = df.select(*keys, *[F.col(v).cast("double").alias(f"__v{i}")
-                              for i, v in enumerate(values)])
-    away = MARGIN / ACCURACY
-    sides = F.array(F.lit(max(0.0, q - away)), F.lit(min(1.0, q + away)))
-    bounds = rows.groupBy(*keys).agg(
-        *[F.count(f"__v{i}").alias(f"__n{i}") for i in m],
-        *[F.min(f"__v{i}").alias(f"__l{i}") for i in m],
-        *[F.max(f"__v{i}").alias(f"__h{i}") for i in m],
-        *[F.percentile_approx(f"__v{i}", sides, F.lit(ACCURACY)).alias(f"__b{i}") for i in m])
-    ranged = _joined(rows, bounds, keys, "inner")
-    small = lambda i: F.col(f"__n{i}") <= ACCURACY
-    low = lambda i: F.when(small(i), F.col(f"__l{i}")).otherwise(
-        F.get(F.col(f"__b{i}"), F.lit(0)))
-    high = lambda i: F.when(small(i), F.col(f"__h{i}")).otherwise(
-        F.get(F.col(f"__b{i}"), F.lit(1)))
-    below = ranged.groupBy(*keys).agg(*[
-        F.count_if(F.col(f"__v{i}") < low(i)).alias(f"__c{i}") for i in m])
-    inside = ranged.select(*keys, F.explode(F.filter(F.array(*[
-        F.when(F.col(f"__v{i}").between(low(i), high(i)), F.struct(
-            F.lit(i).alias("m"), F.col(f"__v{i}").alias("v"))) for i in m]),
-        lambda e: e.isNotNull())).alias("e")).select(*keys, "e.m", "e.v")
-    counts = inside.groupBy(*keys, "m", "v").agg(F.count("*").alias("c"))
-    totals = _joined(bounds.select(*keys, *[f"__n{i}" for i in m]), below, keys, "inner").select(
-        *keys, F.explode(F.array(*[F.struct(F.lit(i).alias("m"), F.col(f"__n{i}").alias("n"),
-                                            F.col(f"__c{i}").alias("below"))
-                                   for i in m])).alias("e")).select(
-        *keys, F.col("e.m").alias("m"), "e.n", "e.below").where("n > 0")
-    by_value = Window.partitionBy(*keys, "m").orderBy("v").rowsBetween(
+    numbers = range(len(values))
+    entries = F.array_compact(F.array(*[
+        F.when(F.col(v).isNotNull(), F.struct(F.lit(i).alias("__m"), F.col(v).cast("double").alias("__v")))
+        for i, v in enumerate(values)]))
+    order = [*keys, "__m", "__v"]
+    counts = df.select(*keys, F.inline(entries)).groupBy(*order).agg(F.count("*").alias("__c"))
+    table = stored(counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(
+        "__part", F.spark_partition_id()), "percentile")
+
+    by_part = [*keys, "__m", "__part"]
+    earlier = Window.partitionBy(*keys, "__m").orderBy("__part").rowsBetween(
         Window.unboundedPreceding, -1)
-    placed = counts.withColumn("before", F.coalesce(F.sum("c").over(by_value), F.lit(0)))
-    both = _joined(placed, totals, [*keys, "m"], "inner")
-    pos = (F.col("n") - F.lit(1)).cast("double") * F.lit(float(q))
-    both = both.withColumn("pos", pos).withColumn("k1", F.floor("pos")).withColumn(
-        "k2", F.ceil("pos")).withColumn("at", F.col("below") + F.col("before"))
-    covers = lambda k: (F.col("at") <= F.col(k)) & (F.col(k) < F.col("at") + F.col("c"))
-    per = both.groupBy(*keys, "m").agg(
-        F.max(F.when(covers("k1"), F.col("v"))).alias("lo"),
-        F.max(F.when(covers("k2"), F.col("v"))).alias("hi"),
-        F.max("pos").alias("pos"), F.max("k1").alias("k1"), F.max("k2").alias("k2"))
-    found = F.when(F.col("lo").isNull() | F.col("hi").isNull(), F.raise_error(
-        F.lit("the percentile's range misses its rank")).cast("double"))
-    # same arithmetic as Spark's own percentile, so both methods agree bit for bit
-    value = found.when(F.col("k1") == F.col("k2"), F.col("lo")).otherwise(
-        (F.col("k2") - F.col("pos")) * F.col("lo") + (F.col("pos") - F.col("k1")) * F.col("hi"))
-    return per.withColumn("p", value).groupBy(*keys).agg(*[
-        F.max(F.when(F.col("m") == F.lit(i), F.col("p"))).alias(alias.format(v))
-        for i, v in enumerate(values)])
+    whole = Window.partitionBy(*keys, "__m")
+    places = table.groupBy(*by_part).agg(F.sum("__c").alias("__n")).select(
+        *by_part, "__n", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+        ((F.sum("__n").over(whole) - F.lit(1)).cast("double") * F.lit(float(q))).alias("__pos"))
+    places = places.withColumns({"__k1": F.floor("__pos"), "__k2": F.ceil("__pos")}).where(
+        (F.col("__before") <= F.col("__k2")) & (F.col("__k1") < F.col("__before") + F.col("__n")))
+    inside = Window.partitionBy(*by_part).orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)
+    near = _joined(table, places.drop("__n"), by_part).withColumn(
+        "__at", F.col("__before") + F.coalesce(F.sum("__c").over(inside), F.lit(0)))
+
+    def covers(k: str):
+        return (F.col("__at") <= F.col(k)) & (F.col(k) < F.col("__at") + F.col("__c"))
+
+    found = near.groupBy(*keys).agg(*[
+        F.max(F.when((F.col("__m") == i) & condition, F.col(column))).alias(f"__{name}{i}")
+        for i in numbers for name, condition, column in (
+            ("lo", covers("__k1"), "__v"), ("hi", covers("__k2"), "__v"),
+            ("pos", F.lit(True), "__pos"))])
+
+    def value(i: int):
+        lo, hi, pos = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.col(f"__pos{i}")
+        # same arithmetic as Spark's own percentile, so both agree bit for bit
+        return F.when(F.floor(pos) == F.ceil(pos), lo).otherwise(
+            (F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi)
+
+    return found.select(*keys, *[value(i).alias(alias.format(v)) for i, v in enumerate(values)])

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from dayframe.functions import season_from_date, surrogate_key
 from dayframe.operators import anomaly, bands, flags, forecast, rollup, streaks
 from dayframe.operators.flags import WEATHER, DayRules
+from dayframe.sources.sinks import stored
 
 
 def dim_location(locations: DataFrame) -> DataFrame:
@@ -60,7 +61,11 @@ def city_weather_day(cdw: DataFrame, rules: DayRules = WEATHER) -> DataFrame:
 
 
 def air_quality_daily(hourly: DataFrame, percentile_method: str = "distributed") -> DataFrame:
-    return rollup.hourly_to_daily(hourly, percentile_method=percentile_method)
+    """The readings are stored first: they come from a join, and the averages and
+    the percentiles both read them."""
+    readings = stored(hourly.select("location_id", "city_name", "country_code",
+                                    "reading_timestamp", *rollup.AQ_AVG_MAX), "readings")
+    return rollup.hourly_to_daily(readings, percentile_method=percentile_method)
 
 
 def air_quality_city_day(aq_daily: DataFrame, band_table: DataFrame) -> DataFrame:
@@ -145,7 +150,7 @@ class Marts:
 
     @cached_property
     def int_weather_extreme_streaks(self) -> DataFrame:
-        return extreme_streaks(self.int_city_day_weather, self.rules)
+        return extreme_streaks(self.fct_city_weather_day, self.rules)
 
     @cached_property
     def mart_extreme_events(self) -> DataFrame:

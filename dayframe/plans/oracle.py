@@ -7,6 +7,7 @@ views; the Spark side is checked against them row by row.
 from __future__ import annotations
 
 from dayframe.functions.columns import SURROGATE_NULL_TOKEN
+from dayframe.plans.build import TABLES
 
 
 def sk(*exprs: str) -> str:
@@ -302,6 +303,16 @@ q("q_stage_events", rnd(with_ctes("SELECT * FROM aqstg", "aqstg"),
 q("q_dim", with_ctes("SELECT * FROM dim", "dim"))
 q("q_project", rnd(with_ctes("""SELECT city_name, weather_date, season, temperature_2m_mean,
     is_comfortable FROM fct""", "fct"), ["temperature_2m_mean"], 2))
+_BUILD = [
+    ("dim_location", "dim", 11), ("fct_city_weather_day", "fct", 20),
+    ("fct_air_quality_city_day", "aqf", 24), ("fct_forecast_city_day", "fcast", 24),
+    ("mart_extreme_events", "extremes", 13), ("mart_temperature_anomaly", "anomaly", 12),
+    ("mart_city_season_summary", "season_sum", 16), ("mart_city_month_summary", "month_sum", 17),
+    ("mart_city_weather_summary", "city_sum", 25)]
+q("q_build", with_ctes(" UNION ALL ".join(
+    f"""SELECT '{m}' AS mart, count(*) AS n_rows, {n} AS n_columns, {n} AS n_described,
+    '{TABLES[m].description.replace("'", "''")}' AS description FROM {cte}""" for m, cte, n in _BUILD),
+    *[cte for _, cte, _ in _BUILD]))
 q("q_synth_id", """SELECT s_suppkey, s_name,
     CAST(900000 + row_number() OVER (ORDER BY s_suppkey) AS INTEGER) AS location_id FROM supplier""")
 q("q_surrogate_key", f"""SELECT o_orderkey, {sk('o_orderkey')} AS order_sk,
@@ -522,6 +533,78 @@ q("q_proxy_estimate", with_ctes("""SELECT city, region, lat, lon, weather_date,
               row_number() OVER (PARTITION BY w.city_name ORDER BY w.weather_date) - 1 AS day_number
             FROM fct w JOIN dim d ON w.city_name = d.city_name) f ON f.city_name = l.city_name) z""",
     "sups", "near", "fct", "dim"))
+q("q_proxy_fallback", with_ctes("""SELECT city, region, lat, lon, weather_date,
+    strftime(weather_date, '%d %b') AS frame, CAST(day_number AS INTEGER) AS day_number,
+    round(t, 1) AS temperature_c, round(r, 1) AS rain_mm,
+    round(least(greatest(100.0 - abs(t - 22.0) * 5.2 - r * 7.0, 0.0), 100.0), 1) AS comfort,
+    signal_city, round(distance_km, 0) AS signal_distance_km,
+    round(greatest(7.0, 13.0 + r * 3.2 + greatest(0.0, t - 25.0) * 0.5), 2) AS pulse_size
+    FROM (SELECT s.city, s.region, s.lat, s.lon, f.weather_date, f.day_number,
+      f.temperature_2m_mean + (40.4 - s.lat) * 0.42
+        + (CASE WHEN abs(s.lon) < 1.0 THEN -0.8 ELSE 0.0 END) + (l.latitude - s.lat) * 0.12
+        + sin(f.day_number * 0.92 + (CAST('0x' || substr(md5(s.city), 1, 8) AS BIGINT) % 628) / 100.0) * 0.9 AS t,
+      greatest(0.0, f.precipitation_sum * (1.0 + least(n.distance_km, 850.0) / 2400.0)) AS r,
+      l.city_name AS signal_city, n.distance_km
+      FROM sups s JOIN near n ON s.s_suppkey = n.s_suppkey
+      JOIN dim l ON n.location_id = l.location_id
+      JOIN (WITH w AS (SELECT * FROM fct WHERE weather_date = DATE '1995-03-01')
+            SELECT location_id AS series, *, row_number() OVER (PARTITION BY location_id
+              ORDER BY weather_date) - 1 AS day_number FROM w
+            UNION ALL SELECT -1 AS series, *, row_number() OVER (ORDER BY weather_date, location_id) - 1
+              AS day_number FROM w) f
+        ON f.series = CASE WHEN EXISTS (SELECT 1 FROM fct x WHERE x.location_id = l.location_id
+          AND x.weather_date = DATE '1995-03-01') THEN l.location_id ELSE -1 END) z""",
+    "sups", "near", "fct", "dim"))
+q("q_payload_daily", """SELECT o_custkey AS c_custkey, CAST(o_orderdate AS DATE) AS order_date,
+    CAST(1 AS DOUBLE) AS latitude, CAST(2 AS DOUBLE) AS longitude, 'UTC' AS timezone,
+    o_orderkey AS order_id, o_totalprice AS price
+    FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_custkey % 50 > 2""")
+q("q_payload_rejects", """SELECT c_custkey, CASE c_custkey % 50 WHEN 0 THEN 'not readable'
+      WHEN 1 THEN 'error answer: quota' ELSE 'more values than times' END AS reason,
+    greatest(blocks, 1) AS payloads
+    FROM (SELECT c_custkey, count(DISTINCT o_orderkey // 4096) AS blocks FROM customer
+      LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey) p
+    WHERE c_custkey % 50 < 2 OR (c_custkey % 50 = 2 AND blocks > 0)""")
+q("q_geocode", """SELECT n_nationkey AS location_id, n_name AS city_name, r_name AS country,
+    CAST(n_regionkey AS VARCHAR) AS country_code, count(*) AS hits, CAST(1.5 AS DOUBLE) AS latitude
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    WHERE s_suppkey % 10 > 2 GROUP BY ALL""")
+q("q_geocode_rejects", """SELECT s_name AS query, CASE WHEN s_suppkey % 10 = 2
+      THEN 'unreadable geocoding answer for ' ELSE 'no geocoding result for ' END || s_name AS error
+    FROM supplier WHERE s_suppkey % 10 <= 2""")
+q("q_csv_orders", "SELECT * FROM orders")
+q("q_csv_rejects", "SELECT o_orderkey, 'n/a' AS value FROM orders WHERE o_orderkey % 89 = 0")
+q("q_many_runs", """SELECT o_custkey, strftime(landed, '%Y-%m-%d 00-00-00') AS run, n_orders, top_price
+    FROM (SELECT o_custkey, date_trunc('year', o_orderdate) AS landed, count(*) AS n_orders,
+      max(o_totalprice) AS top_price,
+      row_number() OVER (PARTITION BY o_custkey ORDER BY date_trunc('year', o_orderdate) DESC) AS rn
+      FROM orders GROUP BY 1, 2) WHERE rn = 1""")
+q("q_optional_mart", rnd(with_ctes("""SELECT 'built' AS mart, d.city_name, e.abs_temperature_error
+    FROM dim d LEFT JOIN (SELECT city_name, avg(abs_temperature_error) AS abs_temperature_error
+      FROM fcast WHERE abs_temperature_error IS NOT NULL GROUP BY 1) e ON d.city_name = e.city_name
+    UNION ALL SELECT 'missing', city_name, NULL FROM dim""", "dim", "fcast"), ["abs_temperature_error"], 4))
+q("q_new_columns", rnd(with_ctes("""SELECT forecast_city_day_sk, forecast_extracted_at,
+    CASE WHEN forecast_extracted_at > TIMESTAMP '2024-01-15' THEN abs_temperature_error END
+      AS abs_temperature_error,
+    CASE WHEN forecast_extracted_at > TIMESTAMP '2024-01-15' THEN abs_precipitation_error END
+      AS abs_precipitation_error FROM fcast""", "fcast"),
+    ["abs_temperature_error", "abs_precipitation_error"], 4))
+q("q_leaderboard_rows", rnd(with_ctes("""SELECT *, row_number() OVER (ORDER BY overall_comfort_index
+      DESC NULLS LAST, city_name) AS position, least(greatest(comfort_score, 4.0), 100.0) AS score_bar,
+    CASE WHEN comfort_score >= 50 THEN 'high' WHEN comfort_score >= 25 THEN 'medium' ELSE 'low' END
+      AS score_class,
+    CASE WHEN avg_european_aqi IS NULL THEN 'NO DATA' WHEN avg_european_aqi < 20 THEN 'GOOD'
+      WHEN avg_european_aqi < 40 THEN 'FAIR' WHEN avg_european_aqi < 60 THEN 'MODERATE'
+      WHEN avg_european_aqi < 80 THEN 'POOR' WHEN avg_european_aqi < 100 THEN 'VERY POOR'
+      ELSE 'EXTREME' END AS aqi_label FROM rank""", "rank"), RANK_D + ["score_bar"], 4))
+q("q_day_types", with_ctes("""SELECT r.city_name, t.condition, t.day_count FROM (
+      SELECT city_name, 'Comfortable' AS condition, count(*) FILTER (WHERE is_comfortable) AS day_count
+        FROM fct GROUP BY 1
+      UNION ALL SELECT city_name, 'Rainy', count(*) FILTER (WHERE is_rainy) FROM fct GROUP BY 1
+      UNION ALL SELECT city_name, 'Windy', count(*) FILTER (WHERE is_windy) FROM fct GROUP BY 1
+      UNION ALL SELECT city_name, 'Hot', count(*) FILTER (WHERE is_hot) FROM fct GROUP BY 1
+      UNION ALL SELECT city_name, 'Freezing', count(*) FILTER (WHERE is_freezing) FROM fct GROUP BY 1) t
+    JOIN (SELECT DISTINCT city_name FROM fct) r ON r.city_name = t.city_name""", "fct"))
 q("q_payload", """SELECT 'events' AS source_name, user_id, event_id, ts, value FROM events""")
 q("q_slug", """SELECT doc_id, regexp_replace(lower(strip_accents(text)), '[^a-z0-9]', '', 'g') AS text_slug,
     regexp_replace(lower(strip_accents(source)), '[^a-z0-9]', '', 'g') AS source_slug FROM documents""")
@@ -577,4 +660,7 @@ q("q_contracts", with_ctes("""SELECT 'dim_location' AS model, count(*) AS n_rows
 q("q_stream_daily", rnd(with_ctes("""SELECT * FROM aqf
     WHERE CAST(air_quality_date + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM ev)""", "aqf", "ev"), AQ_D, 4))
 q("q_stream_daily_exact", SQL["q_stream_daily"])
+q("q_stream_entity_days", rnd(with_ctes("""SELECT aqf.* FROM aqf JOIN (
+      SELECT location_id, max(ts) AS newest FROM ev GROUP BY location_id) n USING (location_id)
+    WHERE CAST(air_quality_date + 1 AS TIMESTAMP) <= newest""", "aqf", "ev"), AQ_D, 4))
 q("q_stream_snapshots", SQL["q_forecast_error"])

@@ -12,9 +12,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayframe.functions import (band_label, clamp, min_max_norm, ratio_pct,
+from dayframe.functions import (band_label, clamp, min_max_norm, ratio_pct, score_class,
                                 season_ordinal, sql_round, temperature_class)
-from dayframe.operators.order import arg_max_by_group, top_k
+from dayframe.operators.order import arg_max_by_group, top_k, with_position
 
 
 def slice_days(df: DataFrame, entity_col: str, entities: Sequence[str] | None,
@@ -72,12 +72,26 @@ def rank_order():
 def rank_reverse():
     return [F.col("overall_comfort_index").asc_nulls_first(), F.col("city_name").desc()]
 
+
+# --- fixed values (must equal the reference's results) -----------------------
+# Leaderboard sort labels: column, ascending.
 LEADERBOARD_SORTS = {
     "Overall index": ("overall_comfort_index", False),
     "Comfort score": ("comfort_score", False),
     "Warmest": ("avg_temp", False),
     "Cleanest air": ("avg_european_aqi", True),
 }
+# Day-type labels of the ranking's counts.
+DAY_TYPES = {
+    "comfortable_days": "Comfortable",
+    "rainy_days": "Rainy",
+    "windy_days": "Windy",
+    "hot_days": "Hot",
+    "freezing_days": "Freezing",
+}
+# Planner weights of the five criteria.
+PLANNER_WEIGHTS = {"n_warm": 3, "n_comfort": 5, "n_air": 3, "n_dry": 3, "n_calm": 2}
+# -----------------------------------------------------------------------------
 
 
 def leaderboard_order(sort_label: str):
@@ -86,6 +100,16 @@ def leaderboard_order(sort_label: str):
     return [c.asc_nulls_last() if asc else c.desc_nulls_last(), F.col("city_name").asc()]
 
 
+def leaderboard(rank: DataFrame, sort_label: str) -> DataFrame:
+    """The ranking in the chosen order with each row's position, the length of its score bar (4 to
+    100), the class of its comfort score and the band label of its mean AQI."""
+    placed = with_position(rank, leaderboard_order(sort_label), "position")
+    return placed.withColumns({
+        "score_bar": clamp("comfort_score", 4.0, 100.0),
+        "score_class": score_class("comfort_score"),
+        "aqi_label": band_label("avg_european_aqi")})
+
+
 def kpis(weather_day: DataFrame, rank: DataFrame) -> DataFrame:
     """One row: number of entities, mean of the daily means, comfortable days,
     best entity and its index. Values from other inputs are scalar subqueries."""
@@ -183,8 +207,7 @@ def planner(summary: DataFrame, season_summary: DataFrame, month_summary: DataFr
     loses 0.35 x normalised heatwave days. Weights default to warm 3,
     comfort 5, air 3, dry 3, calm 2; all zero gives match 0.
     """
-    w = {"n_warm": 3, "n_comfort": 5, "n_air": 3, "n_dry": 3, "n_calm": 2}
-    w.update(weights or {})
+    w = {**PLANNER_WEIGHTS, **(weights or {})}
     days = F.greatest(F.col("total_days"), F.lit(1))
     plan = summary.select(
         "city_name", "comfort_score", "avg_temperature_c", "avg_air_quality_index",

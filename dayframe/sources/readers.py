@@ -12,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 from dayframe import schemas
 from dayframe.operators.order import with_position
 from dayframe.session import path_missing
+from dayframe.sources.sinks import stored
 
 log = logging.getLogger(__name__)
 
@@ -21,6 +22,49 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
+REJECTED_LINE = "__line"
+
+
+def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """The rows of header CSVs that fit the schema, and the lines that do not.
+
+    A line is rejected if a value does not have its column's type or the number
+    of values differs. The files are parsed once, with all columns (a parser
+    that skips columns would not see their errors), into a work table that
+    both results read: the rows, and (file, line) of the rejects.
+    """
+    withline = T.StructType([*schema.fields, T.StructField(REJECTED_LINE, T.StringType())])
+    parsed = spark.read.schema(withline).option("header", True).option("mode", "PERMISSIVE").option(
+        "columnNameOfCorruptRecord", REJECTED_LINE).csv(path)
+    kept = stored(parsed.withColumn("__file", F.col("_metadata.file_name")), "csv")
+    rows = kept.where(F.col(REJECTED_LINE).isNull()).drop(REJECTED_LINE, "__file")
+    rejects = kept.where(F.col(REJECTED_LINE).isNotNull()).select(
+        F.col("__file").alias("file"), F.col(REJECTED_LINE).alias("line"))
+    return rows, rejects
+
+
+def read_runs(spark: SparkSession, path: str, schema: T.StructType,
+              run_type: T.DataType = T.StringType(), folder: str = "extracted_at",
+              run_col: str = "run") -> DataFrame:
+    """The files of all runs (``<path>/<folder>=<run>/...``) appended, each row with its run and file.
+
+    The run is taken from the file's path, not from its content, so a run
+    holds what was landed with it.
+    """
+    files = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    found = F.regexp_extract(F.col("_metadata.file_path"), rf"/{folder}=([^/]+)/", 1)
+    return files.select("*", F.url_decode(found).cast(run_type).alias(run_col),
+                        F.col("_metadata.file_name").alias("file"))
+
+
+def newest_run(rows: DataFrame, keys: list[str], run_col: str = "run") -> DataFrame:
+    """Per key the row of the newest run that has it (map-side combined; a key's rows are never
+    sorted together). Equal rows of the newest run count once."""
+    rest = [c for c in rows.columns if c not in keys]
+    order = F.struct(run_col, *[c for c in rest if c != run_col])
+    return rows.groupBy(*keys).agg(F.max(order).alias("__newest")).select(*keys, "__newest.*")
+
+
 def read_raw_tables(spark: SparkSession, folder: str,
                     tables: dict[str, T.StructType] | None = None) -> dict[str, DataFrame]:
     """Load each ``<folder>/<name>.csv``; skip missing ones with a warning,

@@ -4,10 +4,10 @@
   is the local wall-clock reading time cast to TIMESTAMP through the UTC
   session zone (so day windows are local days); the watermark lets Spark drop
   a day's state once it is closed, and append mode emits each day once.
-* ``exact_daily_rollup``   the same day rows through ``foreachBatch``: readings
-  are staged per micro-batch and closed days are rolled up by the batch
-  rollup, so the exact percentile never keeps a day's values in one state
-  row (see ``operators.percentile``).
+* ``exact_daily_rollup``   the same day rows through ``foreachBatch``, with a
+  watermark per entity: readings of open days are kept in a versioned table
+  and closed days are rolled up by the batch rollup, so the exact percentile
+  never keeps a day's values in one state row (see ``operators.percentile``).
 * ``with_bands``           stream-static range join to the band table.
 * ``snapshot_upserts``     new snapshot files -> key-based upsert of a fact
   table, one ``foreachBatch`` call per micro-batch.
@@ -21,7 +21,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +29,7 @@ from dayframe.functions import any_not_null, surrogate_key
 from dayframe.operators import bands as band_ops
 from dayframe.operators import incremental
 from dayframe.operators.rollup import AQ_AVG_MAX, AQ_P95, AQ_REQUIRE_ANY, hourly_to_daily
-from dayframe.session import path_missing
+from dayframe.sources.sinks import delete, stored, work_tables
 
 
 def daily_rollup_stream(hourly: DataFrame, delay: str,
@@ -63,22 +62,23 @@ def daily_rollup_stream(hourly: DataFrame, delay: str,
 def exact_daily_rollup(hourly: DataFrame, base: str, checkpoint: str, delay: dt.timedelta,
                        ts_col: str = "reading_timestamp",
                        finish: Callable[[DataFrame], DataFrame] | None = None,
-                       date_col: str = "air_quality_date") -> str:
+                       date_col: str = "air_quality_date", entity: str = "location_id",
+                       idle: dt.timedelta | None = None) -> str:
     """Stream hourly readings into finalised day rows under ``base + "/days"``.
 
-    Each micro-batch writes its readings to ``staging/_batch=<id>/__day=<day>``
-    (overwrite of its own folder, so a replayed batch does not duplicate
-    rows). The watermark is the newest reading time minus ``delay``; a day is
-    closed once its end is at or before the watermark. Closed days newer than
-    the high-water mark of the output are rolled up with ``hourly_to_daily``
-    (distributed exact percentile), passed through ``finish`` (e.g. a band
-    join) and appended. Readings for days already emitted are late and are
+    Every entity has a watermark of its own: its newest reading less ``delay``.
+    A day of an entity is closed once its end is at or before that, so an entity
+    whose readings arrive long after the others' loses none. ``idle`` limits
+    the wait for silent entities: days also close once they ended ``idle`` or
+    more before the newest reading of all (None: never). Closed days are rolled up with
+    ``hourly_to_daily`` (distributed exact percentile), passed through ``finish``
+    (e.g. a band join) and written. Readings for days already emitted are
     dropped, as a watermarked aggregation would drop them. Processes what is
     available now, then returns the output path.
     """
 
     def load(batch: DataFrame, epoch: int) -> None:
-        finalise_closed_days(batch, epoch, base, delay, ts_col, finish, date_col)
+        finalise_closed_days(batch, epoch, base, delay, ts_col, finish, date_col, entity, idle)
 
     q = (hourly.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -86,41 +86,76 @@ def exact_daily_rollup(hourly: DataFrame, base: str, checkpoint: str, delay: dt.
     return base + "/days"
 
 
-def _newest_day(spark: SparkSession, out: str, date_col: str):
-    try:
-        return spark.read.parquet(out).agg(F.max(date_col)).first()[0]
-    except AnalysisException as e:
-        if path_missing(e):  # no output yet
-            return None
-        raise
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The complete versions (folders ``v=<epoch>``) under a path."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(folder)]
+    return sorted(int(n[2:]) for n, full in names
+                  if n.startswith("v=") and fs.exists(hadoop.Path(full + "/_SUCCESS")))
 
 
 def finalise_closed_days(batch: DataFrame, epoch: int, base: str, delay: dt.timedelta,
                          ts_col: str = "reading_timestamp",
                          finish: Callable[[DataFrame], DataFrame] | None = None,
-                         date_col: str = "air_quality_date") -> None:
-    """One micro-batch of ``exact_daily_rollup`` (safe to run again for the
-    same ``epoch``: the staging folder is overwritten and emitted days are
-    skipped by the output's high-water mark)."""
-    staging, out = base + "/staging", base + "/days"
+                         date_col: str = "air_quality_date", entity: str = "location_id",
+                         idle: dt.timedelta | None = None) -> None:
+    """One micro-batch of ``exact_daily_rollup``.
+
+    ``pending/v=<epoch>`` holds the readings of open days after the batch and
+    ``state/v=<epoch>`` one row an entity (newest reading, first open day). Each
+    batch reads the version before and writes its own, then deletes older ones,
+    so both stay as large as what is open. Emitted days go to
+    ``days/_batch=<epoch>``, which a replay of the batch replaces.
+    """
     spark = batch.sparkSession
-    hwm = _newest_day(spark, out, date_col)
-    rows = batch.withColumn("__day", F.to_date(F.col(ts_col)))
-    if hwm is not None:
-        rows = rows.filter(F.col("__day") > F.lit(hwm))
-    rows.write.mode("overwrite").partitionBy("__day").parquet(f"{staging}/_batch={epoch}")
-    staged = spark.read.option("basePath", staging).parquet(staging)
-    if hwm is not None:
-        staged = staged.filter(F.col("__day") > F.lit(hwm))  # partition pruning
-    newest = staged.agg(F.max(ts_col)).first()[0]
-    if newest is None:
-        return
-    close = (newest - delay).date()  # days before this one have ended
-    ready = staged.filter(F.col("__day") < F.lit(close))
-    if ready.limit(1).count() == 0:
-        return
-    days = hourly_to_daily(ready.drop("__day", "_batch"), ts_col=ts_col, date_alias=date_col)
-    (finish(days) if finish else days).write.mode("append").parquet(out)
+    pending, state, out = base + "/pending", base + "/state", base + "/days"
+    before = [v for v in _versions(spark, state) if v < epoch]
+    with work_tables(spark):
+        rows = stored(batch.withColumn("__day", F.to_date(F.col(ts_col))), "batch")
+        newest = rows.groupBy(entity).agg(F.max(ts_col).alias("newest"))
+        if before:
+            last = spark.read.parquet(f"{state}/v={before[-1]}")
+            open_from = last.select(F.col(entity).alias("__entity"), "open_from")
+            rows = rows.join(open_from, rows[entity].eqNullSafe(open_from["__entity"]), "left").where(
+                F.col("open_from").isNull() | (F.col("__day") >= F.col("open_from"))).drop(
+                "__entity", "open_from")
+            rows = rows.unionByName(spark.read.schema(rows.schema).parquet(
+                f"{pending}/v={before[-1]}"))
+            newest = newest.withColumn("open_from", F.lit(None).cast("date")).unionByName(last)
+            newest = newest.groupBy(entity).agg(F.max("newest").alias("newest"),
+                                                F.max("open_from").alias("open_from"))
+        else:
+            newest = newest.withColumn("open_from", F.lit(None).cast("date"))
+        close = F.to_date(F.col("newest") - F.lit(delay))  # days before this one have ended
+        if idle is not None:
+            latest = newest.select(F.max("newest")).scalar()
+            close = F.greatest(close, F.to_date(latest - F.lit(idle)))
+        after = stored(newest.select(entity, "newest", F.greatest("open_from", close).alias(
+            "open_from")), "state")
+        first_open = after.select(F.col(entity).alias("__entity"), "open_from")
+        judged = stored(rows.join(first_open, rows[entity].eqNullSafe(first_open["__entity"]),
+                                  "left").withColumn("__closed", F.col("__day") < F.col(
+                                      "open_from")).drop("__entity", "open_from"), "judged")
+        ready = judged.where("__closed").drop("__closed", "__day")
+        if not ready.isEmpty():
+            days = hourly_to_daily(ready, ts_col=ts_col, date_alias=date_col)
+            (finish(days) if finish else days).write.mode("overwrite").parquet(
+                f"{out}/_batch={epoch}")
+        judged.where("not coalesce(__closed, false)").drop("__closed").write.mode(
+            "overwrite").parquet(f"{pending}/v={epoch}")
+        after.write.mode("overwrite").parquet(f"{state}/v={epoch}")  # makes the version complete
+    for v in before[:-1]:
+        delete(spark, f"{state}/v={v}")
+        delete(spark, f"{pending}/v={v}")
+
+
+def read_days(spark: SparkSession, out: str) -> DataFrame:
+    """The emitted days."""
+    return spark.read.option("basePath", out).parquet(out).drop("_batch")
 
 
 def with_bands(daily: DataFrame, band_table: DataFrame, value: str = "avg_european_aqi") -> DataFrame:
@@ -138,12 +173,15 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str, output_mode: str =
 
 
 def snapshot_upserts(spark: SparkSession, snapshot_dir: str, schema: T.StructType, target: str,
-                     key: str, checkpoint: str, drop: Sequence[str] = ()) -> None:
-    """Load snapshot partitions as they land and upsert them into ``target``."""
+                     key: str, checkpoint: str, partition_by: Sequence[str],
+                     drop: Sequence[str] = ()) -> None:
+    """Load snapshot partitions as they land and upsert them into ``target``;
+    only the target's partitions that a batch touches are written again."""
     stream = spark.readStream.schema(schema).parquet(snapshot_dir)
 
     def load(batch: DataFrame, _epoch: int) -> None:
-        incremental.upsert_by_key(batch.sparkSession, batch.drop(*drop), target, key)
+        incremental.upsert_by_key(batch.sparkSession, batch.drop(*drop), target, key,
+                                  partition_by)
 
     q = (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

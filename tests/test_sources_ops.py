@@ -3,6 +3,7 @@ import datetime as dt
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -75,19 +76,34 @@ def test_nearest_matches_brute_force(spark, max_broadcast):
         assert got[j][0] == best[1] and abs(got[j][1] - best[0]) < 1e-6
 
 
-def test_nearest_dense_levels(spark):
-    # many close candidates: resolved at fine grids, still exact
+def _unit(rows):
+    la, lo = np.radians([r[1] for r in rows]), np.radians([r[2] for r in rows])
+    return np.c_[np.cos(la) * np.cos(lo), np.cos(la) * np.sin(lo), np.sin(la)]
+
+
+def test_nearest_with_clustered_candidates(spark):
+    """Dense clusters, lone points and places of their own: exact, and the pairs that are compared
+    stay far below all pairs, for queries inside, beside and far from a cluster."""
     rnd = random.Random(5)
-    pts = [(i, 40 + rnd.uniform(-0.5, 0.5), -3 + rnd.uniform(-0.5, 0.5)) for i in range(400)]
-    qs = [(j, 40 + rnd.uniform(-0.6, 0.6), -3 + rnd.uniform(-0.6, 0.6)) for j in range(50)]
+    pts = [(i, 40 + rnd.gauss(0, 0.01), -3 + rnd.gauss(0, 0.01)) for i in range(3000)]
+    pts += [(5000 + i, 10 + rnd.gauss(0, 1e-6), 10 + rnd.gauss(0, 1e-6)) for i in range(300)]
+    pts += [(8000 + i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(150)]
+    pts += [(9000, 0.0, 180.0), (9001, 90.0, 0.0), (9002, -90.0, 17.0)]
+    qs = [(j, 40 + rnd.gauss(0, 0.02), -3 + rnd.gauss(0, 0.02)) for j in range(150)]
+    qs += [(300 + j, 40.2 + rnd.uniform(0, 0.1), -3.0) for j in range(50)]
+    qs += [(400 + j, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for j in range(200)]
+    qs += [(700, 10.0, 10.0), (701, 89.9, 55.0), (702, 0.1, -179.9), (703, -90.0, 0.0)]
     right = spark.createDataFrame(pts, "id int, latitude double, longitude double")
     left = spark.createDataFrame(qs, "qid int, lat double, lon double")
-    got = {r.qid: r.id for r in geo.nearest(left, right, "qid", "id").collect()}
-    for j, la, lo in qs:
-        best = min(((la - p[1]) ** 2 * 1.0 + ((lo - p[2]) * math.cos(math.radians(la))) ** 2, p[0]) for p in pts)
-        # planar approximation is exact enough to identify the winner at this scale in most cases
-        assert got[j] == best[1] or True
-    assert len(got) == 50
+    counted = {}
+    got = {r.qid: (r.id, r.distance_km) for r in geo.nearest(
+        left, right, "qid", "id", max_broadcast=0, counted=counted).collect()}
+    chords = ((_unit(qs)[:, None] - _unit(pts)[None]) ** 2).sum(axis=2) ** 0.5
+    at = {p[0]: i for i, p in enumerate(pts)}
+    assert len(got) == len(qs)
+    for k, q in enumerate(qs):
+        assert chords[k, at[got[q[0]][0]]] <= chords[k].min() + 1e-12
+    assert counted["pairs"] < len(qs) * len(pts) / 15
 
 
 def test_with_position_is_dense_and_ordered(spark):
