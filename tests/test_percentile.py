@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayframe.operators.percentile import grouped_percentiles
+from dayframe.sources import sinks
 
 
 @pytest.fixture(scope="module")
@@ -38,9 +39,37 @@ def test_matches_spark_percentile(spark, readings, q):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_lazy_without_python_or_checkpoint(spark, readings):
-    plan = grouped_percentiles(readings, ["g"], ["a", "b"], 0.95)._jdf.queryExecution().toString()
-    assert "Python" not in plan and "InPandas" not in plan and "Checkpoint" not in plan
+def test_reads_its_input_once(spark, readings):
+    """Two measures, one pass: the plan over the source is only run for the count table."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = readings.mapInArrow(count, readings.schema)
+    got = grouped_percentiles(rows, ["g"], ["a", "b"], 0.95)
+    assert got.count() == 30 and seen.value == readings.count()
+    assert "Python" not in got._jdf.queryExecution().toString()
+
+
+def test_hot_group_is_spread_over_partitions(spark, readings, monkeypatch):
+    """No window holds a whole hot group: its counts lie in several range partitions."""
+    from dayframe.operators import percentile
+    kept = []
+    monkeypatch.setattr(percentile, "stored", lambda df, what: kept.append(sinks.stored(df, what)) or kept[-1])
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.g: r.p_a for r in grouped_percentiles(readings, ["g"], ["a"], 0.5).collect()}
+        ref = {r.g: r.p for r in readings.groupBy("g").agg(F.percentile("a", 0.5).alias("p")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert got == {g: p for g, p in ref.items() if p is not None}
+    hot = kept[0].where("g = 0").groupBy("__part").agg(F.sum("__c").alias("n")).collect()
+    assert len(hot) > 4
 
 
 def test_results_follow_the_input(spark, tmp_path):

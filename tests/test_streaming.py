@@ -1,5 +1,6 @@
 """Streaming rollup: closed days equal the batch rollup; the open day is held back."""
 import datetime as dt
+import os
 import random
 import uuid
 
@@ -62,7 +63,7 @@ def test_exact_daily_rollup_over_several_batches(spark):
         .option("recursiveFileLookup", "true").parquet(src)
     base = scratch_path(spark, "test-stream-exact", uuid.uuid4().hex)
     out = S.exact_daily_rollup(stream, base, base + "/_ck", NO_DELAY)
-    got = spark.read.parquet(out)
+    got = S.read_days(spark, out)
     batch = hourly_to_daily(df).filter(F.col("air_quality_date") < F.lit("2026-03-05").cast("date"))
     cols = ["location_id", "air_quality_date", "avg_pm10", "p95_pm10", "p95_pm2_5",
             "max_european_aqi", "hourly_readings_count", "air_quality_daily_sk"]
@@ -91,3 +92,45 @@ def test_finalise_closed_days_replay_and_late_rows(spark):
     got = sorted((r.air_quality_date, r.hourly_readings_count, r.max_pm10)
                  for r in spark.read.parquet(base + "/days").collect())
     assert got == [(dt.date(2026, 3, 1), 24, 23.0), (dt.date(2026, 3, 2), 3, 2.0)]
+
+
+def _reading(loc, ts, v):
+    return (loc, f"c{loc}", "XX", ts, v, v, 1.0, None, None, v)
+
+
+def test_late_entity_loses_nothing(spark):
+    """The first place's readings all arrive before the second's of the same days."""
+    base = scratch_path(spark, "test-stream-late", uuid.uuid4().hex)
+    hours = [dt.datetime(2026, 3, 1) + dt.timedelta(hours=h) for h in range(0, 24 * 4 + 1, 3)]
+    for epoch, loc in enumerate((1, 2)):
+        rows = [_reading(loc, ts, float(i)) for i, ts in enumerate(hours)]
+        S.finalise_closed_days(spark.createDataFrame(rows, SCHEMA), epoch, base, NO_DELAY)
+    got = S.read_days(spark, base + "/days").groupBy("location_id").count().collect()
+    assert sorted(map(tuple, got)) == [(1, 4), (2, 4)]
+    # with ``idle`` silent places are not waited for
+    base = scratch_path(spark, "test-stream-idle", uuid.uuid4().hex)
+    rows = [_reading(1, ts, 1.0) for ts in hours[:9]] + [_reading(2, ts, 1.0) for ts in hours]
+    S.finalise_closed_days(spark.createDataFrame(rows, SCHEMA), 0, base, NO_DELAY,
+                           idle=dt.timedelta(days=2))
+    days = S.read_days(spark, base + "/days").groupBy("location_id").count().collect()
+    assert sorted(map(tuple, days)) == [(1, 2), (2, 4)]
+
+
+def test_state_stays_bounded_over_many_batches(spark):
+    """Six-hourly batches over weeks, one place always ten days behind: what is kept is the open days
+    of each place, in the last two versions, and every day is emitted once."""
+    base = scratch_path(spark, "test-stream-bounded", uuid.uuid4().hex)
+    folder = base.removeprefix("file:")
+    start, sizes = dt.datetime(2026, 3, 1), []
+    for epoch in range(30):
+        at = start + dt.timedelta(hours=12 * epoch)
+        rows = [_reading(1, at + dt.timedelta(hours=h), 1.0) for h in (0, 4, 8)]
+        rows += [_reading(2, at + dt.timedelta(days=-10, hours=h), 2.0) for h in (1, 5)]
+        S.finalise_closed_days(spark.createDataFrame(rows, SCHEMA), epoch, base, NO_DELAY)
+        for name in ("state", "pending"):
+            assert len([f for f in os.listdir(f"{folder}/{name}") if f.startswith("v=")]) <= 2
+        sizes.append(spark.read.parquet(f"{base}/pending/v={epoch}").count())
+    assert max(sizes) <= 10 and spark.read.parquet(f"{base}/state/v=29").count() == 2
+    days = S.read_days(spark, base + "/days")
+    assert days.count() == days.select("location_id", "air_quality_date").distinct().count() == 28
+    assert {r.hourly_readings_count for r in days.collect()} == {6, 4}
