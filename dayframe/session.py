@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Without this every Column call asks the JVM several times for its call site, which is
+    # most of the time that building a plan takes.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
