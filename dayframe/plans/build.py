@@ -8,8 +8,10 @@ computing it again. ``mart_docs`` holds the marts' own descriptions.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,9 @@ class Mart:
     description: str
 
 
+# Marts written at the same time.
+WRITERS = 4
+
 # In dependency order.
 TABLES = {
     "dim_location": Mart((), "Places with their coordinates and attributes, one row a place"),
@@ -141,20 +146,34 @@ def build(spark: SparkSession, models: Marts, root: str, names=None) -> Warehous
 
     Each mart replaces its folder as a whole, so a build that is run again
     gives the same tables; a mart that was written is what the later ones read.
+    Marts that do not need each other are written at the same time, since the
+    small ones leave most of a cluster idle.
     A mart whose inputs are missing (no forecast) is left out.
     """
     made = Warehouse(spark, root)
-    docs = []
-    with work_tables(spark):
-        for name in needed(TABLES if names is None else names):
-            df = getattr(models, name)
-            if df is None:
-                continue
-            write_table(described(df, COLUMNS), made.path(name))
-            written = spark.read.schema(df.schema).parquet(made.path(name))
-            models.__dict__[name] = written  # later models read the table
-            docs.append((name, TABLES[name].description))
-    write_table(spark.range(1).select(F.inline(F.array(*[F.struct(
-        F.lit(n).alias("mart"), F.lit(text).alias("description")) for n, text in docs]))),
-        made.path("mart_docs"))
+    todo = needed(TABLES if names is None else names)
+    docs: list[str] = []
+
+    def write(df: DataFrame, name: str) -> None:
+        write_table(described(df, COLUMNS) if name in TABLES else df, made.path(name))
+
+    with work_tables(spark), ThreadPoolExecutor(WRITERS) as pool:
+        while todo:
+            ready = [n for n in todo if not set(TABLES[n].needs) & set(todo)]
+            frames = {}
+            jobs = []
+            for name in ready:
+                df = getattr(models, name)
+                if df is not None:
+                    frames[name] = df
+                    jobs.append(pool.submit(inheritable_thread_target(spark)(write), df, name))
+            for job in jobs:
+                job.result()
+            for name, df in frames.items():  # later models read the tables
+                models.__dict__[name] = spark.read.schema(df.schema).parquet(made.path(name))
+            docs += frames
+            todo = [n for n in todo if n not in ready]
+        write(spark.range(1).select(F.inline(F.array(*[F.struct(
+            F.lit(n).alias("mart"), F.lit(TABLES[n].description).alias("description"))
+            for n in docs]))), "mart_docs")
     return made
