@@ -134,9 +134,9 @@ def allowed_rejections(n: Column, risk: float, error: Column) -> Column:
 
 def cutoffs(feats: DataFrame, labels: DataFrame, rules: Mapping = RULES, risk: float = RISK,
             error: float = ERROR) -> DataFrame:
-    """The accepted cutoff of every (stratum, rule), one column ``cut_<rule>`` each (NULL: the rule
-    rejects nothing in the stratum); strata without labelled clean documents are absent. One more
-    row, with ``pooled``, is for all strata together.
+    """The cutoff of every (stratum, rule), one column ``cut_<rule>`` each (NULL: the rule rejects
+    nothing in the stratum), with n_labels and borrowed; strata without labelled clean documents
+    are absent. One more row, with ``pooled``, is for all strata together.
 
     The holdout is every document with a label quality = 1 that passes the base rules; a doc_id
     labelled more than once counts as clean if all its labels say so. Counts are exact, over all
@@ -163,42 +163,63 @@ def cutoffs(feats: DataFrame, labels: DataFrame, rules: Mapping = RULES, risk: f
         F.col("n"), risk / len(rules), F.lit(error / groups / len(rules)))).withColumn(
         "__k_joint", allowed_rejections(F.col("n"), risk, F.lit(error / groups)))
 
-    def accepted(columns: list[str], limit: str) -> Column:
+    def accepted(columns: list[str], limit: Column) -> Column:
         """How many of the tests, in order, come before the first failure."""
-        ok = F.array(*[F.col(c) <= F.col(limit) for c in columns], F.lit(False))
+        ok = F.array(*[F.col(c) <= limit for c in columns], F.lit(False))
         return (F.array_position(ok, False) - 1).cast("int")
 
+    def numbers(joint_limit: Column, apart_limit: Column) -> list[Column]:
+        return [accepted([f"__joint_{j}" for j in range(len(joint))], joint_limit).alias("joint"),
+                *[accepted([f"{name}_{i}" for i in range(len(cuts))], apart_limit).alias(name)
+                  for name, (_, cuts) in rules.items()]]
+
     # few rows: written, so that no plan repeats the bounds in every cutoff's expression
+    risk_of = F.col("n") * F.lit(risk)
     out = stored(stored(out, "quality-allowed").select(
-        "stratum", "pooled",
-        accepted([f"__joint_{j}" for j in range(len(joint))], "__k_joint").alias("__joint"),
-        *[accepted([f"{name}_{i}" for i in range(len(cuts))], "__k").alias(f"__apart_{name}")
-          for name, (_, cuts) in rules.items()]), "quality-accepted")
-    apart = reduce(add, [F.col(f"__apart_{name}") for name in rules], F.lit(0))
+        "stratum", "pooled", F.col("n").alias("n_labels"),
+        F.struct(*numbers(F.col("__k_joint"), F.col("__k"))).alias("own"),
+        F.struct(*numbers(risk_of, risk_of / len(rules))).alias("unrefuted")), "quality-accepted")
+
+    def in_all(x: str) -> Column:
+        return reduce(add, [F.col(f"{x}.{name}") for name in rules], F.lit(0))
+
+    pool = out.where("pooled").select(F.col("own").alias("pool"))  # one row
+    out = out.crossJoin(F.broadcast(pool))
+    borrowed = ~F.col("pooled") & (F.col("own.joint") == 0) & (in_all("own") == 0)
+
+    def taken(field: str) -> Column:
+        return F.when(borrowed, F.least(f"pool.{field}", f"unrefuted.{field}")).otherwise(
+            F.col(f"own.{field}"))
+
+    def apart(x: str) -> Column:
+        return in_all(x) > F.col(f"{x}.joint")
+
+    is_apart = F.when(borrowed, apart("pool")).otherwise(apart("own"))
     chosen = []
     for name, (_, cuts) in rules.items():
         places = [j + 1 for j, x in enumerate(turns) if x[0] == name]
-        jointly = reduce(add, [(F.col("__joint") >= j).cast("int") for j in places], F.lit(0))
-        number = F.when(apart > F.col("__joint"), F.col(f"__apart_{name}")).otherwise(jointly)
+        jointly = reduce(add, [(taken("joint") >= j).cast("int") for j in places], F.lit(0))
+        number = F.when(is_apart, taken(name)).otherwise(jointly)
         chosen.append(F.get(F.array(*[F.lit(float(c)) for c in cuts]), number - 1)
                       .alias(f"cut_{name}"))
-    return out.select("stratum", "pooled", *chosen)
+    return out.select("stratum", "pooled", "n_labels", borrowed.alias("borrowed"), *chosen)
 
 
 def strata(feats: DataFrame, labels: DataFrame, rules: Mapping = RULES, risk: float = RISK,
            error: float = ERROR) -> DataFrame:
-    """Every stratum with its number of documents (``__n``) and its cutoffs, borrowed from all
-    strata together where it has none of its own (``borrowed``)."""
+    """Every stratum with its number of documents (``__n``), its labelled clean ones (n_labels) and
+    its cutoffs, ``borrowed`` or its own."""
     cuts = stored(cutoffs(feats, labels, rules, risk, error), "quality-cutoffs")
     sizes = feats.groupBy(F.col("stratum").alias("__s")).agg(F.count("*").alias("__n"))
     names = [f"cut_{name}" for name in rules]
     pooled = cuts.where("pooled").select(*[F.col(c).alias(f"__{c}") for c in names])  # one row
     own = sizes.join(cuts.where("not pooled").drop("pooled"),
                      F.col("__s").eqNullSafe(F.col("stratum")), "left").crossJoin(F.broadcast(pooled))
-    none = F.coalesce(*names, F.lit(None).cast("double")).isNull()
+    unlabelled = F.col("n_labels").isNull()
     return stored(own.select(
-        F.col("__s").alias("stratum"), "__n", none.alias("borrowed"),
-        *[F.when(none, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in names]),
+        F.col("__s").alias("stratum"), "__n", F.coalesce("n_labels", F.lit(0)).alias("n_labels"),
+        (unlabelled | F.col("borrowed")).alias("borrowed"),
+        *[F.when(unlabelled, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in names]),
         "quality-strata")
 
 
@@ -212,19 +233,20 @@ def rejected_by(rules: Mapping = RULES) -> Column:
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str | None = "lang",
           rules: Mapping = RULES, risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """The verdict on every document: the counts of ``measured``, base_failed, kept and
-    rejected_by (the rules that reject it).
+    """The verdict on every document: the counts of ``measured``, base_failed, kept, rejected_by (the
+    rules that reject it), and its stratum's n_labels and whether it ``borrowed`` its cutoffs.
 
     ``docs`` needs doc_id, text and the stratum's column, ``labels`` doc_id and quality (1: clean);
-    other columns are ignored, whatever their names. NULL strata form a stratum; a stratum without
-    enough labels borrows the cutoffs of all strata together. NULL and empty texts fail the base rules
+    other columns are ignored, whatever their names. NULL strata form a stratum; a stratum whose
+    labels do not suffice for a cutoff borrows those of all strata together that they do not
+    contradict. NULL and empty texts fail the base rules
     (no words). Rows with a repeated doc_id are judged one by one. Without documents the result is
     empty; without labels it holds the base verdicts.
     """
     needed = docs.select("doc_id", "text", *([stratum] if stratum else []))
     feats = stored(measured(needed, stratum).select("doc_id", "__f.*"), "quality-features")
     table = strata(feats, labels, rules, risk, error)
-    joined = join_groups(feats, table, "stratum", "__n").drop("__n", "borrowed")
+    joined = join_groups(feats, table, "stratum", "__n").drop("__n")
     return joined.withColumn("base_failed", base_failed()).withColumn(
         "rejected_by", rejected_by(rules)).withColumn(
         "kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))

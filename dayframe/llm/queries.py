@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (codes, common, lm, mixing, neardup, pieces, pii, quality, repeats, runs, shards,
-               tokens, topk, warc)
+               sql, tokens, topk, warc)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +47,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                          "n_repeat_words", "base_failed", "kept",
-                         F.array_join("rejected_by", ",").alias("rejected_by"))
+                         F.array_join("rejected_by", ",").alias("rejected_by"), "borrowed",
+                         "n_labels")
 
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,6 +133,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op7_warc": sql.OP7,
+    "op8_topk": sql.OP8,
+    "op10_near_duplicates": sql.OP10,
     "op12_repeats": repeats.sql(35),
     "op13_codes": codes.sql(),
 }

@@ -14,7 +14,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import filesystem, join_groups, shared_path, stored
@@ -221,8 +221,10 @@ def read_records(manifest: DataFrame, batch_bytes: int = 4 << 20) -> DataFrame:
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One nested row per capture: request, response and metadata, structs of the records' other
-    columns (NULL where a capture lacks one), joined through WARC-Concurrent-To.
+    """One nested row per capture: request and response, structs of the records' other columns (NULL
+    where a capture lacks one), and metadata, an array of such structs by record_id, joined through
+    WARC-Concurrent-To. Two requests, or two responses, of one capture raise an error: which of
+    them belongs to it cannot be told.
 
     A record belongs to the record that it names, or to the one that that names in turn (metadata
     that name a response that names its request); records that name none start a capture.
@@ -237,10 +239,19 @@ def captures(records: DataFrame) -> DataFrame:
     rows = rows.join(named.hint("merge"), F.col("__names") == F.col("__rid"), "left")
     key = F.coalesce("__next", "__names", "record_id")
     cols = [c for c in records.columns if c != "concurrent_to"]
-    part = lambda *kinds: F.min(F.when(F.col("type").isin(*kinds), F.struct(*cols)))
+    def of(*kinds: str) -> Column:
+        return F.when(F.col("type").isin(*kinds), F.struct(*cols))
+
+    def one(what: str, *kinds: str) -> Column:
+        return F.when(F.count(of(*kinds)) > 1, F.raise_error(F.concat(
+            F.lit(f"two {what}s in the capture of "), F.min("record_id")))).otherwise(
+            F.min(of(*kinds)))
+
+    # a capture's own records: as many as its archive's writer gave it
     return rows.groupBy(key.alias("capture_id")).agg(
-        part("request").alias("request"), part("response", "revisit").alias("response"),
-        part("metadata").alias("metadata"))
+        one("request", "request").alias("request"),
+        one("response", "response", "revisit").alias("response"),
+        F.sort_array(F.collect_list(of("metadata"))).alias("metadata"))
 
 
 def resolved(found: DataFrame) -> DataFrame:
@@ -248,7 +259,7 @@ def resolved(found: DataFrame) -> DataFrame:
 
     Responses that many revisits name are joined by broadcast (see ``join_groups``).
     """
-    page = F.get(F.filter(F.col("metadata.fields"), lambda f: f["name"] == "page-id"),
+    page = F.get(F.filter(F.flatten("metadata.fields"), lambda f: f["name"] == "page-id"),
                  F.lit(0))["value"].cast("long")
     rows = stored(found.withColumn("page_id", page), "warc-captures")
     again = rows.where("response.type = 'revisit'").withColumn("names", F.col("response.refers_to"))

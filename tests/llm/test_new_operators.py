@@ -277,11 +277,11 @@ def test_codes_without_rows_and_of_unequal_vectors(spark):
 
 # --- registered SQL ------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("name", ["op12_repeats", "op13_codes"])
+@pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_its_sql(spark, name):
     folder = "/root/testdata/sf0.001"
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet')")
     cur = con.execute(queries.SQL[name])
     got = queries.QUERIES[name](spark, folder)

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pytest
 from pyspark.sql import functions as F
 
 from dayframe.llm import (lm, mixing, neardup, pieces, pii, quality, shards, tokens, topk, warc)
@@ -236,6 +237,101 @@ def test_quality_rules_reach_small_and_unlabelled_strata(spark):
     assert quality.keep(docs, docs.where("quality = 1")).where("quality = 0").count() == 0
 
 
+def brute_allowed(n, risk, error):
+    """The largest k with P(Binomial(n, risk) <= k) <= error, -1 if there is none."""
+    k, term, total = -1, (1 - risk) ** n, (1 - risk) ** n
+    while n and total <= error and k < n:
+        k += 1
+        term *= (n - k) / (k + 1) * risk / (1 - risk)
+        total += term
+    return k
+
+
+def brute_cutoffs(held, rules, risk, error):
+    """Number of cutoffs of each rule by stratum: held maps a stratum to its documents' statistics."""
+    groups = (1 + len(held)) * 2
+    pool = [f for fs in held.values() for f in fs]
+    turns = sorted(((r, i) for r, cuts in rules.items() for i in range(len(cuts))), key=lambda x: x[1])
+
+    def tests(docs, joint_limit, apart_limit):
+        joint, latest = 0, {}
+        for r, i in turns:
+            latest[r] = i
+            if sum(any(f[x] > rules[x][j] for x, j in latest.items()) for f in docs) > joint_limit:
+                break
+            joint += 1
+        apart = {}
+        for r, cuts in rules.items():
+            bad = [sum(f[r] > c for f in docs) > apart_limit for c in cuts] + [True]
+            apart[r] = bad.index(True)
+        return joint, apart
+
+    def own(docs):
+        n = len(docs)
+        return tests(docs, brute_allowed(n, risk, error / groups),
+                     brute_allowed(n, risk / len(rules), error / groups / len(rules)))
+
+    def chosen(joint, apart, is_apart):
+        if is_apart:
+            return apart
+        return {r: sum(x == r for x, _ in turns[:joint]) for r in rules}
+
+    pj, pa = own(pool)
+    out = {None: chosen(pj, pa, sum(pa.values()) > pj)}
+    for s, docs in held.items():
+        j, a = own(docs)
+        is_apart = sum(a.values()) > j
+        if j == 0 and sum(a.values()) == 0:
+            uj, ua = tests(docs, len(docs) * risk, len(docs) * risk / len(rules))
+            j, a = min(pj, uj), {r: min(pa[r], ua[r]) for r in rules}
+            is_apart = sum(pa.values()) > pj
+        out[s] = chosen(j, a, is_apart)
+    return out
+
+
+def test_quality_cutoffs_equal_brute_force(spark):
+    """Jointly, apart and borrowed: the rules' cutoffs of strata of many sizes and kinds."""
+    rng = np.random.default_rng(9)
+    rules = {"symbols": ("n_symbols / nullif(n_words, 0)", (2.0, 1.0, 0.5, 0.25)),
+             "capitals": ("n_capitals / nullif(word_chars, 0)", (0.9, 0.5, 0.3)),
+             "long_words": ("word_chars / nullif(n_words, 0)", (30.0, 15.0))}
+    kinds = {"a": (3000, 0.001, 0.001), "b": (900, 0.004, 0.0), "c": (400, 0.0, 0.0),
+             "d": (250, 1.0, 0.0), "e": (60, 0.0, 0.3), "f": (1500, 0.02, 0.03), "g": (5, 0.0, 0.0)}
+    rows, held = [], {}
+    for s, (n, p_symbols, p_capitals) in kinds.items():
+        for _ in range(n):
+            words, symbols = 100, int(rng.integers(20, 260)) if rng.random() < p_symbols else 0
+            chars = 100 * int(rng.integers(4, 9))
+            capitals = int(chars * rng.random()) if rng.random() < p_capitals else 0
+            rows.append((len(rows), s, words, chars, symbols, capitals))
+            held.setdefault(s, []).append({"symbols": symbols / words, "capitals": capitals / chars,
+                                           "long_words": chars / words})
+    feats = spark.createDataFrame(rows, "doc_id long, stratum string, n_words long, word_chars long, "
+                                        "n_symbols long, n_capitals long").withColumn(
+        "n_repeat_words", F.lit(0).cast("long"))
+    labels = feats.select("doc_id", F.lit(1).alias("quality"))
+    got = {r.stratum: r for r in quality.cutoffs(feats, labels, rules).collect()}
+    expected = brute_cutoffs(held, {r: cuts for r, (_, cuts) in rules.items()}, quality.RISK,
+                             quality.ERROR)
+    for s, numbers in expected.items():
+        assert {r: got[s][f"cut_{r}"] for r in rules} == {
+            r: rules[r][1][k - 1] if k else None for r, k in numbers.items()}, s
+    assert got["d"].borrowed and got["d"].cut_symbols is None and got["d"].n_labels == 250
+    assert got["g"].borrowed and not got["a"].borrowed
+
+
+def test_quality_does_not_borrow_against_a_stratums_own_labels(spark):
+    """Clean code full of symbols stays, whatever the other strata's cutoffs are."""
+    rows = [(i, " ".join(f"w{j * (i + 3) % 97}" for j in range(40)), "en", 1) for i in range(4000)]
+    rows += [(10_000 + i, " ".join(f"w{j}{'#' * 2}" for j in range(40)), "code", 1) for i in range(200)]
+    rows += [(20_000 + i, " ".join(f"w{j}###" for j in range(40)), "en", 0) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    got = quality.judge(docs, docs.where("quality = 1").select("doc_id", "quality"))
+    assert got.where("doc_id >= 20000 and kept").count() == 0
+    code = got.where("doc_id between 10000 and 19999")
+    assert code.where("kept").count() >= 0.98 * code.count() and code.where("borrowed").count() == 200
+
+
 def test_pieces(docs, empty):
     import sentencepiece
     path = public_tokenizers.path("piece_bpe_32k.model")
@@ -289,6 +385,18 @@ def test_warc(spark):
                          "revisit" if again else "response", 9 if again else None))
     assert order(rows_of(got)) == order(expected)
     assert found.where("request is null or metadata is null").count() == 0
+    # a second metadata record is kept, a second response is an error
+    one = records.drop("payload").where("type = 'metadata'").limit(1).withColumn(
+        "record_id", F.lit("<urn:uuid:second>")).withColumn("fields", F.array(F.struct(
+            F.lit("note").alias("name"), F.lit("later").alias("value"))))
+    whole = records.drop("payload")
+    more = warc.captures(whole.unionByName(one.select(whole.columns)))
+    assert more.where(F.size("metadata") == 2).count() == 1
+    assert more.where(F.size("metadata") != 2).count() == whole.where("type = 'metadata'").count() - 1
+    twice = whole.unionByName(whole.where("type = 'response'").limit(1).withColumn(
+        "record_id", F.lit("<urn:uuid:other>")).select(whole.columns))
+    with pytest.raises(Exception, match="two responses"):
+        warc.captures(twice).collect()
     none = warc.read_records(warc.write_archives(pages.where("1 = 0")))
     assert warc.resolved(warc.captures(none)).count() == 0
 
