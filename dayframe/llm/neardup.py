@@ -40,7 +40,7 @@ PERCENT = 75
 BLOCK = 400  # classes of a family compared at a time
 CACHE_WORDS = 1 << 20
 
-SKETCH = "doc_id long, thash long, n_shingles long, fp binary, sig array<int>"
+SKETCH = "doc_id long, thash long, n_shingles long, fp binary, sig array<long>"
 SETS = "c long, shingles array<long>"
 
 
@@ -98,10 +98,11 @@ class Shingler:
 
 
 def signatures(sets: list[np.ndarray], k: int = COORDINATES, step: int = 1 << 14) -> np.ndarray:
-    """k MinHash values (32 bits) of each non-empty set: the smallest product with each of k odd
-    multipliers. Sets are handled about ``step`` hashes at a time, to stay in the caches."""
+    """k MinHash values of each non-empty set: the smallest product with each of k odd multipliers.
+    All 64 bits are kept: with fewer, the small values of many millions of sets would meet by
+    chance. Sets are handled about ``step`` hashes at a time, to stay in the caches."""
     factors = _odd(k)
-    out = np.empty((len(sets), k), np.uint32)
+    out = np.empty((len(sets), k), np.uint64)
     i = 0
     while i < len(sets):
         j, total = i + 1, len(sets[i])
@@ -112,7 +113,7 @@ def signatures(sets: list[np.ndarray], k: int = COORDINATES, step: int = 1 << 14
         sizes = np.array([len(s) for s in sets[i:j]])
         starts = np.cumsum(sizes) - sizes
         for f in range(k):
-            out[i:j, f] = np.minimum.reduceat(every * factors[f], starts) >> np.uint64(32)
+            out[i:j, f] = np.minimum.reduceat(every * factors[f], starts)
         i = j
     return out
 
@@ -136,13 +137,13 @@ def sketches(docs: DataFrame, width: int = WIDTH, k: int = COORDINATES) -> DataF
             sig: list = [None] * len(sets)
             for i, row in zip(full, signatures([sets[i] for i in full], k) if full else (),
                               strict=True):
-                sig[i] = row.view(np.int32)
+                sig[i] = row.view(np.int64)
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.int64()), pa.array(hashes, pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                          pa.binary()),
-                pa.array(sig, pa.list_(pa.int32()))],
+                pa.array(sig, pa.list_(pa.int64()))],
                 names=["doc_id", "thash", "n_shingles", "fp", "sig"])
 
     text = text_or_empty()
@@ -170,8 +171,9 @@ def components(edges: DataFrame) -> DataFrame:
         # large: hang larger neighbours on the smallest one; small: hang smaller ones and oneself
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         sides = both if large else both.where("b < a")
-        low = sides.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        joined = sides.join(low, "a")
+        low = stored(sides.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"),
+                                            F.count("*").alias("n")), "cc-low")
+        joined = join_groups(sides, low, "a", "n")  # a hub has an edge to each of its component
         if large:
             out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:
@@ -201,10 +203,10 @@ def _same(a: str, b: str) -> Column:
 
 
 def prefixes(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
-    """(c, key): the postings of the prefixes. ``key`` holds coordinate and value."""
+    """(c, key): the postings of the prefixes. ``key`` is a 64-bit hash of coordinate and value; two
+    that share it by chance only make a prefix longer."""
     posted = classes.select("c", F.posexplode("sig").alias("coordinate", "value")).select(
-        "c", F.shiftleft(F.col("coordinate").cast("long"), 32).bitwiseOR(
-            F.col("value").cast("long").bitwiseAND(0xFFFFFFFF)).alias("key"))
+        "c", F.xxhash64("coordinate", "value").alias("key"))
     shared = posted.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     lists = posted.join(shared, "key").groupBy("c").agg(
         F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))  # COORDINATES at most
@@ -215,17 +217,19 @@ def prefixes(classes: DataFrame, matches: int = MATCHES) -> DataFrame:
 
 def _star_pairs(posts: DataFrame, seed: int = 1) -> DataFrame:
     """Every member of a list with the list's pivot, each pair once."""
-    pivots = posts.groupBy("key").agg(F.min_by("c", F.xxhash64("c", "key", F.lit(seed))).alias("p"))
-    both = posts.join(pivots, "key").where("c <> p")
+    pivots = stored(posts.groupBy("key").agg(F.min_by("c", F.xxhash64("c", "key", F.lit(seed))).alias(
+        "p"), F.count("*").alias("n")), "near-pivots")
+    both = join_groups(posts, pivots, "key", "n").where("c <> p")
     return both.select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
 
 
 def _families(posts: DataFrame, labels: DataFrame) -> DataFrame:
     """(c, label, family) of the classes in lists that hold several components."""
-    rows = _labelled(posts, labels)
-    mixed = rows.groupBy("key").agg(F.min("c").alias("first"), F.min("label").alias("low"),
-                                    F.max("label").alias("high")).where("low < high")
-    edges = rows.join(mixed, "key").select("first", "c", "label")
+    rows = stored(_labelled(posts, labels), "near-labelled")
+    mixed = stored(rows.groupBy("key").agg(
+        F.min("c").alias("first"), F.min("label").alias("low"), F.max("label").alias("high"),
+        F.count("*").alias("n")).where("low < high"), "near-mixed")
+    edges = join_groups(rows, mixed, "key", "n").select("first", "c", "label")
     found = components(edges.select(F.col("first").alias("a"), F.col("c").alias("b")))
     return found.select(F.col("node").alias("c"), F.col("label").alias("family")).join(
         edges.select("c", "label").distinct(), "c")
@@ -311,9 +315,15 @@ def _labelled(posts: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _agreeing(pairs: DataFrame, classes: DataFrame, matches: int, percent: int) -> DataFrame:
     """Pairs whose signatures agree often enough and whose sizes allow the similarity."""
-    side = lambda c, sig, n: classes.select(F.col("c").alias(c), F.col("sig").alias(sig),  # noqa: E731,E501
-                                            F.col("n_shingles").alias(n))
-    both = pairs.join(side("b", "b_sig", "b_n"), "b").join(side("a", "a_sig", "a_n"), "a")
+    def attached(rows: DataFrame, c: str) -> DataFrame:
+        # a pivot of long lists is in very many pairs
+        times = rows.groupBy(F.col(c).alias("__c")).agg(F.count("*").alias("__times"))
+        side = classes.select(F.col("c"), F.col("sig").alias(f"{c}_sig"), F.col("n_shingles").alias(
+            f"{c}_n")).join(times, F.col("c") == F.col("__c")).drop("__c")
+        return join_groups(rows, stored(side.withColumnRenamed("c", c), "near-sides"), c,
+                           "__times").drop("__times")
+
+    both = attached(stored(attached(pairs, "b"), "near-halves"), "a")
     near = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
     return both.where(near).where(_same("a_sig", "b_sig") >= matches).select("a", "b")
 
@@ -353,7 +363,8 @@ def links(docs: DataFrame, sketched: DataFrame, classes: DataFrame, width: int,
     repeated = sketched.groupBy("doc_id", "thash").agg(F.count("*").alias("n")).where(
         "n > 1").limit(1).count() > 0
     sets = stored(_sets(docs, active, width, repeated), "near-sets")
-    pairs = stored(_agreeing(_star_pairs(posts), classes, matches, percent), "near-pairs")
+    met = stored(_star_pairs(posts), "near-met")
+    pairs = stored(_agreeing(met, classes, matches, percent), "near-pairs")
     found = stored(_confirmed(pairs, sets, percent), "near-links")
     labels = stored(components(found), "near-labels")
     families = stored(_families(posts, labels), "near-families")
