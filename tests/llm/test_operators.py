@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -637,7 +638,7 @@ def test_lm_learns(spark):
         rows.append((i, " ".join(line)))
     path = public_tokenizers.path("word_bpe_49k.json")
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
-    held = lm.score(df, path, rate=2e-2, periods=(lm.STRETCH * 2, lm.STRETCH)).where("held_out")
+    held = lm.score(df, path, rate=2e-2).where("held_out")
     s = held.agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()
     assert s.s > 0.75 * s.b  # the order of words helps; word counts cannot see it
 
@@ -651,15 +652,6 @@ def test_most_frequent_takes_whole_frequencies_within_the_limit(spark):
     assert lm.most_frequent(df.limit(0), "uses", 5).count() == 0
 
 
-def test_stretches_hold_whole_words_only():
-    text = " ".join(f"w{i:04d}" for i in range(500)).encode()
-    words = set(text.split())
-    for offset in range(0, 400, 7):
-        got = lm.stretches(text, 400, offset)
-        assert got and set(got) <= words and len(got) <= (len(text) // 400 + 2) * lm.STRETCH / 5
-    assert lm.stretches(b"a b", 400, 0) == [b"a", b"b"] and lm.stretches(b"", 400, 0) == []
-
-
 def test_lm_trains_on_every_token():
     enc = tokens.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
     for sizes in ((3, 0, 700, 40, 5000, 1), (2, 0), (31,), (32, 31), (511,), (512,), (0,)):
@@ -667,14 +659,41 @@ def test_lm_trains_on_every_token():
         ids, counts = enc.encode(texts)
         stream = [enc.vocabulary, *tokens.with_end(ids, counts, enc.vocabulary).tolist()]
         want = list(zip(stream, stream[1:], strict=False))
-        slices = [([0], [t]) for t in texts]
-        for period in lm.PERIODS:
+        ends = np.cumsum(counts + 1)
+        whole = np.array(stream[1:])
+        streams = [whole[e - n - 1:e] for e, n in zip(ends, counts, strict=True)]
+        packed = pa.array([x.astype("<u4").tobytes() for x in streams], pa.binary())
+        back, sizes_back = lm.unpacked(packed)
+        assert back.tolist() == stream[1:] and sizes_back.tolist() == (counts + 1).tolist()
+        for windows in (16, lm.WINDOWS):
             parts = [(a.ravel().tolist(), b.ravel().tolist()) for a, b in lm.training_windows(
-                slices, enc, period, 32)]
+                streams, 32, enc.vocabulary, windows)]
             got = [x for a, b in parts for x in zip(a, b, strict=True)]
             assert not Counter(want) - Counter(got) and len(got) < len(want) + 32
 
 
+def test_lm_probabilities_are_exact_beyond_the_limit():
+    """Large attention scores and logits, up and down: the scorer gives the softmax, not a cut one."""
+    rng = np.random.default_rng(3)
+    for bias, size in (([70.0, 90.0, -300.0, 0.0], 1.0), ([-500.0, -520.0, -510.0, -505.0], 1.0),
+                       ([0.0] * 4, 40.0)):
+        p = {n: v.astype(np.float64) for n, v in lm.initial(5, 4, 3, 8, np.ones(4) / 4).items()}
+        p["b"], p["Q"], p["K"] = np.array(bias), p["Q"] * size, p["K"] * size
+        q = {n: v.astype(np.float32) for n, v in p.items()}
+        symbols, classes = rng.integers(0, 5, 20), rng.integers(0, 4, 20)
+        got = lm.Scorer.of(q, 4).texts(symbols, classes, np.array([20]), 5, 4)[0]
+        total, inputs = 0.0, [5] * 5 + symbols.tolist() + [5] * 8
+        for t in range(20):
+            j, place = t // 4 * 4, 4 + t % 4
+            h = p["E"][inputs[j:j + 8]] + p["P"]
+            x = h[place] @ p["Q"] @ (h[:place + 1] @ p["K"]).T / np.sqrt(3)
+            att = np.exp(x - x.max()) / np.exp(x - x.max()).sum()
+            logits = p["D"][inputs[j + place]] + p["b"] + (
+                h[place] + att @ (h[:place + 1] @ p["V"]) @ p["O"]) @ p["U"]
+            total += logits[classes[t]] - logits.max() - np.log(np.exp(logits - logits.max()).sum())
+        assert math.isclose(got, total, rel_tol=1e-4, abs_tol=1e-4)
+
+
 def test_lm_learns_from_short_documents_by_default(spark):
     parts = ["the", "cat", "sat", "on", "mat", "dog", "ran", "far"]
     rows = [(i, " ".join(parts[(i + j) % 8] for j in range(60))) for i in range(2000)]
