@@ -663,8 +663,10 @@ def test_lm_trains_on_every_token():
         whole = np.array(stream[1:])
         streams = [whole[e - n - 1:e] for e, n in zip(ends, counts, strict=True)]
         packed = pa.array([x.astype("<u4").tobytes() for x in streams], pa.binary())
-        back, sizes_back = lm.unpacked(packed)
-        assert back.tolist() == stream[1:] and sizes_back.tolist() == (counts + 1).tolist()
+        for limit in (1, 700, lm.STEP_TOKENS):
+            back = list(lm.unpacked(packed, limit))
+            assert np.concatenate([x for x, _ in back]).tolist() == stream[1:]
+            assert np.concatenate([n for _, n in back]).tolist() == (counts + 1).tolist()
         for windows in (16, lm.WINDOWS):
             parts = [(a.ravel().tolist(), b.ravel().tolist()) for a, b in lm.training_windows(
                 streams, 32, enc.vocabulary, windows)]
