@@ -1,17 +1,16 @@
 """SentencePiece encoding and decoding with the tokenizers library.
 
-The model file (a protocol buffer) is parsed here; its pieces, scores, normaliser and byte fallback
-are rebuilt as a tokenizers model (BPE or unigram). Where no piece continues behind a word
-boundary, a text's ids are its chunks' ids (a run of spaces with what follows), and each distinct
-chunk is encoded once. Every text can be verified against the sentencepiece library.
+The model file (a protocol buffer) is parsed here; its normaliser, boundary marks, pieces, scores
+and byte fallback are rebuilt as a tokenizers pipeline (BPE or unigram) that takes whole texts, in
+batches and with several threads. Every text can be verified against the sentencepiece library.
 """
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty
-from .tokens import WordEncoder, text_slices
+from .tokens import text_slices
 
 MARK = "▁"
 # Piece and model types of the format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-CHUNK = re.compile(rb" +[^ ]*|^[^ ]+")
+PART = 1 << 16  # bytes after which a text is cut at a word boundary, where that changes no id
 
 
 def fields(raw: bytes):
@@ -86,36 +85,53 @@ def parse_model(raw: bytes) -> Model:
     return m
 
 
-def backend(m: Model):
-    """The pieces as a tokenizers model, without normaliser (see ``PieceEncoder.normalised``)."""
+def normaliser(m: Model, first: bool = True):
+    """The model's normaliser as a tokenizers one: character map, spaces, boundary marks. Only the
+    ``first`` part of a text gets the mark in front."""
+    from tokenizers import Regex, normalizers as n
+    steps = [n.Precompiled(m.charsmap)] if m.charsmap else []
+    if m.collapse_spaces:
+        steps += [n.Replace(MARK, " "), n.Replace(Regex(" +"), " "), n.Replace(Regex("^ | $"), "")]
+    if m.dummy_prefix and first:
+        steps.append(n.Prepend(MARK))  # an empty text stays empty
+    return n.Sequence([*steps, n.Replace(" ", MARK)])
+
+
+def backend(m: Model, first: bool = True):
+    """The model as a tokenizers pipeline for whole texts (or for parts behind the ``first``)."""
     from tokenizers import Tokenizer, models
     if m.kind == UNIGRAM:
-        return Tokenizer(models.Unigram([(p, s) for p, s, _ in m.pieces], m.unknown,
+        made = Tokenizer(models.Unigram([(p, s) for p, s, _ in m.pieces], m.unknown,
                                         m.byte_fallback))
-    ids = {p: i for i, (p, _, _) in enumerate(m.pieces)}
-    merges = []
-    for i, (p, score, kind) in enumerate(m.pieces):
-        if kind in (NORMAL, USER):
-            merges += [(-score, i, ids[p[:k]], p[:k], p[k:]) for k in range(1, len(p))
-                       if p[:k] in ids and p[k:] in ids]
-    merges.sort()
-    return Tokenizer(models.BPE(ids, [(a, b) for *_, a, b in merges], fuse_unk=True,
-                                unk_token=m.pieces[m.unknown][0], byte_fallback=m.byte_fallback))
-
-
-class PieceEncoder(WordEncoder):
-    """Encodes and decodes whole texts with a SentencePiece model."""
+    else:
+        ids = {p: i for i, (p, _, _) in enumerate(m.pieces)}
+        merges = []
+        for i, (p, score, kind) in enumerate(m.pieces):
+            if kind in (NORMAL, USER):
+                merges += [(-score, i, ids[p[:k]], p[:k], p[k:]) for k in range(1, len(p))
+                           if p[:k] in ids and p[k:] in ids]
+        merges.sort()
+        made = Tokenizer(models.BPE(
+            ids, [(a, b) for *_, a, b in merges], fuse_unk=True,
+            unk_token=m.pieces[m.unknown][0], byte_fallback=m.byte_fallback))
+    made.normalizer = normaliser(m, first)
+    return made
+
+
+class PieceEncoder:
+    """Encodes and decodes whole texts with a SentencePiece model.
+
+    A long text is handed over in parts of about ``PART`` bytes, cut before a space, so that memory
+    and threads don't depend on it. This is done only where it changes no id: no piece continues
+    behind a boundary mark, spaces are kept as they are, and there is no character map.
+    """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, part: int = PART):
         with open(path, "rb") as f:
             m = self.spec = parse_model(f.read())
-        self._use(backend(m))
-        self.by_chunk = m.byte_fallback and all(
-            MARK not in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER))
-        self.normaliser = None
-        if m.charsmap:
-            from tokenizers import normalizers
-            self.normaliser = normalizers.Precompiled(m.charsmap)
+        self.whole, self.rest = backend(m), backend(m, first=False)
+        self.part = part if m.byte_fallback and not m.charsmap and not m.collapse_spaces and all(
+            MARK not in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER)) else None
         spell = [self._bytes(p, kind) for p, _, kind in m.pieces]
         self.piece_sizes = np.array([len(x) for x in spell], np.int64)
         self.piece_starts = np.cumsum(self.piece_sizes) - self.piece_sizes
@@ -129,31 +145,32 @@ class PieceEncoder(WordEncoder):
             return " ⁇ ".encode()
         return b"" if kind == CONTROL else piece.replace(MARK, " ").encode()
 
-    def normalised(self, text: bytes) -> bytes:
-        """The text as the model sees it, with plain spaces for the boundary marks."""
-        if self.normaliser is not None:
-            text = self.normaliser.normalize_str(text.decode("utf-8")).encode()
-        text = text.replace(MARK.encode(), b" ")
-        if self.spec.collapse_spaces:
-            text = re.sub(rb" +", b" ", text).strip(b" ")
-        return b" " + text if self.spec.dummy_prefix and text else text
-
-    def _direct_words(self):
-        return None, {}  # see _ids
-
-    def _ids(self, words: list[bytes]) -> tuple[list[int], list[int]]:
-        """Chunks reach the model as they are: there is neither normaliser nor pre-tokenizer."""
-        ids: list[int] = []
-        sizes: list[int] = []
-        for w in words:
-            got = [t.id for t in self.model.tokenize(w.decode("utf-8").replace(" ", MARK))]
-            ids += got
-            sizes.append(len(got))
-        return ids, sizes
-
-    def split(self, text: bytes) -> list[bytes]:
-        text = self.normalised(text)
-        return CHUNK.findall(text) if self.by_chunk else [text] if text else []
+    def _parts(self, text: bytes) -> list[bytes]:
+        """The text cut before a space that follows another character."""
+        if self.part is None or len(text) <= self.part:
+            return [text]
+        out, at = [], 0
+        while at < len(text):
+            cut = text.find(b" ", at + self.part)
+            # inside a run of spaces or behind a mark a piece could reach over the cut
+            while cut > 0 and (text[cut - 1:cut] == b" " or text[cut - 3:cut] == MARK.encode()):
+                cut = text.find(b" ", cut + 1)
+            end = cut if cut > 0 else len(text)
+            out.append(text[at:end])
+            at = end
+        return out
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after the other, and their number per text."""
+        parts = [self._parts(t) for t in texts]
+        heads = self.whole.encode_batch_fast([p[0].decode("utf-8") for p in parts],
+                                             add_special_tokens=False)
+        tails = iter(self.rest.encode_batch_fast(
+            [x.decode("utf-8") for p in parts for x in p[1:]], add_special_tokens=False))
+        ids = [list(chain(h.ids, *(next(tails).ids for _ in p[1:])))
+               for h, p in zip(heads, parts, strict=True)]
+        counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The texts of ids (one after the other; ``counts`` per text), as UTF-8."""
@@ -194,10 +211,10 @@ def encode(docs: DataFrame, model: str, threads: int = 2, verify: bool = True) -
     ``docs`` needs doc_id and text; other columns are ignored, whatever their names. Row by row
     returns doc_id, ids, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit
     integers), parity (the tokenizers ids equal the sentencepiece library's; NULL without
-    ``verify``) and round_trip (the decoded ids are the text). A text without parity gets the
-    sentencepiece library's ids. NULL text is empty and has no ids. Rows with equal doc_id are
+    ``verify``) and round_trip (the decoded ids are the text). A text without parity keeps its
+    tokenizers ids, and the flag says so. NULL text is empty and has no ids. Rows with equal doc_id are
     encoded one by one; an empty table gives an empty result. No shuffle; a task holds about a
-    megabyte of text at a time.
+    megabyte of text at a time, or one longer text.
     """
     def run(batches):
         enc, processor = _encoder(model, threads, verify)
@@ -207,13 +224,8 @@ def encode(docs: DataFrame, model: str, threads: int = 2, verify: bool = True) -
             parity: list = [None] * len(texts)
             if processor is not None:
                 other = processor.encode([t.decode("utf-8") for t in texts], num_threads=threads)
-                parts = [ids[e - n:e] for e, n in zip(ends, counts, strict=True)]
-                checked = [np.array(o, np.int32) for o in other]
-                parity = [np.array_equal(a, b) for a, b in zip(parts, checked, strict=True)]
-                if not all(parity):
-                    ids = np.concatenate(checked)
-                    counts = np.array([len(x) for x in checked])
-                    ends = np.cumsum(counts)
+                parity = [np.array_equal(ids[e - n:e], o) for e, n, o in zip(
+                    ends, counts, other, strict=True)]
             back = enc.decode(ids, counts)
             raw = ids.astype("<u4")
             offsets = np.concatenate([[0], ends]).astype(np.int32)
