@@ -181,7 +181,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), share: float = 1.
 def repeated(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     """The documents with all their columns, each as often as ``copies`` of ``mix`` says.
 
-    Equal rows (doc_id, text and source) share the copies out among them in any order.
+    Rows equal in doc_id, text and source share the copies out among them, in the order of a hash
+    of all their columns, so that reruns agree.
     """
     got = mix(docs, seed=seed, **options)
     taken = stored(got.groupBy(F.col("key").alias("__key"), F.col("source").alias("__source"))
@@ -189,7 +190,8 @@ def repeated(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
     on = (F.col("__h") == F.col("__key")) & F.col("source").eqNullSafe(F.col("__source"))
     rows = docs.withColumn("__h", shuffle_key(seed)).join(taken, on)
     if taken.where(F.size("__copies") > 1).limit(1).count():
-        number = F.row_number().over(Window.partitionBy("__h", "__source").orderBy(F.lit(0)))
+        number = F.row_number().over(Window.partitionBy("__h", "__source").orderBy(
+            F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in docs.columns])))))
         times = F.element_at("__copies", number)
     else:
         times = F.element_at("__copies", 1)

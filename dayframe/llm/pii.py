@@ -3,22 +3,25 @@
 Base detectors find e-mail addresses, IPv4 addresses, payment cards and phone numbers. Each value
 found is an entity to protect. Other terms of a text that holds an entity can give it away as well:
 the corpus says how strongly. With N distinct texts, D(e) of them holding the entity, D(t) the
-term, and J(e, t) both, P(e | t) is the chance of the entity in a text that holds the term, by its
-lower 95% confidence bound: 0.05 ** (1 / J) where J = D(t), else Poisson's for J over D(t). What was
-seen once counts, but less than what was seen often, and no number of texts is required. The term's disclosure of the entity is
+term, and J(e, t) both, the chance that a text with the term holds the entity is judged by leaving
+the text at hand out, with the pooled chance m of rare terms in its place:
 
-    log2(P(e | t) * N / D(e)) / log2(N / D(e))
+    P(e | t) = (J - 1 + m) / D(t)
 
-the point-wise mutual information as a share of the entity's information: 1 means that whoever
-reads the term knows the entity. Terms at ``remove_at`` or more are removed, from
-``generalise_at`` on they are replaced by their kind. All counts are of distinct texts, so copies
-change nothing, and terms count wherever they are in the text.
+m is learnt for each kind of entity from the terms that exactly two texts hold: how often the
+second one holds the entity too, where the first one does. Terms that the same texts hold count
+once for it, so that a pair of similar texts is one observation; it starts at one of two. A term
+seen once beside an entity seen once has the chance m, whatever the size of the corpus.
+
+The term's disclosure of the entity is the point-wise mutual information as a share of the entity's
+information: log2(P(e | t) * N / D(e)) / log2(N / D(e)). Terms with a share of ``share`` or more
+are generalised (replaced by their kind) from P(e | t) = ``generalise_at`` on and removed from
+``remove_at`` on. All counts are of distinct texts, so copies change nothing, and terms count
+wherever they are in the text.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +36,7 @@ CARD = r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 KINDS = ("email", "ip", "card", "phone")
+MASK = "\x01"  # stands for the characters of base spans where terms are read
 BASE_SPAN = "array<struct<kind:string,start:int,end:int,value:string>>"
 
 
@@ -121,15 +125,33 @@ def _is_term(term: Column) -> Column:
     return (F.length(term) >= 3) & term.rlike(r"\p{L}")
 
 
+def masked(text: Column, base: Column) -> Column:
+    """The text with ``MASK`` for every character of a base span but white space: words stay where
+    they are, and those that a span touches can be told."""
+    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        start = F.greatest(acc["at"], s["start"])
+        gap = F.substring(text, acc["at"] + 1, start - acc["at"])
+        hit = F.regexp_replace(F.substring(text, start + 1, F.greatest(s["end"] - start, F.lit(0))),
+                               r"[^\x20\x09-\x0D]", MASK)
+        return F.struct(F.greatest(start, s["end"]).alias("at"),
+                        F.concat(acc["out"], F.array(gap, hit)).alias("out"))
+
+    return F.aggregate(base, state, step, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+
+
 def word_places(texts: DataFrame) -> DataFrame:
-    """Every term of the texts (thash, __text) with its place: thash, term, start, end in code
-    points. One row a word; no array grows with the text."""
+    """Every term of the texts (thash, __text: ``masked``) with its place: thash, term, start, end in
+    code points. Words with ``MASK`` are no terms. One row a word; no array grows with the text."""
     words = texts.select("thash", F.posexplode(F.split(
         "__text", r"(?=[\x20\x09-\x0D])|(?<=[\x20\x09-\x0D])")).alias("pos", "word"))
     before = Window.partitionBy("thash").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.length("word")).over(before), F.lit(0)).cast("int")
-    return words.select("thash", normalised(F.col("word")).alias("term"), start.alias("start"),
-                        F.length("word").alias("__n")).where(_is_term(F.col("term"))).select(
+    return words.select("thash", "word", normalised(F.col("word")).alias("term"), start.alias(
+        "start"), F.length("word").alias("__n")).where(
+        _is_term(F.col("term")) & ~F.contains("word", F.lit(MASK))).select(
         "thash", "term", "start", (F.col("start") + F.col("__n")).alias("end"))
 
 
@@ -148,8 +170,8 @@ def text_terms(docs: DataFrame) -> DataFrame:
         _is_term(F.col("term")))
 
 
-def find(docs: DataFrame, generalise_at: float = 0.6, remove_at: float = 0.9,
-         doubt: float = 1.645) -> DataFrame:
+def find(docs: DataFrame, share: float = 0.6, generalise_at: float = 0.5,
+         remove_at: float = 0.9) -> DataFrame:
     """The spans of every document.
 
     ``docs`` needs doc_id and text; other columns are ignored, whatever their names. Row by row
@@ -161,8 +183,8 @@ def find(docs: DataFrame, generalise_at: float = 0.6, remove_at: float = 0.9,
     text = text_or_empty()
     first = docs.select("doc_id", text.alias("__text"), F.xxhash64(text).alias("thash"))
     found = stored(first.withColumn("base", base_spans(F.col("__text"))).select(
-        "doc_id", "thash", "base", F.when(F.size("base") > 0, F.col("__text")).alias("__text")),
-        "pii-base")
+        "doc_id", "thash", "base", F.when(F.size("base") > 0, masked(F.col("__text"), F.col("base")))
+        .alias("__text")), "pii-base")
     copies = stored(found.groupBy("thash").agg(F.count("*").alias("__n")), "pii-copies")
     n_texts = copies.count()
     holding = stored(found.where(F.size("base") > 0).drop("doc_id").dropDuplicates(["thash"]),
@@ -170,39 +192,37 @@ def find(docs: DataFrame, generalise_at: float = 0.6, remove_at: float = 0.9,
     owned = holding.select("thash", F.explode(F.array_distinct(F.transform("base", _entity)))
                            .alias("entity"))
     # entities that the same texts hold have the same counts with every term: one stands for all
-    entities = stored(owned.join(holders(owned, "entity", "de", "e"), "entity")
-                      .select("thash", "de", "e").distinct(), "pii-entities")
+    entities = stored(owned.join(holders(owned, "entity", "de", "e"), "entity").select(
+        "thash", "de", "e", F.substring_index("entity", ":", 1).alias("about")).distinct(),
+        "pii-entities")
     places = stored(word_places(holding), "pii-words")
     counts = stored(holders(text_terms(docs), "term", "dt", "t"), "pii-term-counts")
     terms = stored(join_groups(places.select("thash", "term").distinct(), counts, "term", "dt"),
                    "pii-terms")
 
-    def disclosure(joint: Column) -> Column:
-        own = F.log2(n_texts / F.col("de"))
-        # Wilson and Hilferty's approximation, ``doubt`` standard deviations below
-        root = F.greatest(1 - 1 / (9 * joint) - doubt / (3 * F.sqrt(joint)), F.lit(0.0))
-        chance = F.when(joint == F.col("dt"), F.pow(F.lit(math.erfc(doubt / math.sqrt(2)) / 2),
-                                                    1 / joint)).otherwise(
-            joint * root * root * root / F.col("dt"))
-        return F.when(own > 0, F.least(F.log2(chance * n_texts / F.col("de")) / F.when(own > 0, own),
-                                       F.lit(1.0)))
-
-    # no pair is held by more texts than its entity or its term: the others cannot get there
+    # no pair is held by more texts than its entity: the others cannot get there. Terms that the
+    # same texts hold are one here, so a text gives a pair for each two different sets of texts
     pairs = stored(terms.select("thash", "dt", "t").distinct().join(entities, "thash").where(
-        disclosure(F.least("de", "dt")) >= generalise_at), "pii-pairs")
-    telling = (pairs.groupBy("de", "e", "dt", "t").agg(F.count("*").alias("joint"))
-               .withColumn("__d", disclosure(F.col("joint"))).where(F.col("__d") >= generalise_at)
-               .select("de", "e", "dt", "t", F.when(F.col("__d") >= remove_at, "removed")
+        (F.least("de", "dt") >= generalise_at * F.col("dt")) | (F.col("dt") == 2)), "pii-pairs")
+    pair = ["de", "e", "about", "dt", "t"]
+    joint = stored(pairs.groupBy(*pair).agg(F.count("*").alias("joint")), "pii-joint")
+    pool = joint.where("dt = 2").groupBy("about").agg(
+        F.sum(F.col("joint") * (F.col("joint") - 1)).alias("again"), F.sum("joint").alias("first"))
+    pooled = (F.coalesce("again", F.lit(0)) + 1) / (F.coalesce("first", F.lit(0)) + 2)
+    own = F.log2(n_texts / F.col("de"))
+    told_share = F.when(own > 0, F.log2(F.col("chance") * n_texts / F.col("de")) / own)
+    telling = (joint.join(F.broadcast(pool), "about", "left")  # one row a kind
+               .withColumn("chance", (F.col("joint") - 1 + pooled) / F.col("dt"))
+               .where((F.col("chance") >= generalise_at) & (told_share >= share))
+               .select(*pair, F.when(F.col("chance") >= remove_at, "removed")
                        .otherwise("generalised").alias("kind")))
-    told = (pairs.join(telling, ["de", "e", "dt", "t"]).groupBy("thash", "dt", "t")
+    told = (pairs.join(telling, pair).groupBy("thash", "dt", "t")
             .agg(F.max("kind").alias("kind")).join(terms, ["thash", "dt", "t"]))
     spans = places.join(told.select("thash", "term", "kind"), ["thash", "term"]).groupBy("thash").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "kind"))).alias("__terms"))
-    spans = holding.select("thash", "base").join(spans, "thash").select("thash", F.transform(
-        F.filter("__terms", lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (
-            t["start"] < s["end"]))), lambda s: F.struct(
-                s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
-                F.lit("").alias("value"))).alias("__spans"))
+    spans = spans.select("thash", F.transform("__terms", lambda s: F.struct(
+        s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
+        F.lit("").alias("value"))).alias("__spans"))
     by_text = stored(copies.join(spans, "thash", "left"), "pii-spans")
     return join_groups(found.drop("__text"), by_text, "thash", "__n").select(
         "doc_id", "thash", "base", F.coalesce("__spans", F.array().cast(BASE_SPAN)).alias("terms"))

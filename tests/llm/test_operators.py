@@ -344,6 +344,33 @@ def test_pieces(docs, empty):
     assert pieces.encode(empty, path).count() == 0
 
 
+@pytest.mark.parametrize("part", [7, 1 << 16])
+def test_pieces_of_texts_in_parts(texts, part):
+    import random
+
+    import sentencepiece
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    rng = random.Random(part)
+    odd = ["".join(rng.choice([" ", "  ", "▁", "ab", "é", "😀", "\n", "the"]) for _ in range(n))
+           for n in (40, 500, 90000)] + ["▁", " ▁ a", "a ▁▁ b", "x" * 300]
+    every = [t or "" for t in texts] + odd
+    enc = pieces.PieceEncoder(path, part)
+    ids, counts = enc.encode([t.encode() for t in every])
+    want = sentencepiece.SentencePieceProcessor(model_file=path).encode(every)
+    assert ids.tolist() == [i for one in want for i in one]
+    assert counts.tolist() == [len(one) for one in want]
+    assert [len(enc._parts(t.encode())) > 1 for t in odd[:3]] == [part == 7, part == 7, True]
+    empty = enc.encode([])
+    assert len(empty[0]) == len(empty[1]) == 0
+
+
+def test_piece_normaliser_collapses_spaces():
+    norm = pieces.normaliser(pieces.Model(collapse_spaces=True)).normalize_str
+    assert [norm(t) for t in ("  a  b▁ c ", "", "  ")] == ["▁a▁b▁c", "", ""]
+    rest = pieces.normaliser(pieces.Model(collapse_spaces=False), first=False).normalize_str
+    assert rest(" a  b") == "▁a▁▁b"
+
+
 def test_piece_model_of_unigrams(tmp_path):
     # a hand-made unigram model: wire format, scores and byte fallback
     import struct
@@ -508,6 +535,103 @@ def test_pii_terms_of_rare_entities_anywhere_in_the_text(spark):
     assert said == {(9000, "zebulon"), (9001, "ottokar")}
 
 
+def brute_entities(t):
+    for kind, a, b in brute_pii(t):
+        value = t[a:b]
+        yield kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value.lower()
+
+
+def brute_places(t):
+    """(term, start, end) of a text's terms, but those that touch a base span or hold \\x01."""
+    spans = brute_pii(t)
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", t or ""):
+        term = re.sub(r"^[\W_]+|[\W_]+$", "", m[0]).lower()
+        if "\x01" not in m[0] and len(term) >= 3 and re.search(r"[^\W\d_]", term) and not any(
+                a < m.end() and m.start() < b for _, a, b in spans):
+            yield term, m.start(), m.end()
+
+
+def brute_terms(source, share=0.6, generalise_at=0.5, remove_at=0.9):
+    """The added spans of every distinct text, from sets of texts alone."""
+    every = {t or "" for t in source}
+    holds_e, holds_t = {}, {}
+    for t in every:
+        for e in brute_entities(t):
+            holds_e.setdefault(e, set()).add(t)
+        for w in SPACE.split(t):
+            holds_t.setdefault(re.sub(r"^[\W_]+|[\W_]+$", "", w).lower(), set()).add(t)
+    near = {(w, e) for t in every for e in brute_entities(t) for w, _, _ in brute_places(t)}
+    again, first = Counter(), Counter()
+    for kind, two, with_e in {(e[0], frozenset(holds_t[w]), frozenset(holds_e[e]))
+                              for w, e in near if len(holds_t[w]) == 2}:
+        joint = len(two & with_e)
+        again[kind] += joint * (joint - 1)
+        first[kind] += joint
+    out = {}
+    for t in every:
+        kinds = {}
+        for w in {w for w, _, _ in brute_places(t)}:
+            for e in brute_entities(t):
+                m = (again[e[0]] + 1) / (first[e[0]] + 2)
+                chance = (len(holds_t[w] & holds_e[e]) - 1 + m) / len(holds_t[w])
+                own = math.log2(len(every) / len(holds_e[e]))
+                if own and chance >= generalise_at and math.log2(
+                        chance * len(every) / len(holds_e[e])) / own >= share:
+                    kind = "removed" if chance >= remove_at else "generalised"
+                    kinds[w] = max(kind, kinds.get(w, ""))
+        out[t] = [(kinds[w], a, b) for w, a, b in brute_places(t) if w in kinds]
+    return out
+
+
+def found_terms(found):
+    return order((r.doc_id, [(s.kind, s.start, s.end) for s in r.terms]) for r in found.collect())
+
+
+def planted_names(n, seed=3):
+    """Texts of frequent and of rare words, a fifth with an address. Every address of ``names`` comes
+    in several texts and always with its owner's name; the others come once, in any text."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        said = [f"word{x}" for x in rng.integers(0, 60, 12)] + [f"rare{x}" for x in rng.integers(
+            0, n, 2)]
+        if i % 5 == 0:
+            said.insert(int(rng.integers(0, 14)), f"u{i}@mail.org")
+        rows.append((i, " ".join(said)))
+    names = {"zebulon": 3, "ottokar": 6, "wilhelmina": 14}
+    for k, (name, times) in enumerate(names.items()):
+        rows += [(10**6 + 100 * k + j, f"{name} of word{j} in word{j + 9}, {name}@home.org; rare{j}")
+                 for j in range(times)]
+    return rows, names
+
+
+def test_pii_terms_equal_brute_force(spark, docs):
+    rows, _ = planted_names(400)
+    rows += [(5000 + (r.doc_id or 900), r.text) for r in docs.collect()]
+    rows += [(7000 + i, f"a@b.cd;e@f.gh (Ümlaut{i % 2}) +12 (3)45 67890 x{'y' * i} 1.2.3.4 tail")
+             for i in range(4)] + [(7100 + i, "mask\x01ed word 1.2.3.4 tail end") for i in range(2)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"share": 0.3, "generalise_at": 0.3, "remove_at": 0.6}):
+        want = brute_terms([t for _, t in rows], **options)
+        assert any(want.values())
+        assert found_terms(pii.find(table, **options)) == order((d, want[t or ""]) for d, t in rows)
+
+
+def test_pii_terms_are_the_planted_ones_in_small_and_large_tables(spark):
+    seen = []
+    for n in (1000, 12000):
+        rows, names = planted_names(n)
+        found = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        text = dict(rows)
+        said = {(text[r.doc_id][s.start:s.end], s.kind) for r in found for s in r.terms}
+        assert {w for w, _ in said} >= set(names)
+        wrong = [w for w, _ in said if w not in names]
+        assert len(wrong) <= 3, wrong
+        seen.append({(r.doc_id, s.start, s.kind) for r in found if r.doc_id >= 10**6
+                     for s in r.terms if text[r.doc_id][s.start:s.end] in names})
+    assert seen[0] == seen[1]
+
+
 def brute_near(rows):
     sets = []
     for _, t in rows:
