@@ -1,12 +1,15 @@
 """SentencePiece encoding and decoding with the tokenizers library.
 
 The model file (a protocol buffer) is parsed here; its normaliser, boundary marks, pieces, scores
-and byte fallback are rebuilt as a tokenizers pipeline (BPE or unigram) that takes whole texts, in
-batches and with several threads. Every text can be verified against the sentencepiece library.
+and byte fallback are rebuilt as a tokenizers pipeline (BPE or unigram) that encodes in batches
+with several threads. Where no piece continues behind a word boundary, a text's ids are its chunks'
+ids (a run of spaces with what follows): new chunks go through the pipeline in one batch, and their
+ids are remembered. Every text can be verified against the sentencepiece library.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from dataclasses import dataclass, field
@@ -18,13 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_or_empty
-from .tokens import text_slices
+from .tokens import WordEncoder, text_slices
 
 MARK = "▁"
 # Piece and model types of the format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-PART = 1 << 16  # bytes after which a text is cut at a word boundary, where that changes no id
+CHUNK = re.compile(rb" +[^ ]*|^[^ ]+")
+PART = 1 << 14  # bytes of new chunks that are handed over as one text
 
 
 def fields(raw: bytes):
@@ -87,7 +91,7 @@ def parse_model(raw: bytes) -> Model:
 
 def normaliser(m: Model, first: bool = True):
     """The model's normaliser as a tokenizers one: character map, spaces, boundary marks. Only the
-    ``first`` part of a text gets the mark in front."""
+    ``first`` chunk of a text gets the mark in front."""
     from tokenizers import Regex, normalizers as n
     steps = [n.Precompiled(m.charsmap)] if m.charsmap else []
     if m.collapse_spaces:
@@ -98,7 +102,7 @@ def normaliser(m: Model, first: bool = True):
 
 
 def backend(m: Model, first: bool = True):
-    """The model as a tokenizers pipeline for whole texts (or for parts behind the ``first``)."""
+    """The model as a tokenizers pipeline for whole texts (or for chunks)."""
     from tokenizers import Tokenizer, models
     if m.kind == UNIGRAM:
         made = Tokenizer(models.Unigram([(p, s) for p, s, _ in m.pieces], m.unknown,
@@ -118,20 +122,22 @@ def backend(m: Model, first: bool = True):
     return made
 
 
-class PieceEncoder:
+class PieceEncoder(WordEncoder):
     """Encodes and decodes whole texts with a SentencePiece model.
 
-    A long text is handed over in parts of about ``PART`` bytes, cut before a space, so that memory
-    and threads don't depend on it. This is done only where it changes no id: no piece continues
-    behind a boundary mark, spaces are kept as they are, and there is no character map.
+    Texts go by chunks if that changes no id: no piece continues behind a boundary mark, spaces are
+    kept as they are, and there is no character map. Else each text goes whole.
     """
 
     def __init__(self, path: str, part: int = PART):
         with open(path, "rb") as f:
             m = self.spec = parse_model(f.read())
-        self.whole, self.rest = backend(m), backend(m, first=False)
-        self.part = part if m.byte_fallback and not m.charsmap and not m.collapse_spaces and all(
-            MARK not in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER)) else None
+        self.part = part
+        self.by_chunk = m.byte_fallback and not m.charsmap and not m.collapse_spaces and all(
+            MARK not in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER))
+        self._use(backend(m, first=not self.by_chunk))
+        self.opens = np.array([p.startswith(MARK) for p, _, _ in m.pieces])
+        self.blank = np.array([not p.strip(MARK) for p, _, _ in m.pieces])
         spell = [self._bytes(p, kind) for p, _, kind in m.pieces]
         self.piece_sizes = np.array([len(x) for x in spell], np.int64)
         self.piece_starts = np.cumsum(self.piece_sizes) - self.piece_sizes
@@ -145,32 +151,52 @@ class PieceEncoder:
             return " ⁇ ".encode()
         return b"" if kind == CONTROL else piece.replace(MARK, " ").encode()
 
-    def _parts(self, text: bytes) -> list[bytes]:
-        """The text cut before a space that follows another character."""
-        if self.part is None or len(text) <= self.part:
-            return [text]
-        out, at = [], 0
-        while at < len(text):
-            cut = text.find(b" ", at + self.part)
-            # inside a run of spaces or behind a mark a piece could reach over the cut
-            while cut > 0 and (text[cut - 1:cut] == b" " or text[cut - 3:cut] == MARK.encode()):
-                cut = text.find(b" ", cut + 1)
-            end = cut if cut > 0 else len(text)
-            out.append(text[at:end])
-            at = end
-        return out
+    def _direct_words(self):
+        return None, {}  # see _ids
+
+    def split(self, text: bytes) -> list[bytes]:
+        text = text.replace(MARK.encode(), b" ")
+        return CHUNK.findall(b" " + text if self.spec.dummy_prefix and text else text)
+
+    def _grouped(self, chunks: list[bytes]) -> list[list[bytes]]:
+        """The chunks in order, in groups of about ``part`` bytes. One without a space in front or
+        without anything behind its spaces is a group of its own."""
+        groups: list[list[bytes]] = []
+        held = self.part
+        for c in chunks:
+            alone = c[:1] != b" " or c[-1:] == b" "
+            if alone or held >= self.part:
+                groups.append([])
+                held = 0
+            groups[-1].append(c)
+            held = self.part if alone else held + len(c)
+        return groups
+
+    def _ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks' ids by one batch. A group is one text: a chunk begins there with a piece that has
+        a boundary mark in front and does not follow another mark."""
+        groups = self._grouped(words)
+        ids, sizes = [np.empty(0, np.int32)], [np.empty(0, np.int64)]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(
+                [b"".join(g).decode("utf-8") for g in groups], add_special_tokens=False), strict=True):
+            got = np.array(e.ids, np.int32)
+            begins = self.opens[got]
+            begins[1:] &= ~self.blank[got[:-1]]
+            at = np.flatnonzero(begins) if len(group) > 1 else np.zeros(1, np.int64)
+            if len(at) != len(group):
+                raise RuntimeError("a piece reaches over a word boundary")
+            ids.append(got)
+            sizes.append(np.diff(at, append=len(got)))
+        return np.concatenate(ids), np.concatenate(sizes)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one text after the other, and their number per text."""
-        parts = [self._parts(t) for t in texts]
-        heads = self.whole.encode_batch_fast([p[0].decode("utf-8") for p in parts],
-                                             add_special_tokens=False)
-        tails = iter(self.rest.encode_batch_fast(
-            [x.decode("utf-8") for p in parts for x in p[1:]], add_special_tokens=False))
-        ids = [list(chain(h.ids, *(next(tails).ids for _ in p[1:])))
-               for h, p in zip(heads, parts, strict=True)]
+        if self.by_chunk:
+            return super().encode(texts)
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(
+            [t.decode("utf-8") for t in texts], add_special_tokens=False)]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter(chain.from_iterable(ids), np.int64, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The texts of ids (one after the other; ``counts`` per text), as UTF-8."""

@@ -344,8 +344,8 @@ def test_pieces(docs, empty):
     assert pieces.encode(empty, path).count() == 0
 
 
-@pytest.mark.parametrize("part", [7, 1 << 16])
-def test_pieces_of_texts_in_parts(texts, part):
+@pytest.mark.parametrize("part", [7, 1 << 14])
+def test_pieces_of_chunks_in_groups(texts, part):
     import random
 
     import sentencepiece
@@ -359,9 +359,12 @@ def test_pieces_of_texts_in_parts(texts, part):
     want = sentencepiece.SentencePieceProcessor(model_file=path).encode(every)
     assert ids.tolist() == [i for one in want for i in one]
     assert counts.tolist() == [len(one) for one in want]
-    assert [len(enc._parts(t.encode())) > 1 for t in odd[:3]] == [part == 7, part == 7, True]
-    empty = enc.encode([])
-    assert len(empty[0]) == len(empty[1]) == 0
+    assert len(enc._grouped([b" ab", b" ", b" cd", b" efgh", b" i"])) == (4 if part == 7 else 3)
+    enc.by_chunk, enc.tokenizer = False, pieces.backend(enc.spec)
+    whole = enc.encode([t.encode() for t in every])
+    assert whole[0].tolist() == ids.tolist() and whole[1].tolist() == counts.tolist()
+    for way in (enc, pieces.PieceEncoder(path)):
+        assert [len(x) for x in way.encode([])] == [0, 0]
 
 
 def test_piece_normaliser_collapses_spaces():
