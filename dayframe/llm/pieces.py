@@ -201,9 +201,11 @@ class PieceEncoder(WordEncoder):
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The texts of ids (one after the other; ``counts`` per text), as UTF-8."""
         sizes = self.piece_sizes[ids]
-        ends = np.cumsum(sizes)
+        ends = np.cumsum(sizes, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
-        where = np.repeat(self.piece_starts[ids] - (ends - sizes), sizes) + np.arange(total)
+        size = np.int32 if total < 1 << 31 else np.int64
+        where = np.repeat((self.piece_starts[ids] - ends + sizes).astype(size), sizes)
+        where += np.arange(total, dtype=size)
         raw = self.piece_bytes[where].tobytes()
         edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].tolist()
         skip = 1 if self.spec.dummy_prefix else 0
@@ -234,8 +236,8 @@ ENCODED = ("doc_id long, ids array<int>, n_tokens long, ids_crc32 long, parity b
 def encode(docs: DataFrame, model: str, threads: int = 2, verify: bool = True) -> DataFrame:
     """Encode every whole text, decode it again, and compare.
 
-    ``docs`` needs doc_id and text; other columns are ignored, whatever their names. Row by row
-    returns doc_id, ids, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit
+    ``threads`` is for the tokenizers batches. ``docs`` needs doc_id and text; other columns are
+    ignored, whatever their names. Row by row returns doc_id, ids, n_tokens, ids_crc32 (of the ids as little-endian unsigned 32-bit
     integers), parity (the tokenizers ids equal the sentencepiece library's; NULL without
     ``verify``) and round_trip (the decoded ids are the text). A text without parity keeps its
     tokenizers ids, and the flag says so. NULL text is empty and has no ids. Rows with equal doc_id are
@@ -249,9 +251,10 @@ def encode(docs: DataFrame, model: str, threads: int = 2, verify: bool = True) -
             ends = np.cumsum(counts)
             parity: list = [None] * len(texts)
             if processor is not None:
-                other = processor.encode([t.decode("utf-8") for t in texts], num_threads=threads)
-                parity = [np.array_equal(ids[e - n:e], o) for e, n, o in zip(
-                    ends, counts, other, strict=True)]
+                other = processor.encode([t.decode("utf-8") for t in texts])
+                flat = ids.tolist()
+                parity = [flat[e - n:e] == o for e, n, o in zip(
+                    ends.tolist(), counts.tolist(), other, strict=True)]
             back = enc.decode(ids, counts)
             raw = ids.astype("<u4")
             offsets = np.concatenate([[0], ends]).astype(np.int32)
