@@ -195,7 +195,9 @@ def find(docs: DataFrame, share: float = 0.6, generalise_at: float = 0.5,
     entities = stored(owned.join(holders(owned, "entity", "de", "e"), "entity").select(
         "thash", "de", "e", F.substring_index("entity", ":", 1).alias("about")).distinct(),
         "pii-entities")
-    places = stored(word_places(holding), "pii-words")
+    # texts are spread before they become words, which then need no shuffle to be numbered
+    n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    places = stored(word_places(holding.repartition(n_parts, "thash")), "pii-words")
     counts = stored(holders(text_terms(docs), "term", "dt", "t"), "pii-term-counts")
     terms = stored(join_groups(places.select("thash", "term").distinct(), counts, "term", "dt"),
                    "pii-terms")
