@@ -41,6 +41,9 @@ ROOT_EDGE, LAST_LEVEL, LEAF = 4.0, 13, 16
 CELL = ["__cx", "__cy", "__cz"]
 # Bounds carry rounding errors of some 1e-16; nothing within this margin is left out.
 SLACK = 1e-9
+# Places meet days in blocks: at most BLOCK_DAYS days of a series and as many of its places as make
+# about BLOCK_ROWS rows. A task has two blocks on average, more beyond MAX_TASKS tasks.
+BLOCK_DAYS, BLOCK_ROWS, MAX_TASKS = 1 << 12, 1 << 17, 1 << 14
 
 
 def start_levels(levels, n_candidates: int):
@@ -281,6 +284,31 @@ def number_all_days(days: DataFrame, source_id: str, day_col: str) -> DataFrame:
         "day_number", (F.col("__before") + place).cast("int")).drop("__day", "__before")
 
 
+def fan_out(places: DataFrame, days: DataFrame) -> DataFrame:
+    """Every place with every day of its series (``__series`` on both sides).
+
+    ``places`` are stored, with an id a row (``__place``) and the number of days of the place's series
+    (``__days``); ``day_number`` counts a series' days from 0. A few series may have all the places, so
+    the rows are dealt to tasks by the number of rows they become, not by series.
+    """
+    n, some = F.count("*"), F.max("__days")
+    sizes = stored(places.groupBy("__series").agg((n * some).alias("__rows"), F.greatest(
+        F.lit(1), F.ceil(some / BLOCK_DAYS)).alias("__blocks"), F.greatest(
+        F.lit(1), F.ceil(n * F.least(some, F.lit(BLOCK_DAYS)) / BLOCK_ROWS)).alias("__chunks")),
+        "proxy-sizes")
+    rows = sizes.agg(F.sum("__rows")).first()[0] or 0
+    tasks = max(1, min(MAX_TASKS, -(-rows // (2 * BLOCK_ROWS))))
+    keys = ["__series", "__block", "__chunk"]
+    left = places.join(sizes, "__series").withColumns({
+        "__chunk": F.pmod(F.xxhash64("__place"), F.col("__chunks")),
+        "__block": F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1))})
+    right = days.join(sizes.select("__series", "__chunks"), "__series").withColumns({
+        "__block": F.floor(F.col("day_number") / BLOCK_DAYS),
+        "__chunk": F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1))})
+    return left.drop("__rows", "__blocks", "__chunks", "__days", "__place").repartition(
+        tasks, *keys).join(right.drop("__chunks").repartition(tasks, *keys), keys).drop(*keys)
+
+
 def proxy_series(atlas: DataFrame, source_map: DataFrame, sources: DataFrame, source_days: DataFrame,
                  atlas_key: str = "s_suppkey", atlas_id: str = "city", atlas_lat: str = "lat",
                  atlas_lon: str = "lon", atlas_region: str = "region",
@@ -301,8 +329,9 @@ def proxy_series(atlas: DataFrame, source_map: DataFrame, sources: DataFrame, so
     phase from a stable hash of the name; rain scales with distance (capped at
     850 km); comfort = clamp(100 - 5.2 |temp - 22| - 7 rain, 0, 100).
     """
-    day = [source_id, day_col, temp_col, rain_col]
-    days = number_days(source_days.select(*day), source_id, day_col)
+    day = source_days.select(source_id, day_col, temp_col, rain_col)
+    days = number_days(day, source_id, day_col).withColumn(
+        "__series", F.concat(F.lit("="), F.col(source_id).cast("string"))).drop(source_id)
     # per-place constants, computed once per place before the fan-out to days
     coast = F.when((F.abs(F.col(atlas_lon)) < 1.0) | F.col(atlas_region).isin(*coast_regions)
                    if coast_regions else (F.abs(F.col(atlas_lon)) < 1.0),
@@ -310,27 +339,27 @@ def proxy_series(atlas: DataFrame, source_map: DataFrame, sources: DataFrame, so
     # stable phase per place: first 32 bits of md5(name) mod 628, over 100
     phase = (F.conv(F.substring(F.md5(F.col(atlas_id).cast("string")), 1, 8), 16, 10).cast("long")
              % 628) / F.lit(100.0)
-    measured = source_days.select(F.col(source_id).alias("__has")).distinct()
+    measured = day.groupBy(F.col(source_id).alias("__has")).agg(F.count("*").alias("__days"))
     located = atlas.join(source_map, atlas_key).join(
         sources.select(source_id, source_name, source_lat), source_id)
-    places = located.join(measured, located[source_id] == measured["__has"], "left").withColumns({
-        "__shift": (F.lit(ref_lat) - F.col(atlas_lat)) * 0.42 + coast
-        + (F.col(source_lat) - F.col(atlas_lat)) * 0.12,
-        "__phase": phase,
-        "__rain_factor": F.lit(1.0) + F.least(F.col("distance_km"), F.lit(850.0)) / 2400.0,
-    })
-    places = stored(places, "proxy-places")  # read for both kinds of places
-    kinds = [places.where("__has is not null").join(days, source_id)]
-    alone = places.where("__has is null")
-    if not alone.isEmpty():
-        every = number_all_days(source_days.select(*day), source_id, day_col).drop(source_id)
-        parts = places.sparkSession.sparkContext.defaultParallelism
-        # all days for each of these places: the days are dealt into as many buckets as there are
-        # tasks, and every place goes to each bucket
-        dealt = every.withColumn("__b", F.pmod("day_number", F.lit(parts)))
-        kinds.append(alone.withColumn("__b", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).join(
-            dealt, "__b").drop("__b"))
-    joined = reduce(lambda a, b: a.unionByName(b), kinds)
+    places = located.join(measured, located[source_id] == measured["__has"], "left").select(
+        *[F.col(c) for c in (atlas_id, atlas_region, atlas_lat, atlas_lon, source_name)],
+        F.concat(F.lit("="), F.col("__has").cast("string")).alias("__series"), "__days",
+        F.monotonically_increasing_id().alias("__place"),
+        ((F.lit(ref_lat) - F.col(atlas_lat)) * 0.42 + coast
+         + (F.col(source_lat) - F.col(atlas_lat)) * 0.12).alias("__shift"),
+        phase.alias("__phase"),
+        (F.lit(1.0) + F.least(F.col("distance_km"), F.lit(850.0)) / 2400.0).alias("__rain_factor"),
+        sql_round(F.col("distance_km"), 0).alias("signal_distance_km"))
+    places = stored(places, "proxy-places")  # read for their sizes and for the fan-out
+    if not places.where("__series is null").isEmpty():
+        # all days for each of these places, as one more series
+        every = number_all_days(day, source_id, day_col).drop(source_id)
+        days = days.unionByName(every.withColumn("__series", F.lit("*")))
+        places = places.withColumns({
+            "__series": F.coalesce("__series", F.lit("*")),
+            "__days": F.coalesce("__days", F.lit(source_days.count()))})
+    joined = fan_out(places, days.withColumn("frame", F.date_format(day_col, "dd MMM")))
     out = joined.withColumns({
         "__t": F.col(temp_col) + F.col("__shift")
         + F.sin(F.col("day_number") * 0.92 + F.col("__phase")) * 0.9,
@@ -340,13 +369,12 @@ def proxy_series(atlas: DataFrame, source_map: DataFrame, sources: DataFrame, so
         F.col(atlas_id).alias("city"), F.col(atlas_region).alias("region"),
         F.col(atlas_lat).alias("lat"), F.col(atlas_lon).alias("lon"),
         F.col(day_col).alias("weather_date"),
-        F.date_format(day_col, "dd MMM").alias("frame"),
-        "day_number",
+        "frame", "day_number",
         sql_round(F.col("__t"), 1).alias("temperature_c"),
         sql_round(F.col("__r"), 1).alias("rain_mm"),
         sql_round(comfort, 1).alias("comfort"),
         F.col(source_name).alias("signal_city"),
-        sql_round(F.col("distance_km"), 0).alias("signal_distance_km"),
+        "signal_distance_km",
         F.greatest(F.lit(7.0), F.lit(13.0) + F.col("__r") * 3.2
                    + F.greatest(F.lit(0.0), F.col("__t") - 25.0) * 0.5).alias("pulse_size"),
     )
