@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, join_groups, stored, text_or_empty
@@ -160,40 +160,41 @@ def _with_hash(batches):
             at += len(ids)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, label): the smallest node reachable over the edges (a, b), for every node of an edge.
+def stars(edges: DataFrame) -> DataFrame:
+    """(a, b): the smallest node b reachable over the edges (a, b), for every other node a.
 
-    Large-star and small-star steps in turn until the edges stay the same: every component ends as
-    a star around its smallest node, after a number of rounds that grows with the logarithm of
-    the component's size. Each step is a grouped minimum (pre-aggregated) and an equi-join.
+    Large-star and small-star steps in turn until every component is a star around its smallest
+    node, after a number of rounds that grows with the logarithm of the component's size. Each
+    step is a minimum over a node's neighbours; a round shuffles three times and writes once.
     """
-    def star(e: DataFrame, large: bool) -> DataFrame:
-        # large: hang larger neighbours on the smallest one; small: hang smaller ones and oneself
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        sides = both if large else both.where("b < a")
-        low = sides.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        joined = sides.join(low, "a")
-        if large:
-            out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(
-                low.select("a", F.col("m").alias("b")))
-        return out.where("a <> b").distinct()
-
-    def state(e: DataFrame):
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-    current = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
-                                                  F.least("a", "b").alias("b")).distinct(), "cc")
-    seen = state(current)
-    while seen[0]:
-        current = stored(star(star(current, True), False), "cc")
-        now = state(current)
-        if now == seen:
-            break
-        seen = now
-    roots = current.select(F.col("b").alias("a")).distinct().withColumn("b", F.col("a"))
-    return current.unionByName(roots).select(F.col("a").alias("node"), F.col("b").alias("label"))
+    def hung(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("m", F.least(F.min("b").over(Window.partitionBy("a")), F.col("a")))
+
+    def large_star(e: DataFrame) -> DataFrame:
+        """Larger neighbours hang on the smallest one."""
+        both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+        return hung(e.select(F.inline(both))).where("b > a").select(
+            F.col("b").alias("a"), F.col("m").alias("b"))
+
+    def small_star(e: DataFrame) -> DataFrame:
+        """Smaller neighbours and the node itself hang on the smallest one."""
+        both = F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")),
+                       F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        return hung(e).select(F.inline(both)).where("a <> b").distinct()
+
+    def settled(e: DataFrame) -> bool:
+        sides = F.array(*[F.struct(F.col(c).alias("node"), F.lit(up).alias("up"), F.lit(1 - up).alias(
+            "down")) for c, up in (("a", 1), ("b", 0))])
+        nodes = e.select(F.inline(sides)).groupBy("node").agg(
+            F.sum("up").alias("up"), F.max("down").alias("down"))
+        return nodes.agg(F.count_if(F.col("up") + F.col("down") > 1)).first()[0] == 0
+
+    current = edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
+                                           F.least("a", "b").alias("b"))
+    while True:
+        current = stored(small_star(large_star(current)), "cc")
+        if settled(current):
+            return current
 
 
 def _same(a: str, b: str) -> Column:
@@ -229,9 +230,9 @@ def _families(posts: DataFrame, labels: DataFrame) -> DataFrame:
         F.min("c").alias("first"), F.min("label").alias("low"), F.max("label").alias("high"),
         F.count("*").alias("n")).where("low < high"), "near-mixed")
     edges = join_groups(rows, mixed, "key", "n").select("first", "c", "label")
-    found = components(edges.select(F.col("first").alias("a"), F.col("c").alias("b")))
-    return found.select(F.col("node").alias("c"), F.col("label").alias("family")).join(
-        edges.select("c", "label").distinct(), "c")
+    found = stars(edges.select(F.col("first").alias("a"), F.col("c").alias("b")))
+    rows = edges.select("c", "label").distinct().join(found, F.col("c") == F.col("a"), "left")
+    return rows.select("c", F.coalesce("b", "c").alias("family"), "label")
 
 
 def _blocks(families: DataFrame, block: int) -> DataFrame:
@@ -294,10 +295,12 @@ def block_links(classes: list[int], labels: list[int], first: np.ndarray,
 
 
 def _family_links(families: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """(a, b): the components that further links join."""
     def run(table: pa.Table) -> pa.Table:
         x, y = table["x"][0].as_py(), table["y"][0].as_py()
+        labels = table["label"].to_pylist()
         found = block_links(
-            table["c"].to_pylist(), table["label"].to_pylist(),
+            labels, labels,
             np.array(table["side"].to_pylist(), bool),
             [s.values.to_numpy() for s in table["shingles"]], x == y, percent)
         return pa.table({"a": pa.array([p[0] for p in found], pa.int64()),
@@ -308,21 +311,19 @@ def _family_links(families: DataFrame, sets: DataFrame, percent: int, block: int
 
 
 def _labelled(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    return posts.join(labels, posts["c"] == labels["node"], "left").select(
-        "c", "key", F.coalesce("label", "c").alias("label"))
+    return posts.join(labels, F.col("c") == F.col("a"), "left").select(
+        "c", "key", F.coalesce("b", "c").alias("label"))
 
 
 def _agreeing(pairs: DataFrame, classes: DataFrame, matches: int, percent: int) -> DataFrame:
-    """Pairs whose signatures agree often enough and whose sizes allow the similarity."""
-    def attached(rows: DataFrame, c: str) -> DataFrame:
-        # a pivot of long lists is in very many pairs
-        times = rows.groupBy(F.col(c).alias("__c")).agg(F.count("*").alias("__times"))
-        side = classes.select(F.col("c"), F.col("sig").alias(f"{c}_sig"), F.col("n_shingles").alias(
-            f"{c}_n")).join(times, F.col("c") == F.col("__c")).drop("__c")
-        return join_groups(rows, stored(side.withColumnRenamed("c", c), "near-sides"), c,
-                           "__times").drop("__times")
-
-    both = attached(stored(attached(pairs, "b"), "near-halves"), "a")
+    """Pairs whose signatures agree often enough and whose sizes allow the similarity.
+
+    A pivot of long lists is in very many pairs; both joins are plain ones, whose skewed
+    partitions Spark splits.
+    """
+    side = lambda c: classes.select(F.col("c").alias(c), F.col("sig").alias(
+        f"{c}_sig"), F.col("n_shingles").alias(f"{c}_n"))
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
     near = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent
     return both.where(near).where(_same("a_sig", "b_sig") >= matches).select("a", "b")
 
@@ -356,19 +357,21 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int, repeated: bool) -> Dat
 
 def links(docs: DataFrame, sketched: DataFrame, classes: DataFrame, width: int, matches: int,
           percent: int, block: int = BLOCK) -> DataFrame:
-    """(node, label): the component of every class that is linked with another class."""
+    """(a, b): the component b of every class a that is linked with another class, but for the
+    components themselves."""
     posts = stored(prefixes(classes, matches), "near-posts")
     active = posts.select("c").distinct().join(classes, "c").select("c", "rep")
     repeated = sketched.groupBy("doc_id", "thash").agg(F.count("*").alias("n")).where(
         "n > 1").limit(1).count() > 0
     sets = stored(_sets(docs, active, width, repeated), "near-sets")
-    met = stored(_star_pairs(posts), "near-met")
-    pairs = stored(_agreeing(met, classes, matches, percent), "near-pairs")
+    pairs = _agreeing(_star_pairs(posts), classes, matches, percent)
     found = stored(_confirmed(pairs, sets, percent), "near-links")
-    labels = stored(components(found), "near-labels")
-    families = stored(_families(posts, labels), "near-families")
-    more = stored(_family_links(families, sets, percent, block), "near-links")
-    return components(found.unionByName(more))
+    first = stars(found)
+    families = stored(_families(posts, first), "near-families")
+    more = stars(_family_links(families, sets, percent, block))
+    moved = more.select(F.col("a").alias("label"), F.col("b").alias("to"))
+    return first.join(moved, F.col("b") == F.col("label"), "left").select(
+        "a", F.coalesce("to", "b").alias("b")).unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, k: int = COORDINATES,
@@ -391,8 +394,8 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, k: int = COORDINATES,
         .withColumn("c", F.monotonically_increasing_id()), "near-classes")
     labels = links(docs, sketched, classes, width, matches, percent)
     named = classes.select("fp", "size", "c", "first", "rep").join(
-        labels, F.col("c") == F.col("node"), "left").withColumn(
-        "label", F.coalesce("label", "c"))
+        labels, F.col("c") == F.col("a"), "left").withColumn(
+        "label", F.coalesce("b", "c"))
     heads = named.groupBy(F.col("label").alias("__label")).agg(
         F.min("first").alias("component_id"), F.min("rep").alias("__head"))
     final = stored(named.join(heads, F.col("label") == F.col("__label")).select(

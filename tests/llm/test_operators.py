@@ -2,6 +2,7 @@
 columns and empty tables."""
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -673,6 +674,31 @@ def test_near_duplicates(docs, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_write_few_tables(spark, docs, monkeypatch):
+    """Every work table and shuffle costs each of its tasks; there were 23 tables here."""
+    wrote = []
+    plain = neardup.stored
+    monkeypatch.setattr(neardup, "stored", lambda df, what: wrote.append(what) or plain(df, what))
+    neardup.near_duplicates(docs).count()
+    assert len(wrote) <= 18, wrote
+
+
+def test_stars_are_components(spark):
+    rng = random.Random(3)
+    chain = [(i, i + 1) for i in range(100, 160)]
+    hub = [(500, i) for i in range(501, 560)] + [(559, 2), (2, 600)]
+    loose = [(rng.randrange(1000, 1100), rng.randrange(1000, 1100)) for _ in range(60)]
+    edges = [p if rng.random() < 0.5 else p[::-1] for p in chain + hub + loose + hub[:9]] + [(7, 7)]
+    low = {x: x for e in edges for x in e}
+    for _ in low:
+        for a, b in edges:
+            low[a] = low[b] = min(low[a], low[b])
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(4)
+    got = [tuple(r) for r in neardup.stars(frame).collect()]
+    assert sorted(got) == sorted((x, m) for x, m in low.items() if x != m)
+    assert neardup.stars(frame.where("a = b")).count() == 0
+
+
 def test_family_blocks_find_every_link():
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 40, 60).astype(np.uint64)
