@@ -30,7 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, join_groups, stored, text_or_empty
+from dayframe.sources.sinks import work_tables
+
+from .common import WORD, join_groups, shared_path, stored, text_or_empty
 from .tokens import text_slices
 
 WIDTH = 5
@@ -230,7 +232,7 @@ def _families(posts: DataFrame, labels: DataFrame) -> DataFrame:
         F.min("c").alias("first"), F.min("label").alias("low"), F.max("label").alias("high"),
         F.count("*").alias("n")).where("low < high"), "near-mixed")
     edges = join_groups(rows, mixed, "key", "n").select("first", "c", "label")
-    found = stars(edges.select(F.col("first").alias("a"), F.col("c").alias("b")))
+    found = stars(edges.select(F.col("first").alias("a"), F.col("c").alias("b")).distinct())
     rows = edges.select("c", "label").distinct().join(found, F.col("c") == F.col("a"), "left")
     return rows.select("c", F.coalesce("b", "c").alias("family"), "label")
 
@@ -414,7 +416,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, k: int = COORDINATES,
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """One document of each component with all its columns: its representative, and one of equal
     rows of it. Texts without words stay."""
-    found = stored(near_duplicates(docs, **options), "near-found")
+    path = shared_path(docs.sparkSession, "near-found")
+    with work_tables(docs.sparkSession):
+        result = near_duplicates(docs, **options)
+        result.write.parquet(path)
+    found = docs.sparkSession.read.schema(result.schema).parquet(path)
     with_words = F.col("n_shingles") > 0
     out = found.where(with_words & ~F.col("head")).select(
         F.col("doc_id").alias("__id"), F.col("thash").alias("__thash")).distinct()

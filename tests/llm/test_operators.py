@@ -683,6 +683,14 @@ def test_near_duplicates_write_few_tables(spark, docs, monkeypatch):
     assert len(wrote) <= 18, wrote
 
 
+def test_deduplicated_leaves_one_work_table(docs, tmp_path, monkeypatch):
+    left = lambda: sorted(p.name[:-33] for p in tmp_path.iterdir())
+    path = lambda _, *parts: str(tmp_path / parts[-1])
+    monkeypatch.setattr("dayframe.sources.sinks.scratch_path", path)
+    monkeypatch.setattr("dayframe.llm.common.scratch_path", path)
+    assert neardup.deduplicated(docs).count() and left() == ["near-found"]
+
+
 def test_stars_are_components(spark):
     rng = random.Random(3)
     chain = [(i, i + 1) for i in range(100, 160)]
